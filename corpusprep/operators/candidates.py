@@ -1,6 +1,10 @@
 """Scored candidates `(group_id, item_id, score)`: filters and sampling.
 
 Ties are ordered by ascending item id. A removed candidate is a missing row.
+
+Filters run as windows over the group as long as every group fits in a task. When a counting job
+finds larger groups, the score range that holds a group's cut is narrowed by histograms first,
+so that only a bounded range is ever sorted and everything above it is kept unsorted.
 """
 
 from pyspark.sql import Window
@@ -9,24 +13,41 @@ from pyspark.sql import functions as F
 from corpusprep.constants import SAMPLING_DEFAULTS
 from corpusprep.functions.hashing import draw_unit
 from corpusprep.operators.metrics import log_sum_exp
-from corpusprep.plans.scan import SCORE_BITS, position, running_total
-from corpusprep.plans.skew import hot_keys, join_per_key
+from corpusprep.plans import skew
+from corpusprep.plans.lineage import cut
+from corpusprep.plans.scan import WHOLE_TABLE, running_total
 
 GROUP = ["group_id"]
-# Spark prunes `row_number() <= k` before the shuffle up to this k.
-_PRUNED_K = 1000
+_WHOLE = Window.partitionBy("group_id")
+_DOWN = _WHOLE.orderBy(F.desc("score"), "item_id")
+_BEFORE = _DOWN.rowsBetween(Window.unboundedPreceding, -1)
+# Parts a score range is divided into at a time.
+PARTS = 4096
+# exp(-800) is zero in double precision.
+_NO_MASS = 800.0
 
 
 def _value(x):
     return F.lit(x) if isinstance(x, (int, float)) else x
 
 
+def _join_group(df, per_group, how="inner", hot=None):
+    return skew.join_per_key(df, per_group, GROUP, ["item_id"], how, hot)
+
+
 def softmax(df, temperature=SAMPLING_DEFAULTS["temperature"]):
     """Add `prob`, the softmax of `score / temperature` within the group."""
     scaled = df.withColumn("_x", F.col("score") / _value(temperature))
-    totals = log_sum_exp(scaled, GROUP, F.col("_x"))
-    return join_per_key(scaled, totals, GROUP, ["item_id"]).withColumn(
-        "prob", F.exp(F.col("_x") - F.col("lse"))).drop("_x", "lse")
+    return _probabilities(scaled, "_x", skew.hot_keys(df, GROUP)).drop("_x")
+
+
+def _probabilities(df, score, hot, out="prob"):
+    if hot is None:
+        scaled = df.withColumn("_e", F.exp(F.col(score) - F.max(score).over(_WHOLE)))
+        return scaled.withColumn(out, F.col("_e") / F.sum("_e").over(_WHOLE)).drop("_e")
+    totals = log_sum_exp(df, GROUP, F.col(score), "_lse")
+    return _join_group(df, totals, hot=hot).withColumn(
+        out, F.exp(F.col(score) - F.col("_lse"))).drop("_lse")
 
 
 def repetition_penalty(df, seen, penalty=SAMPLING_DEFAULTS["repetition_penalty"]):
@@ -38,96 +59,104 @@ def repetition_penalty(df, seen, penalty=SAMPLING_DEFAULTS["repetition_penalty"]
         "score", F.when(F.col("_seen"), pushed).otherwise(F.col("score"))).drop("_seen")
 
 
-@F.arrow_udf("bigint")
-def _sortable_bits(scores):
-    """Doubles as integers of the same order."""
-    import numpy as np
-    import pyarrow as pa
-    bits = (scores.to_numpy(zero_copy_only=False) + 0.0).view(np.int64)
-    return pa.array(np.where(bits < 0, bits ^ np.int64(2 ** 63 - 1), bits))
-
-
-def _score_cuts(df, k=None, p=None, max_k=None, limits=()):
-    """Where each group is cut: `group_id, cut, at_cut, keep`.
-
-    k and p are numbers, or columns named in `limits` that are constant within a group.
+def _ranges(df, weight, limit, hot, span=None):
+    """Per group, the score range `[lo, hi]` that holds its cut: `group_id, lo, hi, above, n`.
 
-    Items above the score `cut` stay, and the first `keep` of the `at_cut` items that tie with
-    it. Works on distinct scores with their counts, so copies collapse before the shuffle. With a
-    small literal bound on k only that many distinct scores per group leave a map task; otherwise
-    the cumulative sums run as a bucketed scan over score bits.
+    `above` is the weight of the items over `hi`, `n` the number of items in the range. A range
+    of more than TASK_ROWS items is divided into equal parts and replaced by the part with the
+    cut, until it is small enough or a single score.
     """
-    by_score = df.groupBy("group_id", "score", *limits).agg(F.count(F.lit(1)).alias("n"))
-    bounded = max_k is not None and 0 < max_k <= _PRUNED_K
-    order = F.bitwise_not(F.col("_bits"))
-    down = Window.partitionBy("group_id").orderBy(F.desc("score"))
-    before = down.rowsBetween(Window.unboundedPreceding, -1)
-
-    def accumulate(rows, **values):
-        if bounded:
-            return rows.withColumns({name: F.coalesce(F.sum(v).over(before), F.lit(0))
-                                     for name, v in values.items()})
-        if "_bits" not in rows.columns:
-            rows = rows.withColumn("_bits", _sortable_bits("score"))
-        return running_total(rows, GROUP, order, values, SCORE_BITS)
-
-    if k is not None:
-        if bounded:
-            by_score = by_score.withColumn("_r", F.row_number().over(down)).filter(
-                F.col("_r") <= max_k)
-        limit = _value(k)
-        by_score = accumulate(by_score, above=F.col("n")).filter(
-            (F.col("above") < limit) | (limit <= 0))
-    if p is None:
-        return by_score.groupBy("group_id").agg(F.min("score").alias("cut")).withColumns(
-            {"at_cut": F.lit(0).cast("bigint"), "keep": F.lit(0).cast("bigint")})
-    keep_all = _value(p) >= 1.0
-    if bounded:
-        whole = Window.partitionBy("group_id")
-        top = F.max("score").over(whole)
-        by_score = by_score.withColumn("_e", F.exp(F.col("score") - top))
-        by_score = by_score.withColumn("_prob", F.col("_e") / F.sum(
-            F.col("_e") * F.col("n")).over(whole))
-    else:
-        totals = log_sum_exp(by_score, GROUP, F.col("score"), weight=F.col("n"))
-        by_score = join_per_key(by_score, totals, GROUP, ["score"]).withColumn(
-            "_prob", F.exp(F.col("score") - F.col("lse"))).drop("lse")
-    summed = accumulate(by_score, mass=F.col("_prob") * F.col("n"))
-    # A tied item stays while the mass before it does not exceed p; the first item always stays.
-    room = F.least(F.col("n").cast("double"), (_value(p) - F.col("mass")) / F.col("_prob"))
-    fits = F.when(keep_all | (F.col("_prob") <= 0), F.col("n")).otherwise(
-        F.greatest(F.least(F.col("n"), F.floor(room) + 1), F.lit(1)))
-    kept = summed.filter((F.col("mass") <= _value(p)) | (F.col("mass") == 0) | keep_all)
-    kept = kept.withColumn("_fits", fits)
-    return kept.groupBy("group_id").agg(
-        F.min("score").alias("cut"), F.min_by("n", "score").alias("at_cut"),
-        F.min_by("_fits", "score").alias("keep"))
-
-
-def _apply_cuts(df, cuts, hot=None):
+    low = F.min("score")
+    if span is not None:
+        low = F.greatest(low, F.max("score") - span)
+    ranges = df.groupBy("group_id").agg(low.alias("lo"), F.max("score").alias("hi"),
+                                        F.lit(0.0).alias("above"), F.count(F.lit(1)).alias("n"))
+    large = (F.col("n") > skew.TASK_ROWS) & (F.col("lo") < F.col("hi"))
+    down = _WHOLE.orderBy("_part")
+    while True:
+        # A written result per round, so that no round repeats the ones before.
+        ranges = cut(ranges)
+        if ranges.filter(large).isEmpty():
+            return ranges
+        inside = _join_group(df, ranges.filter(large).drop("n"), hot=hot).filter(
+            F.col("score").between(F.col("lo"), F.col("hi")))
+        part = F.floor((F.col("hi") - F.col("score")) / (F.col("hi") - F.col("lo")) * PARTS)
+        parts = inside.withColumn("_part", F.least(part, F.lit(PARTS - 1))).groupBy(
+            "group_id", "_part").agg(
+            F.min("score").alias("lo"), F.max("score").alias("hi"), F.max("above").alias("_base"),
+            F.sum(weight).alias("_w"), F.count(F.lit(1)).alias("n"), F.max(limit).alias("_limit"))
+        parts = parts.withColumn("above", F.col("_base") + F.coalesce(F.sum("_w").over(
+            down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+        # The cut lies in the last part that starts within the limit.
+        reached = parts.filter((F.col("above") <= F.col("_limit")) | (F.col("above") == 0))
+        last = F.row_number().over(_WHOLE.orderBy(F.desc("_part")))
+        chosen = reached.withColumn("_r", last).filter("_r = 1")
+        ranges = ranges.filter(~large).unionByName(chosen.select(ranges.columns))
+
+
+def _top_k(df, k, hot, max_k=None):
+    """Rows scoring at least as high as the k-th; `max_k` is a literal bound on a column k."""
+    k = _value(k)
+    if hot is None:
+        ranked = df.withColumn("_r", F.rank().over(_WHOLE.orderBy(F.desc("score"))))
+        if max_k is not None:
+            ranked = ranked.filter(F.col("_r") <= max_k)
+        return ranked.filter((F.col("_r") <= k) | (k <= 0)).drop("_r")
+    unlimited = F.when(k <= 0, F.lit(float("inf"))).otherwise((k - 1).cast("double"))
+    limited = df.withColumn("_k", unlimited)
+    ranges = _ranges(limited, F.lit(1.0), F.col("_k"), hot)
+    small = _join_group(limited, ranges.filter(F.col("n") <= skew.TASK_ROWS), hot=hot).filter(
+        F.col("score").between(F.col("lo"), F.col("hi")))
+    kept = small.withColumn("_r", F.row_number().over(_DOWN) - 1 + F.col("above")).filter(
+        F.col("_r") <= F.col("_k"))
+    cuts = kept.groupBy("group_id").agg(F.min("score").alias("_cut")).unionByName(
+        ranges.filter(F.col("n") > skew.TASK_ROWS).select("group_id", F.col("lo").alias("_cut")))
+    return _join_group(df, cuts, hot=hot).filter(F.col("score") >= F.col("_cut")).select(
+        df.columns)
+
+
+def _top_p(df, p, hot):
+    """Rows before which the softmax mass of the group is at most p, and the first row."""
     columns = df.columns
-    tagged = join_per_key(df, cuts, GROUP, ["item_id"], hot=hot)
-    split_tie = (F.col("score") == F.col("cut")) & (F.col("keep") < F.col("at_cut"))
-    sure = tagged.filter((F.col("score") >= F.col("cut")) & ~split_tie)
-    ranked = position(tagged.filter(split_tie), GROUP, F.col("item_id"), "_rank")
-    return sure.select(columns).unionByName(
-        ranked.filter(F.col("_rank") < F.col("keep")).select(columns))
+    p = _value(p)
+    scored = _probabilities(df, "score", hot, "_prob")
+    mass = F.coalesce(F.sum("_prob").over(_BEFORE), F.lit(0.0))
+    first = F.row_number().over(_DOWN) == 1
+    if hot is None:
+        kept = scored.withColumns({"_mass": mass, "_first": first})
+        return kept.filter(F.col("_first") | (F.col("_mass") <= p) | (p >= 1.0)).select(columns)
+    scored = scored.withColumn("_p", F.when(p >= 1.0, F.lit(float("inf"))).otherwise(p))
+    ranges = _ranges(scored, F.col("_prob"), F.col("_p"), hot, _NO_MASS)
+    tagged = _join_group(scored, ranges, hot=hot)
+    keep_all = F.col("_p") == float("inf")
+    sure = tagged.filter((F.col("score") > F.col("hi")) | keep_all)
+    inside = tagged.filter(F.col("score").between(F.col("lo"), F.col("hi")) & ~keep_all)
+    sorted_part = inside.filter(F.col("n") <= skew.TASK_ROWS).withColumns(
+        {"_mass": mass + F.col("above"), "_first": first & (F.col("above") == 0)})
+    out = sure.select(columns).unionByName(sorted_part.filter(
+        F.col("_first") | (F.col("_mass") <= F.col("_p"))).select(columns))
+    if ranges.filter(F.col("n") > skew.TASK_ROWS).isEmpty():
+        return out
+    # Only copies of one score are left: their number follows by division, their order by id.
+    ties = running_total(inside.filter(F.col("n") > skew.TASK_ROWS), GROUP, F.col("item_id"),
+                         {"_rank": F.lit(1).cast("bigint")}, WHOLE_TABLE)
+    fits = F.col("above") + F.col("_rank") * F.col("_prob") <= F.col("_p")
+    return out.unionByName(ties.filter(
+        fits | ((F.col("_rank") == 0) & (F.col("above") == 0))).select(columns))
 
 
 def top_k_filter(df, k=SAMPLING_DEFAULTS["top_k"]):
     """Keep scores at or above the k-th highest; ties at the cut survive; k <= 0 keeps all."""
     if k <= 0:
         return df
-    cuts = _score_cuts(df, k=k, max_k=k).select("group_id", "cut")
-    return join_per_key(df, cuts, GROUP, ["item_id"]).filter(
-        F.col("score") >= F.col("cut")).select(df.columns)
+    return _top_k(df, k, skew.hot_keys(df, GROUP))
 
 
 def top_p_filter(df, p=SAMPLING_DEFAULTS["top_p"]):
     """Keep an item while the softmax mass before it is at most p; the first always stays."""
     if p >= 1.0:
         return df
-    return _apply_cuts(df, _score_cuts(df, p=p))
+    return _top_p(df, p, skew.hot_keys(df, GROUP))
 
 
 def sample_one(df, seed, out="item_id"):
@@ -148,17 +177,18 @@ def filtered_candidates(df, params, seen=None, step=1):
     `params` has one resolved row per group (see `templates.resolve_params`).
     """
     wanted = params.select("group_id", "temperature", "top_k", "top_p", "repetition_penalty")
-    hot = hot_keys(df, GROUP)
-    rows = join_per_key(df, wanted, GROUP, ["item_id"], hot=hot).withColumn(
+    hot = skew.hot_keys(df, GROUP)
+    rows = _join_group(df, wanted, hot=hot).withColumn(
         "score", F.col("score") / F.col("temperature"))
     if step > 0 and seen is not None:
         rows = repetition_penalty(rows, seen, F.col("repetition_penalty"))
     rows = rows.select("group_id", "item_id", "score", "top_k", "top_p")
-    # One number bounds the shuffle; each group is still cut at its own k.
+    # One number lets Spark prune ranks before the shuffle; each group is cut at its own k.
     low, high = params.agg(F.min("top_k"), F.max("top_k")).first()
-    max_k = high if low is not None and low > 0 else None
-    cuts = _score_cuts(rows, F.col("top_k"), F.col("top_p"), max_k, ("top_k", "top_p"))
-    return _apply_cuts(rows.select("group_id", "item_id", "score"), cuts, hot)
+    survivors = _top_k(rows, F.col("top_k"), hot, high if low is not None and low > 0 else None)
+    # What survived may still hold a large group of ties.
+    still_hot = hot if hot is None else skew.hot_keys(survivors, GROUP)
+    return _top_p(survivors, F.col("top_p"), still_hot).select("group_id", "item_id", "score")
 
 
 def sample_next(df, params, seed, seen=None, step=1):

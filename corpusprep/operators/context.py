@@ -7,24 +7,30 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusprep.constants import MAX_HISTORY_TOKENS
-from corpusprep.plans.scan import CELL, WITHIN_KEY, running_total, with_cell
+from corpusprep.plans.scan import WITHIN_KEY, fits_in_task, running_total
 
 
-def exchanges(turns):
-    """User messages with the assistant reply that directly follows, null when there is none.
+_STRETCH = "_stretch"
 
-    Keeps the scan cell of the turn, so a running total over it needs no further shuffle.
-    """
-    chat = with_cell(turns.filter(F.col("role").isin("user", "assistant")), F.col("turn"))
-    # A reply that opens a cell is also shown to the cell before it.
-    opens = (F.col("turn") % (1 << WITHIN_KEY[0]) == 0) & (F.col("role") == "assistant")
-    cells = F.when(opens, F.array(F.col(CELL), F.col(CELL) - 1)).otherwise(F.array(CELL))
-    seen = chat.withColumn(CELL, F.explode(cells))
-    window = Window.partitionBy("conv_id", CELL).orderBy("turn")
+
+def exchanges(turns, plain=None):
+    """User messages with the assistant reply that directly follows, null when there is none."""
+    plain = fits_in_task(turns, ["conv_id"]) if plain is None else plain
+    chat = turns.filter(F.col("role").isin("user", "assistant"))
+    scope = ["conv_id"]
+    if not plain:
+        # A long session is cut into stretches of turns; a reply that opens a stretch is also
+        # shown to the one before it.
+        stretch = F.shiftright("turn", WITHIN_KEY[0])
+        opens = (F.col("turn") % (1 << WITHIN_KEY[0]) == 0) & (F.col("role") == "assistant")
+        homes = F.when(opens, F.array(stretch, stretch - 1)).otherwise(F.array(stretch))
+        chat = chat.withColumn(_STRETCH, F.explode(homes))
+        scope = ["conv_id", _STRETCH]
+    window = Window.partitionBy(*scope).orderBy("turn")
     after = F.struct("turn", "role", "text")
-    paired = seen.withColumn("_next", F.lead(after).over(window)).filter(F.col("role") == "user")
+    paired = chat.withColumn("_next", F.lead(after).over(window)).filter(F.col("role") == "user")
     answered = (F.col("_next.turn") == F.col("turn") + 1) & (F.col("_next.role") == "assistant")
-    return paired.select("conv_id", "turn", CELL, F.col("text").alias("user_text"),
+    return paired.select("conv_id", "turn", F.col("text").alias("user_text"),
                          F.when(answered, F.col("_next.text")).alias("response"))
 
 
@@ -38,15 +44,16 @@ def render_history(turns):
     `conv_id, turn, start_char, piece, is_current`: one piece per completed exchange, then the
     last user message when it has no reply. Concatenating `piece` by `turn` gives the context.
     """
-    pairs = exchanges(turns)
+    plain = fits_in_task(turns, ["conv_id"])
+    pairs = exchanges(turns, plain)
     last = pairs.groupBy("conv_id").agg(F.max("turn").alias("turn"))
     done = pairs.filter(F.col("response").isNotNull())
     open_turn = pairs.filter(F.col("response").isNull()).join(last, ["conv_id", "turn"])
     pieces = done.unionByName(open_turn.select(done.columns)).select(
-        "conv_id", "turn", CELL, F.col("response").isNull().alias("is_current"),
+        "conv_id", "turn", F.col("response").isNull().alias("is_current"),
         F.concat(_current(F.col("user_text")), F.coalesce("response", F.lit(""))).alias("piece"))
     return running_total(pieces, ["conv_id"], F.col("turn"),
-                         {"start_char": F.length("piece").cast("bigint")})
+                         {"start_char": F.length("piece").cast("bigint")}, plain=plain)
 
 
 def trim_history(turns, tokenizer, max_tokens=MAX_HISTORY_TOKENS):
@@ -58,13 +65,15 @@ def trim_history(turns, tokenizer, max_tokens=MAX_HISTORY_TOKENS):
     the current message. Offsets are bucketed by `max_tokens`: a range meets at most two buckets
     and a bucket holds only what fits in `max_tokens`, whatever the size of the session.
     """
-    pairs = exchanges(turns)
+    plain = fits_in_task(turns, ["conv_id"])
+    pairs = exchanges(turns, plain)
     exchange = F.when(F.col("response").isNotNull(),
                       F.concat(_current(F.col("user_text")), F.col("response")))
     current = tokenizer.prepare(pairs, _current(F.col("user_text"))).withColumnsRenamed(
         {"n_tokens": "cur_tokens"}).drop("payload")
     sized = tokenizer.prepare(current.withColumn("piece", exchange), F.col("piece")).drop("payload")
-    placed = running_total(sized, ["conv_id"], F.col("turn"), {"start": F.col("n_tokens")})
+    placed = running_total(sized, ["conv_id"], F.col("turn"), {"start": F.col("n_tokens")},
+                           plain=plain)
     past = placed.filter(F.col("piece").isNotNull()).select(
         "conv_id", F.floor(F.col("start") / max_tokens).alias("bucket"),
         F.col("start").alias("at"), F.col("n_tokens").alias("piece_tokens"), "piece")

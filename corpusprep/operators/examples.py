@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.constants import IGNORE_INDEX, STAGES
 from corpusprep.functions.templates import render_message
-from corpusprep.plans.scan import position, running_total
+from corpusprep.plans.scan import fits_in_task, position, running_total
 
 
 def number_turns(df, order_col):
@@ -31,7 +31,8 @@ def assemble(turns, tokenizer):
     stays spread over tasks.
     """
     encoded = encode_turns(turns, tokenizer)
-    placed = running_total(encoded, ["conv_id"], F.col("turn"), {"start": F.col("n_tokens")})
+    placed = running_total(encoded, ["conv_id"], F.col("turn"), {"start": F.col("n_tokens")},
+                           plain=fits_in_task(turns, ["conv_id"]))
     ids = tokenizer.ids(F.col("payload"))
     body = placed.select("conv_id", F.col("turn").alias("piece"), (F.col("start") + 1).alias("start"),
                          "supervised", ids.alias("input_ids"))
@@ -69,7 +70,8 @@ def training_windows(turns, tokenizer, max_length):
     """
     encoded = encode_turns(turns, tokenizer, keep_last=max_length)
     backwards = F.bitwise_not(F.col("turn"))
-    placed = running_total(encoded, ["conv_id"], backwards, {"after": F.col("n_tokens")})
+    placed = running_total(encoded, ["conv_id"], backwards, {"after": F.col("n_tokens")},
+                           plain=fits_in_task(turns, ["conv_id"]))
     # The last message always stays, so that a conversation survives max_length = 1.
     tail = placed.filter((F.col("after") < max_length - 1) | (F.col("after") == 0))
     piece = F.struct("turn", "supervised", "payload")

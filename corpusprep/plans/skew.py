@@ -1,29 +1,50 @@
-"""Joining one row per key back to that key's rows when a few keys hold most of the rows."""
+"""Telling bounded groups from hot ones, and joining one row per key back to a hot key's rows.
+
+Both start with one counting job that reads the key columns only and combines before its
+shuffle. When no key is hot, which is the usual case, the plan stays the plain one.
+"""
 
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/HOT_SHARE of the rows, so there are fewer than
-# HOT_SHARE hot keys whatever the data: that is what bounds the broadcast below.
-HOT_SHARE = 4096
+# Rows of one key that one task may sort.
+TASK_ROWS = 1 << 20
+# At most this many keys are treated as hot, largest first; with every other key below
+# 1/HOT_KEYS of all rows. This is what bounds the broadcast.
+HOT_KEYS = 4096
 SALTS = 256
 
 
-def hot_keys(rows, keys, share=HOT_SHARE):
-    """The keys holding more than 1/share of all rows; fewer than `share` rows."""
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter(F.col("_n") * share > total).select(*keys)
+def largest_group(df, keys):
+    """Rows of the most frequent key."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.agg(F.max("_n")).first()[0] or 0
+
+
+def hot_keys(df, keys, rows=None):
+    """The keys of more than `rows` rows, as a local table of at most HOT_KEYS rows, or None."""
+    rows = TASK_ROWS if rows is None else rows
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    found = counts.filter(F.col("_n") > rows).orderBy(F.desc("_n")).limit(HOT_KEYS).collect()
+    if not found:
+        return None
+    schema = df.select(*keys).schema
+    return df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in found], schema)
+
 
+_SEARCH = object()
 
-def join_per_key(rows, per_key, keys, spread_by, how="inner", hot=None, salts=SALTS):
+
+def join_per_key(rows, per_key, keys, spread_by, how="inner", hot=_SEARCH, salts=SALTS):
     """Join `per_key` (one row per key) to `rows`, spreading each hot key over `salts` tasks.
 
     Cold keys join as usual. A hot key's single row is copied once per salt, and its rows pick a
     salt from `spread_by`, so no task receives a whole hot key.
     """
-    if hot is None:
+    if hot is _SEARCH:
         hot = hot_keys(rows, keys)
-    hot = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
+    if hot is None:
+        return rows.join(per_key, keys, how)
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(0)
     left = rows.join(hot, keys, "left").withColumn("_salt", salt.cast("int")).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
