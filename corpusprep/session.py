@@ -8,6 +8,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python line of every column expression slows down building plans.
+    "spark.sql.dataFrameQueryContext.enabled": "false",
     # Keyed streaming state lives in RocksDB so that it can exceed executor memory.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
