@@ -50,6 +50,7 @@ class CharTokenizer:
 
     pad_id, unk_id, bos_id, eos_id = PAD, UNK, BOS, EOS
     stop_ids = (EOS,)
+    tag_tokens = len("<assistant>")
 
     def prepare(self, df, text, keep_last=None):
         """Add `n_tokens` and `payload`, the payload cut to its last `keep_last` tokens."""

@@ -241,6 +241,7 @@ class BpeTokenizer:
 
     pad_id, unk_id, bos_id, eos_id = PAD, UNK, BOS, EOS
     stop_ids = (EOS, USER)
+    tag_tokens = 1
 
     def __init__(self, model):
         self.model = model

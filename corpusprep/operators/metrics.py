@@ -36,7 +36,7 @@ def perplexity(log, by=("run",)):
     summed = log.groupBy(*by).agg(F.sum(scored).alias("_loss"), F.sum("n_tokens").alias("tokens"))
     value = F.when(F.col("tokens") > 0, F.exp(F.col("_loss") / F.col("tokens"))).otherwise(
         F.lit(float("inf")))
-    return summed.select(*by, "tokens", value.alias("ppl"))
+    return summed.withColumn("ppl", value).drop("_loss")
 
 
 def position_losses(logits, targets):
