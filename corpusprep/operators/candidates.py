@@ -18,15 +18,20 @@ from corpusprep.plans.lineage import cut
 from corpusprep.plans.scan import WHOLE_TABLE, running_total
 
 GROUP = ["group_id"]
-_WHOLE = Window.partitionBy("group_id")
-_DOWN = _WHOLE.orderBy(F.desc("score"), "item_id")
-_BEFORE = _DOWN.rowsBetween(Window.unboundedPreceding, -1)
 # Parts a score range is divided into at a time.
 PARTS = 4096
 # exp(-800) is zero in double precision.
 _NO_MASS = 800.0
 
 
+def _group():
+    return Window.partitionBy("group_id")
+
+
+def _down():
+    return _group().orderBy(F.desc("score"), "item_id")
+
+
 def _value(x):
     return F.lit(x) if isinstance(x, (int, float)) else x
 
@@ -43,8 +48,8 @@ def softmax(df, temperature=SAMPLING_DEFAULTS["temperature"]):
 
 def _probabilities(df, score, hot, out="prob"):
     if hot is None:
-        scaled = df.withColumn("_e", F.exp(F.col(score) - F.max(score).over(_WHOLE)))
-        return scaled.withColumn(out, F.col("_e") / F.sum("_e").over(_WHOLE)).drop("_e")
+        scaled = df.withColumn("_e", F.exp(F.col(score) - F.max(score).over(_group())))
+        return scaled.withColumn(out, F.col("_e") / F.sum("_e").over(_group())).drop("_e")
     totals = log_sum_exp(df, GROUP, F.col(score), "_lse")
     return _join_group(df, totals, hot=hot).withColumn(
         out, F.exp(F.col(score) - F.col("_lse"))).drop("_lse")
@@ -72,7 +77,7 @@ def _ranges(df, weight, limit, hot, span=None):
     ranges = df.groupBy("group_id").agg(low.alias("lo"), F.max("score").alias("hi"),
                                         F.lit(0.0).alias("above"), F.count(F.lit(1)).alias("n"))
     large = (F.col("n") > skew.TASK_ROWS) & (F.col("lo") < F.col("hi"))
-    down = _WHOLE.orderBy("_part")
+    down = _group().orderBy("_part")
     while True:
         # A written result per round, so that no round repeats the ones before.
         ranges = cut(ranges)
@@ -89,7 +94,7 @@ def _ranges(df, weight, limit, hot, span=None):
             down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
         # The cut lies in the last part that starts within the limit.
         reached = parts.filter((F.col("above") <= F.col("_limit")) | (F.col("above") == 0))
-        last = F.row_number().over(_WHOLE.orderBy(F.desc("_part")))
+        last = F.row_number().over(_group().orderBy(F.desc("_part")))
         chosen = reached.withColumn("_r", last).filter("_r = 1")
         ranges = ranges.filter(~large).unionByName(chosen.select(ranges.columns))
 
@@ -98,7 +103,7 @@ def _top_k(df, k, hot, max_k=None):
     """Rows scoring at least as high as the k-th; `max_k` is a literal bound on a column k."""
     k = _value(k)
     if hot is None:
-        ranked = df.withColumn("_r", F.rank().over(_WHOLE.orderBy(F.desc("score"))))
+        ranked = df.withColumn("_r", F.rank().over(_group().orderBy(F.desc("score"))))
         if max_k is not None:
             ranked = ranked.filter(F.col("_r") <= max_k)
         return ranked.filter((F.col("_r") <= k) | (k <= 0)).drop("_r")
@@ -107,7 +112,7 @@ def _top_k(df, k, hot, max_k=None):
     ranges = _ranges(limited, F.lit(1.0), F.col("_k"), hot)
     small = _join_group(limited, ranges.filter(F.col("n") <= skew.TASK_ROWS), hot=hot).filter(
         F.col("score").between(F.col("lo"), F.col("hi")))
-    kept = small.withColumn("_r", F.row_number().over(_DOWN) - 1 + F.col("above")).filter(
+    kept = small.withColumn("_r", F.row_number().over(_down()) - 1 + F.col("above")).filter(
         F.col("_r") <= F.col("_k"))
     cuts = kept.groupBy("group_id").agg(F.min("score").alias("_cut")).unionByName(
         ranges.filter(F.col("n") > skew.TASK_ROWS).select("group_id", F.col("lo").alias("_cut")))
@@ -120,8 +125,9 @@ def _top_p(df, p, hot):
     columns = df.columns
     p = _value(p)
     scored = _probabilities(df, "score", hot, "_prob")
-    mass = F.coalesce(F.sum("_prob").over(_BEFORE), F.lit(0.0))
-    first = F.row_number().over(_DOWN) == 1
+    mass = F.coalesce(F.sum("_prob").over(
+        _down().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    first = F.row_number().over(_down()) == 1
     if hot is None:
         kept = scored.withColumns({"_mass": mass, "_first": first})
         return kept.filter(F.col("_first") | (F.col("_mass") <= p) | (p >= 1.0)).select(columns)
