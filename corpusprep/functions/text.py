@@ -1,9 +1,6 @@
 """Normalisation and byte-level pretokenisation."""
 
-import re
-import sys
-import unicodedata
-
+import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,54 +20,40 @@ def byte_alphabet():
 
 BYTE_ALPHABET = byte_alphabet()
 _MOVED = [b for b in range(256) if BYTE_ALPHABET[b] != chr(b)]
-_marks = None
-
-
-def _strip_marks(text):
-    global _marks
-    if _marks is None:
-        points = (chr(c) for c in range(128, sys.maxunicode + 1))
-        _marks = re.compile("[" + "".join(
-            c for c in points if unicodedata.category(c) == "Mn") + "]+")
-    return _marks.sub("", text)
 
 
-def normalize_string(text):
-    """Decompose, lowercase character by character, drop nonspacing marks."""
-    if text is None:
-        return None
-    text = unicodedata.normalize("NFD", text)
-    # str.lower() treats only the sigma by its neighbours.
-    text = text.lower() if "Σ" not in text else "".join(map(str.lower, text))
-    return text if text.isascii() else _strip_marks(text)
+def _normalized(strings):
+    """Decompose, lowercase, drop marks: three vectorised passes over an Arrow array."""
+    import pyarrow.compute as pc
+    lowered = pc.utf8_lower(pc.utf8_normalize(strings, "NFD"))
+    return pc.replace_substring_regex(lowered, r"\pM+", "")
 
 
 @F.arrow_udf(T.StringType())
 def _normalize(texts):
-    import pyarrow as pa
-    return pa.array([normalize_string(t) for t in texts.to_pylist()], pa.string())
+    return _normalized(texts)
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def _normalize_each(lists):
     import pyarrow as pa
-    return pa.array([None if row is None else [normalize_string(t) for t in row]
-                     for row in lists.to_pylist()], pa.list_(pa.string()))
-
-
-def _plain(text):
-    return ~text.rlike(_NOT_ASCII)
+    parts = _normalized(lists.flatten())
+    counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype("int32")
+    return pa.ListArray.from_arrays(pa.array(offsets), parts, mask=lists.is_null())
 
 
 def normalize_text(text):
-    """NFD, lowercase, no nonspacing marks. ASCII rows never leave the JVM."""
-    return F.when(_plain(text), F.lower(text)).otherwise(_normalize(F.when(~_plain(text), text)))
+    """NFD, lowercase, no marks. Only rows with other than ASCII characters leave the JVM."""
+    wide = text.rlike(_NOT_ASCII)
+    return F.when(wide, _normalize(F.when(wide, text))).otherwise(F.lower(text))
 
 
 def normalize_segments(text, segments):
     """The same for an array of parts of `text`."""
-    return F.when(_plain(text), F.transform(segments, F.lower)).otherwise(
-        _normalize_each(F.when(~_plain(text), segments)))
+    wide = text.rlike(_NOT_ASCII)
+    return F.when(wide, _normalize_each(F.when(wide, segments))).otherwise(
+        F.transform(segments, F.lower))
 
 
 def raw_words(normalized):
@@ -89,7 +72,10 @@ def to_byte_symbols(word):
 
 def byte_pieces(word):
     """The pretokens of one raw word: byte symbols with every numeric one on its own."""
-    return F.regexp_extract_all(to_byte_symbols(word), F.lit(DIGIT_PATTERN), F.lit(0))
+    # Visible ASCII without digits, the bulk of the words, changes in its space only.
+    usual = F.array(F.replace(word, F.lit(" "), F.lit(BYTE_ALPHABET[32])))
+    split = F.regexp_extract_all(to_byte_symbols(word), F.lit(DIGIT_PATTERN), F.lit(0))
+    return F.when(word.rlike(r"\A ?[!-/:-~]+\z"), usual).otherwise(split)
 
 
 def pretokenize(text):

@@ -97,8 +97,10 @@ def train_bpe(counts, vocab_size=VOCAB_SIZE, min_frequency=MIN_FREQUENCY):
     by_point = F.array(*[F.lit(ids.get(chr(c), UNK)) for c in range(512)])
     as_ids = F.transform(F.split("word", ""), lambda c: F.concat(
         F.lit(" "), F.get(by_point, F.ascii(c)).cast("string"), F.lit(" ")))
+    # Small as bytes but costly per row, so spread over all cores rather than by size.
+    cores = counts.sparkSession.sparkContext.defaultParallelism
     words = cut(counts.filter(F.length("word") > 1).select(
-        F.array_join(as_ids, "").alias("w"), "n"))
+        F.array_join(as_ids, "").alias("w"), "n").repartition(cores, "w"))
     merges, stacked = [], []
     while len(tokens) < vocab_size:
         if len(stacked) >= _STACKED:
@@ -169,13 +171,15 @@ class _Encoder:
         return ids
 
 
-def raw_tokens(text):
-    """Special tokens as they are, everything else as raw words, in order."""
+def raw_tokens(df, text, out):
+    """Add special tokens as they are and everything else as raw words, in order."""
     names = "|".join(t.strip("<>") for t in SPECIAL_TOKENS)
     segments = F.filter(F.split(text, f"(?=<(?:{names})>)|(?<=<(?:{names})>)"), lambda s: s != "")
-    return F.flatten(F.zip_with(
-        normalize_segments(text, segments), segments,
-        lambda n, s: F.when(s.isin(SPECIAL_TOKENS), F.array(s)).otherwise(raw_words(n))))
+    parts = df.withColumns({"_text": text, "_segments": segments})
+    parts = parts.withColumn("_normal", normalize_segments(F.col("_text"), F.col("_segments")))
+    words = F.zip_with("_normal", "_segments", lambda n, s: F.when(
+        s.isin(SPECIAL_TOKENS), F.array(s)).otherwise(raw_words(n)))
+    return parts.withColumn(out, F.flatten(words)).drop("_text", "_segments", "_normal")
 
 
 def _encode_udf(spark, model):
@@ -209,7 +213,8 @@ def _encode_udf(spark, model):
 
 def bpe_encode(df, text, model, out="ids"):
     """Add the ids of `text`. No shuffle: words repeat, so tasks remember them instead."""
-    return df.withColumn(out, _encode_udf(df.sparkSession, model)(raw_tokens(text)))
+    encode = _encode_udf(df.sparkSession, model)
+    return raw_tokens(df, text, "_words").withColumn(out, encode("_words")).drop("_words")
 
 
 def bpe_decode(spark, ids, model, mode="joined"):

@@ -84,12 +84,13 @@ def training_windows(turns, tokenizer, max_length):
     def between_marks(first, body, last):
         start = F.when(F.col("whole"), F.array(F.lit(first))).otherwise(
             F.array().cast("array<int>"))
-        return truncate_left(F.concat(start, body, F.array(F.lit(last))), max_length)
+        return F.concat(start, body, F.array(F.lit(last)))
     labels = F.flatten(F.transform("pieces", lambda p: _labels(p["ids"], p["supervised"])))
     ids = F.flatten(F.transform("pieces", lambda p: p["ids"]))
-    return gathered.select("conv_id",
-                           between_marks(tokenizer.bos_id, ids, tokenizer.eos_id).alias("ids"),
-                           between_marks(IGNORE_INDEX, labels, tokenizer.eos_id).alias("labels"))
+    joined = gathered.select(
+        "conv_id", between_marks(tokenizer.bos_id, ids, tokenizer.eos_id).alias("ids"),
+        between_marks(IGNORE_INDEX, labels, tokenizer.eos_id).alias("labels"))
+    return joined.withColumns({c: truncate_left(F.col(c), max_length) for c in ("ids", "labels")})
 
 
 def training_examples(turns, tokenizer, max_length=512):

@@ -19,7 +19,7 @@ FIRST_RANGE, SECOND_RANGE, FOUND_RANGE = (20, 50), (5, 25), (1, 15)
 NAMES = ["Ada", "Bela", "Chidi", "Dana", "Emre", "Farah", "Goran", "Hana", "Ivo", "Jun",
          "Kofi", "Lena", "Mei", "Nils", "Oona", "Priya", "Quinn", "Rosa", "Sami", "Tala"]
 
-_STEP = r"^(\d+) ([+-]) (\d+) = (-?\d+)$"
+_STEP = r"\A\d+ [+-] \d+ = -?\d+\z"
 
 
 def _pick(values, index):
@@ -64,12 +64,13 @@ def verify_completions(problems):
 
     Adds `n_steps, well_formed, arithmetic_ok, chain_ok, operands_ok, valid, answer`.
     """
-    def number(step, group):
-        return F.regexp_extract(step, _STEP, group).try_cast("bigint")
-    def parsed(step):
-        return F.struct(number(step, 1).alias("a"), F.regexp_extract(step, _STEP, 2).alias("op"),
-                        number(step, 3).alias("b"), number(step, 4).alias("r"))
-    steps = problems.withColumn("_s", F.transform(F.split("completion", "; "), parsed))
+    def parsed(words):
+        return F.struct(F.get(words, F.lit(1)).alias("op"), *[
+            F.get(words, F.lit(i)).try_cast("bigint").alias(c)
+            for i, c in ((0, "a"), (2, "b"), (4, "r"))])
+    words = F.transform(F.split("completion", "; "),
+                        lambda step: F.when(step.rlike(_STEP), F.split(step, " ")))
+    steps = problems.withColumn("_s", F.transform(words, parsed))
     def good(step):
         value = F.when(step["op"] == "+", step["a"] + step["b"]).when(
             step["op"] == "-", step["a"] - step["b"])

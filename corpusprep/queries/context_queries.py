@@ -7,7 +7,7 @@ from corpusprep.functions import templates
 from corpusprep.functions.chars import CharTokenizer, char_encode
 from corpusprep.operators.context import render_history, trim_history
 from corpusprep.queries.registry import (
-    CONTENT_SQL, INSTRUCTIONS_SQL, chars_sql, conversations, csv, instructions, query, table)
+    CONTENT_SQL, INSTRUCTIONS_SQL, chars_sql, conversations, listed, instructions, query, table)
 
 # A full stop ends a sentence in the derived token streams.
 STOPS = (3, 7 + ord("."))
@@ -60,14 +60,14 @@ def clean_response(spark, sf_dir):
 
 
 @query("truncate_at_stop", f"""
-SELECT conv_id, turn, array_to_string(ids[1:least(
+SELECT conv_id, turn, (ids[1:least(
     len(ids), {SAMPLING_DEFAULTS['max_length']},
     coalesce(nullif(list_position(ids, {STOPS[0]}), 0) - 1, len(ids)),
-    coalesce(nullif(list_position(ids, {STOPS[1]}), 0) - 1, len(ids)))], ',') AS ids
+    coalesce(nullif(list_position(ids, {STOPS[1]}), 0) - 1, len(ids)))])::VARCHAR AS ids
 FROM (SELECT conv_id, turn, {chars_sql('text')} AS ids FROM conversations)""")
 def truncate_at_stop(spark, sf_dir):
     tokens = conversations(spark, sf_dir).withColumn("tokens", char_encode(F.col("text")))
-    return tokens.select("conv_id", "turn", csv(
+    return tokens.select("conv_id", "turn", listed(
         templates.truncate_at_stop(F.col("tokens"), STOPS)).alias("ids"))
 
 

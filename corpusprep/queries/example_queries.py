@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from corpusprep.constants import STAGES, VALIDATION_BATCH
 from corpusprep.functions.chars import CharTokenizer
 from corpusprep.operators import batching, examples
-from corpusprep.queries.registry import chars_sql, conversations, csv, query, table
+from corpusprep.queries.registry import chars_sql, conversations, listed, query, table
 
 MAX_LENGTH = 512
 SEED = 42
@@ -52,37 +52,37 @@ def _turns(spark, sf_dir):
 
 @query("assemble", f"""
 WITH {_PIECES_SQL}
-SELECT conv_id, piece, start, array_to_string(ids, ',') AS input_ids FROM pieces""")
+SELECT conv_id, piece, start, ids::VARCHAR AS input_ids FROM pieces""")
 def assemble(spark, sf_dir):
     return examples.assemble(_turns(spark, sf_dir), CharTokenizer()).select(
-        "conv_id", "piece", "start", csv(F.col("input_ids")).alias("input_ids"))
+        "conv_id", "piece", "start", listed(F.col("input_ids")).alias("input_ids"))
 
 
 @query("label_mask", f"""
 WITH {_PIECES_SQL}
-SELECT conv_id, piece, start, array_to_string(labels, ',') AS labels FROM pieces""")
+SELECT conv_id, piece, start, labels::VARCHAR AS labels FROM pieces""")
 def label_mask(spark, sf_dir):
     return examples.assemble(_turns(spark, sf_dir), CharTokenizer()).select(
-        "conv_id", "piece", "start", csv(F.col("labels")).alias("labels"))
+        "conv_id", "piece", "start", listed(F.col("labels")).alias("labels"))
 
 
 @query("truncate_left", f"""
 WITH {_windows_sql(MAX_LENGTH)}
-SELECT conv_id, array_to_string(ids, ',') AS ids, array_to_string(labels, ',') AS labels
+SELECT conv_id, ids::VARCHAR AS ids, labels::VARCHAR AS labels
 FROM windows""")
 def truncate_left(spark, sf_dir):
     return examples.training_windows(_turns(spark, sf_dir), CharTokenizer(), MAX_LENGTH).select(
-        "conv_id", csv(F.col("ids")).alias("ids"), csv(F.col("labels")).alias("labels"))
+        "conv_id", listed(F.col("ids")).alias("ids"), listed(F.col("labels")).alias("labels"))
 
 
 @query("training_examples", f"""
 WITH {_windows_sql(MAX_LENGTH)}
-SELECT conv_id, array_to_string(input_ids, ',') AS input_ids,
-       array_to_string(targets, ',') AS targets FROM shifted""")
+SELECT conv_id, input_ids::VARCHAR AS input_ids,
+       targets::VARCHAR AS targets FROM shifted""")
 def training_examples(spark, sf_dir):
     return examples.training_examples(_turns(spark, sf_dir), CharTokenizer(), MAX_LENGTH).select(
-        "conv_id", csv(F.col("input_ids")).alias("input_ids"),
-        csv(F.col("targets")).alias("targets"))
+        "conv_id", listed(F.col("input_ids")).alias("input_ids"),
+        listed(F.col("targets")).alias("targets"))
 
 
 @query("supervised_tokens", f"""
@@ -101,18 +101,18 @@ batched AS (
   SELECT *, idx // {size} AS batch_id, idx % {size} AS slot,
          max(len(input_ids)) OVER (PARTITION BY idx // {size}) AS width FROM indexed)
 SELECT conv_id, batch_id::BIGINT AS batch_id, slot::BIGINT AS slot, width::BIGINT AS width,
-  array_to_string(list_concat(input_ids, list_transform(range(width - len(input_ids)),
-                                                        lambda x: 0)), ',') AS input_ids,
-  array_to_string(list_concat(targets, list_transform(range(width - len(targets)),
-                                                      lambda x: -100)), ',') AS targets
+  list_concat(input_ids, list_transform(range(width - len(input_ids)),
+                                                        lambda x: 0))::VARCHAR AS input_ids,
+  list_concat(targets, list_transform(range(width - len(targets)),
+                                                      lambda x: -100))::VARCHAR AS targets
 FROM batched"""
 
 
 def _batch_columns(df):
     return df.select("conv_id", "batch_id", F.col("slot").cast("bigint").alias("slot"),
                      F.col("width").cast("bigint").alias("width"),
-                     csv(F.col("input_ids")).alias("input_ids"),
-                     csv(F.col("targets")).alias("targets"))
+                     listed(F.col("input_ids")).alias("input_ids"),
+                     listed(F.col("targets")).alias("targets"))
 
 
 @query("batch_and_pad", f"WITH {_windows_sql(2048)}, "
@@ -148,12 +148,12 @@ staged AS (
 
 @query("curriculum_examples", f"""
 WITH {_STAGED_SQL}
-SELECT stage::BIGINT AS stage, conv_id, array_to_string(input_ids, ',') AS input_ids,
-       array_to_string(targets, ',') AS targets FROM staged""")
+SELECT stage::BIGINT AS stage, conv_id, input_ids::VARCHAR AS input_ids,
+       targets::VARCHAR AS targets FROM staged""")
 def curriculum_examples(spark, sf_dir):
     return examples.curriculum_examples(_turns(spark, sf_dir), CharTokenizer()).select(
         F.col("stage").cast("bigint").alias("stage"), "conv_id",
-        csv(F.col("input_ids")).alias("input_ids"), csv(F.col("targets")).alias("targets"))
+        listed(F.col("input_ids")).alias("input_ids"), listed(F.col("targets")).alias("targets"))
 
 
 @query("stage_plan", f"""

@@ -28,9 +28,9 @@ def conversations(spark, sf_dir):
     return read_conversations(spark, f"{sf_dir}/conversations.parquet")
 
 
-def csv(column):
-    """Array as text, so that results compare as plain columns."""
-    return F.array_join(F.transform(column, lambda x: x.cast("string")), ",")
+def listed(column):
+    """Array as text, `[1, 2, 3]`, so that results compare as plain columns."""
+    return column.cast("string")
 
 
 def instructions(spark, sf_dir):

@@ -6,7 +6,7 @@ from corpusprep.functions import chars
 from corpusprep.functions.templates import render_message
 from corpusprep.functions.text import BYTE_ALPHABET, normalize_text, pretokenize
 from corpusprep.operators import bpe
-from corpusprep.queries.registry import chars_sql, conversations, csv, query, table
+from corpusprep.queries.registry import chars_sql, conversations, listed, query, table
 
 # Small enough to train inside a check; the default is constants.VOCAB_SIZE.
 CHECK_VOCAB = 96
@@ -49,10 +49,10 @@ def char_vocab(spark, sf_dir):
 
 
 @query("char_encode", f"""
-SELECT conv_id, turn, array_to_string({chars_sql('text')}, ',') AS ids FROM conversations""")
+SELECT conv_id, turn, ({chars_sql('text')})::VARCHAR AS ids FROM conversations""")
 def char_encode(spark, sf_dir):
     return conversations(spark, sf_dir).select(
-        "conv_id", "turn", csv(chars.char_encode(F.col("text"))).alias("ids"))
+        "conv_id", "turn", listed(chars.char_encode(F.col("text"))).alias("ids"))
 
 
 @query("char_decode", """
@@ -81,7 +81,7 @@ def normalized(spark, sf_dir):
         "doc_id", normalize_text(F.col("text")).alias("text"))
 
 
-def _listed(values):
+def _literals(values):
     return "[" + ", ".join(f"chr({ord(v)})" for v in values) + "]"
 
 
@@ -98,7 +98,7 @@ raw AS (
       '''s|''t|''re|''ve|''m|''ll|''d| ?\\pL+| ?\\pN+| ?[^\\s\\x01\\pL\\pN]+|\\s+') AS w FROM spaced)),
 bytes AS (
   SELECT {key}, idx, array_to_string(list_transform(regexp_extract_all(hex(encode(word)), '..'),
-         lambda h: ({_listed(BYTE_ALPHABET)})[('0x' || h)::INTEGER + 1]), '') AS word FROM raw),
+         lambda h: ({_literals(BYTE_ALPHABET)})[('0x' || h)::INTEGER + 1]), '') AS word FROM raw),
 pieces AS (
   SELECT {key}, idx, unnest(p) AS word, generate_subscripts(p, 1) AS part FROM (
     SELECT {key}, idx, regexp_extract_all(word, '\\pN|\\PN+') AS p FROM bytes))
@@ -132,7 +132,7 @@ def train_bpe(spark, sf_dir):
 @query("bpe_encode")
 def bpe_encode(spark, sf_dir):
     coded = bpe.bpe_encode(_messages(spark, sf_dir), F.col("message"), model(spark, sf_dir))
-    return coded.select("conv_id", "turn", csv(F.col("ids")).alias("ids"))
+    return coded.select("conv_id", "turn", listed(F.col("ids")).alias("ids"))
 
 
 
