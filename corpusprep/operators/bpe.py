@@ -162,11 +162,11 @@ class _Encoder:
     def _merge(self, symbols):
         ids = [self.ids.get(s, UNK) for s in symbols]
         while len(ids) > 1:
-            ranked = [self.ranks.get(p, (len(self.ranks), None)) for p in zip(ids, ids[1:])]
-            best, new = min(ranked, key=lambda r: r[0])
-            if new is None:
+            ranked = [(self.ranks[p], at) for at, p in enumerate(zip(ids, ids[1:]))
+                      if p in self.ranks]
+            if not ranked:
                 break
-            at = next(i for i, r in enumerate(ranked) if r[0] == best)
+            (_, new), at = min(ranked)
             ids[at:at + 2] = [new]
         return ids
 

@@ -7,7 +7,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusprep.constants import MAX_HISTORY_TOKENS
-from corpusprep.plans.scan import WITHIN_KEY, fits_in_task, running_total
+from corpusprep.plans import scan
+from corpusprep.plans.scan import fits_in_task, running_total
 
 
 _STRETCH = "_stretch"
@@ -21,8 +22,8 @@ def exchanges(turns, plain=None):
     if not plain:
         # A long session is cut into stretches of turns; a reply that opens a stretch is also
         # shown to the one before it.
-        stretch = F.shiftright("turn", WITHIN_KEY[0])
-        opens = (F.col("turn") % (1 << WITHIN_KEY[0]) == 0) & (F.col("role") == "assistant")
+        stretch = F.shiftright("turn", scan.WITHIN_KEY[0])
+        opens = (F.col("turn") % (1 << scan.WITHIN_KEY[0]) == 0) & (F.col("role") == "assistant")
         homes = F.when(opens, F.array(stretch, stretch - 1)).otherwise(F.array(stretch))
         chat = chat.withColumn(_STRETCH, F.explode(homes))
         scope = ["conv_id", _STRETCH]

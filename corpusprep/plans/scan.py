@@ -53,7 +53,7 @@ def cell_offsets(cells, keys, values, shifts, cell=CELL):
         *keys, cell, *[(F.col(v) + F.coalesce(f"_base_{v}", F.lit(0))).alias(v) for v in values])
 
 
-def running_total(df, keys, order, values, shifts=WITHIN_KEY, ties=(), plain=False):
+def running_total(df, keys, order, values, shifts=None, ties=(), plain=False):
     """Add, for each `{out: value}` pair, the sum of `value` over the rows before this one.
 
     `order` is a BIGINT Column (use `F.bitwise_not` for descending order) and has to be distinct
@@ -63,6 +63,7 @@ def running_total(df, keys, order, values, shifts=WITHIN_KEY, ties=(), plain=Fal
     if plain:
         window = Window.partitionBy(*keys).orderBy(order, *ties)
         return df.withColumns({out: _exclusive_sum(v, window) for out, v in values.items()})
+    shifts = shifts or WITHIN_KEY
     names = [f"_v_{out}" for out in values]
     kept = df.columns
     df = df.withColumn(CELL, F.shiftright(order, shifts[0])).withColumns(
