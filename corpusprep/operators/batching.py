@@ -88,15 +88,13 @@ def seeded_shuffle_split(df, id_cols, seed, fraction=TRAIN_FRACTION, n=None):
     limit = F.lit(n) if n is not None else F.floor(
         total * F.lit(Decimal(str(fraction))))
     # At most one cell straddles the cut; none when the cut takes every row or no row.
-    edge = F.broadcast(
-        edges.filter((F.col("before") <= limit) & (F.col("before") + F.col("rows") > limit))
-        .agg(F.max("_cell").alias("_edge"), F.max(limit - F.col("before")).alias("_take")))
-    tagged = keyed.join(edge, F.lit(True), "left")
-    at_edge = F.coalesce(F.col("_cell") == F.col("_edge"), F.lit(False))
-    sure = tagged.filter(~at_edge).withColumn("split", F.when(
-        F.col("_edge").isNull() | (F.col("_cell") < F.col("_edge")), "train")
-        .otherwise("validation"))
+    edge = edges.filter((F.col("before") <= limit) & (
+        F.col("before") + F.col("rows") > limit)).agg(F.struct(
+            F.max("_cell").alias("cell"), F.max(limit - F.col("before")).alias("take"))).scalar()
+    at_edge = F.coalesce(F.col("_cell") == edge["cell"], F.lit(False))
+    sure = keyed.filter(~at_edge).withColumn("split", F.when(
+        edge["cell"].isNull() | (F.col("_cell") < edge["cell"]), "train").otherwise("validation"))
     rank = F.row_number().over(Window.partitionBy("_cell").orderBy("_order", *id_cols))
-    edge_rows = tagged.filter(at_edge).withColumn("split", F.when(
-        rank <= F.col("_take"), "train").otherwise("validation"))
-    return sure.unionByName(edge_rows).drop("_order", "_cell", "_edge", "_take")
+    edge_rows = keyed.filter(at_edge).withColumn("split", F.when(
+        rank <= edge["take"], "train").otherwise("validation"))
+    return sure.unionByName(edge_rows).drop("_order", "_cell")

@@ -89,18 +89,18 @@ def train_bpe(counts, vocab_size=VOCAB_SIZE, min_frequency=MIN_FREQUENCY):
     one string replacement. Each round counts adjacent pairs on the cluster and brings only the
     leading pairs to the driver. Next is the most frequent pair, ties to the smallest ids.
     """
-    letters = F.explode(F.split("word", ""))
-    alphabet = [r[0] for r in counts.select(letters.alias("c")).distinct().collect() if r[0]]
+    # Small as bytes but costly per row, so spread over all cores rather than by size.
+    cores = counts.sparkSession.sparkContext.defaultParallelism
+    counts = cut(counts.select("word", "n").repartition(cores, "word"))
     # Byte symbols: 256 at most.
-    tokens = SPECIAL_TOKENS + sorted(alphabet)
+    letters = counts.select(F.explode(F.split("word", "")).alias("c")).distinct().collect()
+    tokens = SPECIAL_TOKENS + sorted(r[0] for r in letters if r[0])
     ids = {t: i for i, t in enumerate(tokens)}
     by_point = F.array(*[F.lit(ids.get(chr(c), UNK)) for c in range(512)])
     as_ids = F.transform(F.split("word", ""), lambda c: F.concat(
         F.lit(" "), F.get(by_point, F.ascii(c)).cast("string"), F.lit(" ")))
-    # Small as bytes but costly per row, so spread over all cores rather than by size.
-    cores = counts.sparkSession.sparkContext.defaultParallelism
     words = cut(counts.filter(F.length("word") > 1).select(
-        F.array_join(as_ids, "").alias("w"), "n").repartition(cores, "w"))
+        F.array_join(as_ids, "").alias("w"), "n"))
     merges, stacked = [], []
     while len(tokens) < vocab_size:
         if len(stacked) >= _STACKED:

@@ -84,7 +84,13 @@ def trim_history(turns, tokenizer, max_tokens=MAX_HISTORY_TOKENS):
                        F.floor((F.col("upper") - 1) / max_tokens))
     wanted = now.filter(F.col("lower") < F.col("upper")).withColumn("bucket", F.explode(reach))
     in_range = (F.col("at") >= F.col("lower")) & (F.col("at") < F.col("upper"))
-    history = wanted.join(past, ["conv_id", "bucket"]).filter(in_range).select(
+    meeting = ["conv_id", "bucket"]
+    if not plain:
+        # Many unanswered messages may look at one bucket: give each stretch of them a copy.
+        wanted = wanted.withColumn(_STRETCH, F.shiftright("turn", scan.WITHIN_KEY[0]))
+        past = past.join(wanted.select(*meeting, _STRETCH).distinct(), meeting)
+        meeting = [*meeting, _STRETCH]
+    history = wanted.join(past, meeting).filter(in_range).select(
         "conv_id", "turn", "at", "piece", "piece_tokens", F.lit(1).alias("is_past"))
     own = placed.select("conv_id", "turn", F.col("start").alias("at"),
                         _current(F.col("user_text")).alias("piece"),

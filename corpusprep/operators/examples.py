@@ -9,7 +9,8 @@ from corpusprep.plans.scan import fits_in_task, position, running_total
 
 def number_turns(df, order_col):
     """Replace any per-conversation ordering column by the 0-based list position `turn`."""
-    return position(df, ["conv_id"], F.col(order_col).cast("bigint"), "turn")
+    return position(df, ["conv_id"], F.col(order_col).cast("bigint"), "turn",
+                    plain=fits_in_task(df, ["conv_id"]))
 
 
 def encode_turns(turns, tokenizer, keep_last=None):

@@ -1,33 +1,38 @@
 """Perplexity, cross-entropy, curriculum gate and run statistics (M1-M3, M5)."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusprep.constants import IGNORE_INDEX, STAGES
 from corpusprep.plans.skew import hot_keys, join_per_key
 
-# Scores are summed in bands of this width, so exp() inside a band cannot overflow.
+# Scores are summed in bands of this width, so exp() inside a band cannot overflow. The top 13
+# bands span more than 745, beyond which exp() is zero.
 _BAND = 64.0
+_BANDS = 13
 
 
-def log_sum_exp(df, keys, score, out="lse", weight=None, **extra):
-    """`ln(sum(weight * exp(score)))` per key, without a prior pass for the maximum.
+def log_sum_exp(df, keys, score, out="lse", hit=None):
+    """`ln(sum(exp(score)))` per key, without a prior pass for the maximum.
 
-    Both levels are plain sums and maxima, so each combines before its shuffle. `extra` holds
-    further Columns of which the maximum per key is kept.
+    Bands are plain sums, combined before their shuffle, and only the top bands of a key are
+    brought together. `hit` is a Column of which the maximum per key is kept as well.
     """
     band = F.floor(score / _BAND).cast("double")
-    term = F.exp(score - F.col("_band") * _BAND)
-    if weight is not None:
-        term = term * weight
-    banded = df.withColumn("_band", band).groupBy(*keys, "_band").agg(
-        F.sum(term).alias("_s"), *[F.max(c).alias(n) for n, c in extra.items()])
-    # A lower band adds less than the rounding error once it is far below the top one.
-    top = banded.groupBy(*keys).agg(F.max("_band").alias("_top"),
-                                    F.collect_list(F.struct("_band", "_s")).alias("_bands"),
-                                    *[F.max(n).alias(n) for n in extra])
-    total = F.aggregate("_bands", F.lit(0.0), lambda s, b: s + b["_s"] * F.exp(
-        (b["_band"] - F.col("_top")) * _BAND))
-    return top.select(*keys, (F.col("_top") * _BAND + F.log(total)).alias(out), *extra)
+    sums = [F.sum(F.exp(score - F.col("_band") * _BAND)).alias("_s")]
+    if hit is not None:
+        sums.append(F.max(hit).alias("hit"))
+    banded = df.withColumn("_band", band).groupBy(*keys, "_band").agg(*sums)
+    key = Window.partitionBy(*keys)
+    if hit is not None:
+        banded = banded.withColumn("hit", F.max("hit").over(key))
+    top = banded.withColumn("_r", F.row_number().over(key.orderBy(F.desc("_band")))).filter(
+        F.col("_r") <= _BANDS)
+    scaled = top.withColumn("_top", F.max("_band").over(key)).withColumn(
+        "_s", F.col("_s") * F.exp((F.col("_band") - F.col("_top")) * _BAND))
+    kept = [] if hit is None else [F.max("hit").alias("hit")]
+    return scaled.groupBy(*keys).agg(
+        (F.max("_top") * _BAND + F.log(F.sum("_s"))).alias(out), *kept)
 
 
 def perplexity(log, by=("run",)):

@@ -80,7 +80,6 @@ def running_total(df, keys, order, values, shifts=None, ties=(), plain=False):
                  for out in values])
 
 
-def position(df, keys, order, out="position", shifts=WHOLE_TABLE, ties=()):
+def position(df, keys, order, out="position", shifts=WHOLE_TABLE, ties=(), plain=False):
     """Exact 0-based position of each row in `order`, within `keys` (which may be empty)."""
-    plain = bool(keys) and fits_in_task(df, keys)
     return running_total(df, keys, order, {out: F.lit(1).cast("bigint")}, shifts, ties, plain)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions.vectors import doubles, rms_normalize
 from corpusprep.operators import vectors
-from corpusprep.plans.scan import position
+from corpusprep.plans.scan import fits_in_task, position
 from corpusprep.queries.registry import conversations, query, table
 
 SEED = 5
@@ -161,9 +161,10 @@ FROM flat GROUP BY 1, 2, 3"""
 
 
 def _window(spark, sf_dir, window):
-    placed = position(table(spark, sf_dir, "embeddings").select(
-        F.col("label").cast("bigint").alias("seq_id"), "vec_id", F.col("embedding").alias("vec")),
-        ["seq_id"], F.col("vec_id"), "pos")
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.col("label").cast("bigint").alias("seq_id"), "vec_id", F.col("embedding").alias("vec"))
+    placed = position(rows, ["seq_id"], F.col("vec_id"), "pos",
+                      plain=fits_in_task(rows, ["seq_id"]))
     found = vectors.causal_window_average(placed, window).withColumnRenamed("pos", "q")
     return _flat(found, "seq_id", "q")
 

@@ -32,9 +32,3 @@ def read_instructions(spark, path, pattern="*.jsonl"):
 def read_conversations(spark, path):
     """Turns as `(conv_id, turn, role, text)`."""
     return spark.read.schema(CONVERSATION).parquet(path)
-
-
-def nest_turns(turns):
-    """One row per conversation with its turns in order; for conversations that fit in a row."""
-    turn = F.struct("turn", "role", F.col("text").alias("content"))
-    return turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
