@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusprep.constants import ACCUMULATION_STEPS, IGNORE_INDEX, PAD, TRAIN_FRACTION
 from corpusprep.functions.hashing import shuffle_key
 from corpusprep.operators.examples import supervised_tokens
-from corpusprep.plans.scan import HASHED, WHOLE_TABLE, cell_offsets, position
+from corpusprep.plans.scan import HASHED, WHOLE_TABLE, position
 
 
 def ordered_index(df, id_col, keys=(), out="position"):
@@ -81,16 +81,18 @@ def seeded_shuffle_split(df, id_cols, seed, fraction=TRAIN_FRACTION, n=None):
     """
     keyed = df.withColumn("_order", shuffle_key(seed, id_cols)).withColumn(
         "_cell", F.shiftright("_order", HASHED[0]))
-    counts = keyed.groupBy("_cell").agg(F.count(F.lit(1)).alias("rows"))
-    before = cell_offsets(counts.withColumn("before", F.col("rows")), [], ["before"], HASHED)
-    edges = before.join(counts, "_cell")
-    total = counts.agg(F.sum("rows")).scalar()
+    # At most 65,536 rows from here to the edge.
+    every = Window.partitionBy(F.lit(0))
+    earlier = every.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = keyed.groupBy("_cell").agg(F.count(F.lit(1)).alias("rows")).withColumns({
+        "before": F.coalesce(F.sum("rows").over(earlier), F.lit(0)),
+        "total": F.sum("rows").over(every)})
     limit = F.lit(n) if n is not None else F.floor(
-        total * F.lit(Decimal(str(fraction))))
-    # At most one cell straddles the cut; none when the cut takes every row or no row.
-    edge = edges.filter((F.col("before") <= limit) & (
-        F.col("before") + F.col("rows") > limit)).agg(F.struct(
-            F.max("_cell").alias("cell"), F.max(limit - F.col("before")).alias("take"))).scalar()
+        F.col("total") * F.lit(Decimal(str(fraction))))
+    # At most one cell straddles the cut; none when the cut takes every row.
+    edge = cells.withColumn("take", limit - F.col("before")).filter(
+        (F.col("take") >= 0) & (F.col("take") < F.col("rows"))).agg(F.struct(
+            F.max("_cell").alias("cell"), F.max("take").alias("take"))).scalar()
     at_edge = F.coalesce(F.col("_cell") == edge["cell"], F.lit(False))
     sure = keyed.filter(~at_edge).withColumn("split", F.when(
         edge["cell"].isNull() | (F.col("_cell") < edge["cell"]), "train").otherwise("validation"))
