@@ -107,7 +107,8 @@ def train_bpe(counts, vocab_size=VOCAB_SIZE, min_frequency=MIN_FREQUENCY):
             words, stacked = cut(_merged(words, stacked).filter(F.contains("w", F.lit("  ")))), []
         leaders = (_merged(words, stacked)
                    .selectExpr("split(trim(w), '  ') AS s", "n")
-                   .selectExpr("n", "slice(s, 1, size(s) - 1) AS a", "slice(s, 2, size(s) - 1) AS b")
+                   .selectExpr("n", "slice(s, 1, size(s) - 1) AS a",
+                               "slice(s, 2, size(s) - 1) AS b")
                    .selectExpr("n", "inline(arrays_zip(a, b))")
                    .groupBy("a", "b").agg(F.sum("n").alias("c"))
                    .filter(f"c >= {min_frequency}")

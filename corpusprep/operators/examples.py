@@ -35,8 +35,9 @@ def assemble(turns, tokenizer):
     placed = running_total(encoded, ["conv_id"], F.col("turn"), {"start": F.col("n_tokens")},
                            plain=fits_in_task(turns, ["conv_id"]))
     ids = tokenizer.ids(F.col("payload"))
-    body = placed.select("conv_id", F.col("turn").alias("piece"), (F.col("start") + 1).alias("start"),
-                         "supervised", ids.alias("input_ids"))
+    body = placed.select(
+        "conv_id", F.col("turn").alias("piece"), (F.col("start") + 1).alias("start"),
+        "supervised", ids.alias("input_ids"))
     body = body.select("conv_id", "piece", "start", "input_ids",
                        _labels(F.col("input_ids"), F.col("supervised")).alias("labels"))
     ends = encoded.groupBy("conv_id").agg(F.sum("n_tokens").alias("n"), F.max("turn").alias("last"))

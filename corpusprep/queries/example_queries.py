@@ -52,7 +52,7 @@ def _turns(spark, sf_dir):
 
 @query("assemble", f"""
 WITH {_PIECES_SQL}
-SELECT conv_id, piece, start, ids::VARCHAR AS input_ids FROM pieces""")
+SELECT conv_id, piece, start::BIGINT AS start, ids::VARCHAR AS input_ids FROM pieces""")
 def assemble(spark, sf_dir):
     return examples.assemble(_turns(spark, sf_dir), CharTokenizer()).select(
         "conv_id", "piece", "start", listed(F.col("input_ids")).alias("input_ids"))
@@ -60,7 +60,7 @@ def assemble(spark, sf_dir):
 
 @query("label_mask", f"""
 WITH {_PIECES_SQL}
-SELECT conv_id, piece, start, labels::VARCHAR AS labels FROM pieces""")
+SELECT conv_id, piece, start::BIGINT AS start, labels::VARCHAR AS labels FROM pieces""")
 def label_mask(spark, sf_dir):
     return examples.assemble(_turns(spark, sf_dir), CharTokenizer()).select(
         "conv_id", "piece", "start", listed(F.col("labels")).alias("labels"))
@@ -185,7 +185,8 @@ shuffled AS (
 """
 
 
-@query("shuffled_index", f"WITH {_SHUFFLED_SQL} SELECT doc_id, idx::BIGINT AS position FROM shuffled")
+@query("shuffled_index",
+       f"WITH {_SHUFFLED_SQL} SELECT doc_id, idx::BIGINT AS position FROM shuffled")
 def shuffled_index(spark, sf_dir):
     return batching.shuffled_index(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"],
                                    SEED)

@@ -10,7 +10,7 @@ MAX_ENTRIES = 1 << 20
 
 
 def save_vocab(vocab, path, merges=None, mode="error"):
-    """Write `vocab(token, id[, at])` and `merges`; `at` is the order of entry, by default the id."""
+    """Write `vocab(token, id[, at])` and `merges`; `at` is the order of entry, else the id."""
     ordered = vocab if "at" in vocab.columns else vocab.withColumn("at", F.col("id"))
     ordered.write.mode(mode).parquet(f"{path}/vocab")
     if merges is not None:
