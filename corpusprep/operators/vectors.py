@@ -11,6 +11,8 @@ from corpusprep.plans.skew import join_per_key
 
 # Centroids are compared in blocks of this many; one block is what a task holds in memory.
 BLOCK = 4096
+# A table of vectors is broadcast up to this size.
+BROADCAST_BYTES = 64 << 20
 _SCORES = "vec_id bigint, expert_id bigint, score double"
 
 
@@ -90,11 +92,19 @@ def top_k_assign(vectors, centroids, k=2):
         "weight", F.col("_e") / F.sum("_e").over(every)).drop("_e")
 
 
+def _with_vectors(rows, table, key, spread_by):
+    """Join the vector of `key` to each row: broadcast up to a checked size, else spread."""
+    count, width = table.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
+    if count * (width or 0) * 8 <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(table), key)
+    return join_per_key(rows, table, [key], spread_by)
+
+
 def weighted_combine(assignments, values, shared=None):
     """Sum of weight times the assigned expert's vector, plus `shared(vec_id, vec)` when given."""
-    picked = join_per_key(assignments.select("vec_id", "expert_id", "weight"),
-                          values.select("expert_id", doubles("vec").alias("vec")),
-                          ["expert_id"], ["vec_id"])
+    picked = _with_vectors(assignments.select("vec_id", "expert_id", "weight"),
+                           values.select("expert_id", doubles("vec").alias("vec")),
+                           "expert_id", ["vec_id"])
     if shared is not None:
         picked = picked.unionByName(shared.select(
             "vec_id", F.lit(-1).cast("bigint").alias("expert_id"), F.lit(1.0).alias("weight"),
@@ -135,7 +145,7 @@ def assignment_balance(scores):
 def embedding_lookup(tokens, table):
     """`row_id, pos, token, vec` for `tokens(row_id, ids)` and `table(token, vec)`."""
     flat = tokens.select("row_id", F.posexplode("ids").alias("pos", "token"))
-    return join_per_key(flat, table.select("token", "vec"), ["token"], ["row_id", "pos"])
+    return _with_vectors(flat, table.select("token", "vec"), "token", ["row_id", "pos"])
 
 
 def grow_table(table, new_size, dim, seed, std=0.02):

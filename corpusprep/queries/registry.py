@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from corpusprep.operators.context import exchanges
-from corpusprep.plans.skew import join_per_key
+from corpusprep.plans.skew import hot_keys, join_per_key
 from corpusprep.sources.tables import read_conversations
 
 QUERIES = {}
@@ -40,7 +40,8 @@ def instructions(spark, sf_dir):
     system = turns.filter(F.col("role") == "system").groupBy("conv_id").agg(
         F.max("text").alias("context"))
     pairs = exchanges(turns).filter(F.col("response").isNotNull())
-    return join_per_key(pairs, system, ["conv_id"], ["turn"], "left").select(
+    hot = hot_keys(turns, ["conv_id"])
+    return join_per_key(pairs, system, ["conv_id"], ["turn"], "left", hot).select(
         (F.col("conv_id") * 4096 + F.col("turn")).alias("rec_id"),
         F.col("user_text").alias("instruction"), "context", "response")
 

@@ -1,6 +1,5 @@
 """Run registered queries beside their SQL: `python tests/oracle.py [sf] [name ...]`."""
 
-import math
 import os
 import sys
 import time
@@ -23,9 +22,8 @@ def connect(sf_dir):
 def canonical(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     def cell(x):
-        if isinstance(x, float):
-            return "nan" if math.isnan(x) else x + 0.0
-        return x
+        # Text of a float tells -0.0 from 0.0 and makes NaN equal to itself.
+        return repr(x) if isinstance(x, float) else x
     return sorted((tuple(cell(r[i]) for i in order) for r in rows), key=repr)
 
 

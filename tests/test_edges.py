@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpusprep.functions import chars, templates
 from corpusprep.functions.vectors import rms_normalize
 from corpusprep.operators import batching, candidates, context, examples, metrics, problems, vectors
+from corpusprep.plans import skew
 from corpusprep.sources.tables import read_instructions, read_jsonl, write_jsonl
 from corpusprep.sources.vocab import load_vocab, save_vocab
 
@@ -231,6 +232,25 @@ def test_assignment_blocks(spark, monkeypatch, block):
     assert vectors.score_experts(vecs, cents).count() == 15
 
 
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_lookup_and_combine(spark, monkeypatch, limit):
+    """The broadcast and the spread join give the same; tokens without a vector drop out."""
+    monkeypatch.setattr(vectors, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(skew, "TASK_ROWS", 2)
+    table = spark.createDataFrame([(1, [1.0]), (2, [2.0])], "token long, vec array<double>")
+    tokens = spark.createDataFrame([(0, [1, 2, 1, 9]), (1, []), (2, [1, 1])],
+                                   "row_id long, ids array<long>")
+    got = vectors.embedding_lookup(tokens, table).orderBy("row_id", "pos").collect()
+    assert [(r.row_id, r.pos, r.vec[0]) for r in got] == [
+        (0, 0, 1.0), (0, 1, 2.0), (0, 2, 1.0), (2, 0, 1.0), (2, 1, 1.0)]
+    chosen = spark.createDataFrame([(0, 1, 0.25), (0, 2, 0.75), (1, 1, 1.0), (2, 1, 1.0)],
+                                   "vec_id long, expert_id long, weight double")
+    shared = spark.createDataFrame([(0, [10.0]), (1, [20.0])], "vec_id long, vec array<float>")
+    combined = vectors.weighted_combine(chosen, table.withColumnRenamed("token", "expert_id"),
+                                        shared)
+    assert {r.vec_id: r.vec for r in combined.collect()} == {0: [11.75], 1: [21.0], 2: [1.0]}
+
+
 @pytest.mark.parametrize("window, block", [(2, 3), (3, 4), (128, 1024), (1, 1)])
 def test_causal_window(spark, window, block):
     import numpy as np
