@@ -1,6 +1,7 @@
 """JSON lines, conversation tables."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusprep.schemas import CONVERSATION, INSTRUCTION, PROBLEM
 
@@ -14,7 +15,8 @@ def read_jsonl(spark, path, schema=PROBLEM, pattern=None, corrupt_column=None):
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if corrupt_column:
-        return reader.schema(schema.add(corrupt_column, "string")).option(
+        marked = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
+        return reader.schema(marked).option(
             "columnNameOfCorruptRecord", corrupt_column).json(path)
     return reader.schema(schema).option("mode", "FAILFAST").json(path)
 
