@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from corpusprep.llm import mixing
+from corpusprep.llm import (
+    bit_sliced, line_dedup, mixing, ngram_join, packing, spotsigs, token_file, toxicity)
 from corpusprep.llm.common import stored
+from corpusprep.plans.lineage import scratch_path
 
 QUERIES = {}
 ORACLES = {}
@@ -27,3 +29,104 @@ def op1(spark, sf_dir):
     sizes = stored(mixing.document_sizes(table(spark, sf_dir, "documents")), "mix-documents")
     return mixing.apply_plan(sizes, mixing.mix_plan(sizes)).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
+def tokenizer_path(name="word_bpe_49k.json"):
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op2_token_file")
+def op2(spark, sf_dir):
+    path = scratch_path(spark, "token-file")
+    token_file.write_token_file(table(spark, sf_dir, "documents"), path, tokenizer_path(), 2)
+    return token_file.read_token_digests(spark, path)
+
+
+@query("op3_pack_documents")
+def op3(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), 0)
+
+
+@query("op4_spot_signatures")
+def op4(spark, sf_dir):
+    return spotsigs.against_edited(table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query("op5_bit_sliced_top_k", OP5_SQL)
+def op5(spark, sf_dir):
+    return bit_sliced.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op7_toxicity")
+def op7(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP9_SQL = """
+WITH RECURSIVE lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         unnest(range(len(string_split(text, chr(10))))) AS line_no
+  FROM documents WHERE text IS NOT NULL
+), kept AS (SELECT * FROM lines WHERE length(line) >= 10
+), nodes AS (
+  SELECT line, length(line) AS n, min({'d': doc_id, 'l': line_no}) AS first FROM kept GROUP BY line
+), linked AS (
+  SELECT a.first AS a, b.first AS b FROM nodes a JOIN nodes b
+  ON a.n >= 24 AND b.n >= 24 AND b.n BETWEEN a.n - 2 AND a.n + 2 AND a.line <> b.line
+  WHERE levenshtein(a.line, b.line) <= 2
+), reach AS (
+  SELECT first AS a, first AS b FROM nodes UNION SELECT r.a, l.b FROM reach r JOIN linked l ON r.b = l.a
+), class AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT k.doc_id, k.line_no::INTEGER AS line_no, c.c.d AS class_doc_id,
+       c.c.l::INTEGER AS class_line_no, (k.doc_id = c.c.d AND k.line_no = c.c.l) AS kept
+FROM kept k JOIN nodes n ON k.line = n.line JOIN class c ON n.first = c.a
+"""
+
+
+@query("op9_line_classes", OP9_SQL)
+def op9(spark, sf_dir):
+    return line_dedup.line_classes(table(spark, sf_dir, "documents")).drop("node")
+
+
+OP10_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN [] WHEN len(w) < 3
+    THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 1),
+      i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words
+), marks AS (SELECT doc_id, len(s) AS n, unnest(s) AS m FROM sets
+), linked AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM marks a JOIN marks b
+  ON a.m = b.m AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM sets
+  UNION SELECT r.a, l.b FROM reach r JOIN linked l ON r.b = l.a
+), class AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.c AS component_id
+FROM sets s JOIN class c ON s.doc_id = c.a
+""".replace("\\\\", "\\")
+
+
+@query("op10_ngram_join", OP10_SQL)
+def op10(spark, sf_dir):
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
