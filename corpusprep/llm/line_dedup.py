@@ -52,8 +52,9 @@ def _signatures(edits):
     return F.array(*found)
 
 
-def within_edits(a, b, edits):
-    """Whether two strings are within `edits` edits (up to 4), by a banded bit-parallel automaton.
+def within_edits(ca, cb, edits):
+    """Whether two arrays of characters are within `edits` edits (up to 4) of each other, by a
+    banded bit-parallel automaton.
 
     Field e of a word has one bit per diagonal that e errors can reach. A character keeps the
     diagonals where it matches; an error moves to the next field, on the same diagonal
@@ -61,54 +62,67 @@ def within_edits(a, b, edits):
     """
     width, fields = 2 * edits + 2, edits + 1
     ones = sum(1 << (e * width) for e in range(fields))
-    mask = ones * ((1 << (2 * edits + 1)) - 1)
+
+    def mask(low):
+        return ones * ((1 << (2 * edits + 1)) - (1 << low))
 
     def put_in(word):
-        for _ in range(edits):
-            word = word.bitwiseOR(F.shiftleft(word, width + 1).bitwiseAND(F.lit(mask)))
-        return word
+        for k in range(1, edits + 1):
+            yield F.shiftleft(word, k * (width + 1)).bitwiseAND(F.lit(mask(k)).cast("long"))
 
-    start = 1 << edits
-    for _ in range(edits):
-        start |= (start << (width + 1)) & mask
-    ca, cb = F.split(a, ""), F.split(b, "")
+    def closed(word):
+        return reduce(lambda x, y: x.bitwiseOR(y), put_in(word), word)
 
     def step(word, i):
         match = reduce(lambda x, y: x + y, [
-            F.when(F.get(ca, i) == F.get(cb, i + (d - edits)), F.lit(1 << d).cast("long")).otherwise(
-                F.lit(0).cast("long")) for d in range(2 * edits + 1)])
+            F.when(F.get(ca, i) == F.get(cb, i + (d - edits)), F.lit(ones << d).cast("long")
+                   ).otherwise(F.lit(0).cast("long")) for d in range(2 * edits + 1)])
         moved = F.shiftleft(word, width)
-        return put_in(word.bitwiseAND(match * F.lit(ones)).bitwiseOR(moved).bitwiseOR(
-            F.shiftright(moved, 1)).bitwiseAND(F.lit(mask)))
+        now = word.bitwiseAND(match).bitwiseOR(moved).bitwiseOR(F.shiftright(moved, 1)).bitwiseAND(
+            F.lit(mask(0)).cast("long"))
+        # A one-element array names the word, so that it is worked out once.
+        return F.element_at(F.transform(F.array(now), closed), 1)
 
-    # An empty string splits into one empty string, which matches no character.
-    steps = F.when(F.length(a) > 0, F.sequence(F.lit(0), F.length(a) - 1)).otherwise(
+    gap = F.size(cb) - F.size(ca)
+    start = 1 << edits
+    for k in range(1, edits + 1):
+        start |= (1 << edits << (k * (width + 1))) & mask(k)
+    # Alive on the last diagonal after any number of errors.
+    goal = F.element_at(F.array(*[
+        F.lit(ones << (g + edits)).cast("long") for g in range(-edits, edits + 1)]),
+        F.greatest(F.least(gap, F.lit(edits)), F.lit(-edits)) + edits + 1)
+    steps = F.when(F.size(ca) > 0, F.sequence(F.lit(0), F.size(ca) - 1)).otherwise(
         F.array().cast("array<int>"))
-    last = F.aggregate(steps, F.lit(start).cast("long"), step)
-    gap = F.length(b) - F.length(a)
-    final = F.expr("0L")
-    for e in range(fields):
-        for d in range(2 * edits + 1):
-            final = final + F.when((gap + edits == d) & (
-                F.shiftright(last, e * width + d).bitwiseAND(F.lit(1)) == 1), 1).otherwise(0)
-    return (F.abs(gap) <= edits) & (final > 0)
-
-
-def _trimmed(pairs, cuts=8):
-    """Cut equal beginnings and ends, at eighths of the shorter line: the distance stays."""
-    short = F.least(F.length("ta"), F.length("tb"))
-    at = [F.floor(short * k / cuts).cast("int") for k in range(1, cuts)]
-    head = F.greatest(F.lit(0), *[F.when(F.left("ta", k) == F.left("tb", k), k).otherwise(0)
-                                  for k in at])
-    cut = pairs.withColumn("head", head)
-    rest = {c: F.expr(f"substring({c}, head + 1)") for c in ("ta", "tb")}
-    cut = cut.withColumns(rest)
+    return (F.abs(gap) <= edits) & F.aggregate(
+        steps, F.lit(start).cast("long"), step, lambda word: word.bitwiseAND(goal) != 0)
+
+
+def _named(df, keep, **columns):
+    """`keep` and new columns, each worked out once: the optimizer would otherwise put their
+    expressions in every place that uses them."""
+    return df.select(*keep, F.inline(F.array(F.struct(*[
+        c.alias(name) for name, c in columns.items()]))))
+
+
+def _equal_part(side, cuts=8):
+    """Code points that two texts have in common at one end, by eighths of the shorter one."""
     short = F.least(F.length("ta"), F.length("tb"))
     at = [F.floor(short * k / cuts).cast("int") for k in range(1, cuts)]
-    tail = F.greatest(F.lit(0), *[F.when(F.right("ta", k) == F.right("tb", k), k).otherwise(0)
+    return F.greatest(F.lit(0), *[F.when(side("ta", k) == side("tb", k), k).otherwise(0)
                                   for k in at])
-    return cut.withColumn("tail", tail).withColumns({
-        c: F.expr(f"left({c}, length({c}) - tail)") for c in ("ta", "tb")})
+
+
+def verified(pairs, edits):
+    """`(a, b)` of the rows of `pairs(a, b, ta, tb)` whose texts are within `edits` edits."""
+    ids = ["a", "b"]
+    # Equal beginnings and ends are cut off first; the distance stays.
+    found = _named(pairs, [*ids, "ta", "tb"], head=_equal_part(F.left))
+    found = _named(found, ids, **{c: F.expr(f"substring({c}, head + 1)") for c in ("ta", "tb")})
+    found = _named(found, [*ids, "ta", "tb"], tail=_equal_part(F.right))
+    # Splitting an empty string gives one empty string instead of nothing.
+    found = _named(found, ids, **{c: F.filter(F.split(F.expr(f"left({c}, length({c}) - tail)"), ""),
+                                              lambda x: x != "") for c in ("ta", "tb")})
+    return found.filter(within_edits(F.col("ta"), F.col("tb"), edits)).select(*ids)
 
 
 def line_classes(docs, edits=2, exact_chars=10, near_chars=24):
@@ -151,8 +165,7 @@ def line_classes(docs, edits=2, exact_chars=10, near_chars=24):
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("ta")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("line").alias("tb")), "b").filter(
         F.abs(F.length("ta") - F.length("tb")) <= edits)
-    edges = stored(_trimmed(both).filter(within_edits(F.col("ta"), F.col("tb"), edits)).select(
-        "a", "b"), "line-links")
+    edges = stored(verified(both, edits), "line-links")
     joined = components(edges)
     classed = firsts.select("node", "first").join(joined, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))

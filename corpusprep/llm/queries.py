@@ -55,12 +55,12 @@ def op4(spark, sf_dir):
 
 OP5_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)::BIGINT) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2]))::BIGINT AS score
+         list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
@@ -112,7 +112,7 @@ WITH RECURSIVE words AS (
 ), sets AS (
   SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN [] WHEN len(w) < 3
     THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 1),
-      i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words
+      lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words
 ), marks AS (SELECT doc_id, len(s) AS n, unnest(s) AS m FROM sets
 ), linked AS (
   SELECT a.doc_id AS a, b.doc_id AS b FROM marks a JOIN marks b
@@ -124,7 +124,7 @@ WITH RECURSIVE words AS (
 ), class AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.c AS component_id
 FROM sets s JOIN class c ON s.doc_id = c.a
-""".replace("\\\\", "\\")
+"""
 
 
 @query("op10_ngram_join", OP10_SQL)
