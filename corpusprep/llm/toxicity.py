@@ -1,11 +1,12 @@
 """Toxicity by subword-bag embeddings averaged into a linear softmax.
 
 A word is the mean of the vectors of its character n-grams (hashed into a fixed table), a text the
-mean of its words, and a linear softmax over two classes reads the text's vector. Table and softmax
-are trained together in numpy, by full gradients with Adam, on a bounded sample of labelled texts,
-in one Spark task. Since everything after the table is linear, a word adds one number to a text's
-logit; scoring computes that number once per distinct word of a worker, n-grams of unseen
-spellings included, and averages it over the whole text.
+mean of its words (and of a few blank ones, so that a handful of words can't shout), and a linear
+softmax over two classes reads the text's vector. Table and softmax are trained together in numpy, by
+small batches with Adam, on a bounded sample of labelled texts, in one Spark task. Since everything
+after the table is linear, a word adds one number to a text's logit; scoring computes that number
+once per distinct word of a worker, n-grams of unseen spellings included, and averages it over the
+whole text.
 """
 
 import re
@@ -18,12 +19,14 @@ from pyspark.sql import types as T
 from corpusprep.llm.common import stored
 from corpusprep.llm.words import mix
 
-#: Labelled texts per class that the model is fitted on, by smallest hash of their id.
-SAMPLE = 4000
-BUCKETS = 1 << 16
-DIMENSIONS = 8
-SHORTEST, LONGEST = 3, 6
-STEPS = 80
+#: Toxic and clean texts that the model is fitted on at most, by smallest hash of their id.
+SAMPLE = (2500, 7500)
+BUCKETS = 1 << 17
+DIMENSIONS = 2
+BLANK = 20
+SCALE = np.float32(30)
+SHORTEST, LONGEST = 3, 5
+EPOCHS, BATCH = 8, 64
 REMEMBERED = 500_000
 _WORD = re.compile(r"\w+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -42,7 +45,7 @@ def subwords(words, buckets=BUCKETS):
     chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(
         np.uint64)
     size = np.array([len(w) for w in marked], dtype=np.int64)
-    word = np.repeat(np.arange(len(words)), size)
+    word = np.repeat(np.arange(len(words), dtype=np.int32), size)
     left = np.repeat(np.cumsum(size), size) - np.arange(len(chars))
     found, owners, value = [], [], np.zeros(len(chars), dtype=np.uint64)
     for n in range(1, LONGEST + 1):
@@ -51,74 +54,75 @@ def subwords(words, buckets=BUCKETS):
         value = mix(value * _STEP + ahead + np.uint64(1))
         if n >= SHORTEST:
             fits = left >= n
-            found.append((value[fits] % np.uint64(buckets)).astype(np.int64))
+            found.append((value[fits] % np.uint64(buckets)).astype(np.int32))
             owners.append(word[fits])
     rows, owners = np.concatenate(found), np.concatenate(owners)
     order = np.argsort(owners, kind="stable")
     return rows[order], np.searchsorted(owners[order], np.arange(len(words) + 1))
 
 
-def _mean(values, heads):
-    """Mean of each run of rows between heads; every run has at least one."""
-    return np.add.reduceat(values, heads[:-1], axis=0) / np.diff(heads)[:, None]
+def _bag(words, rows, heads):
+    """Distinct table rows of a text given as word numbers, with their weights in its mean."""
+    words, count = np.unique(words, return_counts=True)
+    size = heads[words + 1] - heads[words]
+    at = np.repeat(heads[words] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+    weight = np.repeat(count / (count.sum() + BLANK) / size, size)
+    found, where = np.unique(rows[at], return_inverse=True)
+    return found, np.bincount(where, weight).astype(np.float32)
 
 
-def fit(texts, labels, weights, steps=STEPS, rate=0.05):
-    """Table of n-gram logits and intercept, trained jointly; deterministic.
+def fit(texts, labels, weights, rate=0.05):
+    """Embeddings and softmax trained jointly; deterministic.
 
-    `weights` undo the sampling of classes. Returns `(table, intercept)` where a word's number is
-    the mean of its n-grams' table entries.
+    `weights` undo the sampling of classes. Returns `(table, intercept)`: a word's number is the
+    mean of its n-grams' table entries, each the difference of the classes' logits.
     """
-    bags = [words_of(t) for t in texts]
-    vocabulary = {w: k for k, w in enumerate(sorted({w for b in bags for w in b}))}
-    rng = np.random.default_rng(0)
-    table = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
-    soft = rng.normal(0, 0.1, (DIMENSIONS, 2)).astype(np.float32)
-    bias = np.zeros(2, dtype=np.float32)
-    keep = [k for k, b in enumerate(bags) if b]
+    # Numbers take the place of words at once, so that no text is held as a list of words.
+    vocabulary = {}
+    numbered = [np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t)),
+                            np.int64) for t in texts]
+    keep = [k for k, b in enumerate(numbered) if len(b)]
     if not keep:
-        return np.zeros(BUCKETS, np.float32), 0.0
-    y, weight = np.asarray(labels)[keep], np.asarray(weights, dtype=np.float32)[keep]
-    weight = weight / weight.sum()
-    # Texts as counts of words, words as runs of n-grams.
-    unique = [np.unique(np.fromiter((vocabulary[w] for w in bags[k]), np.int64),
-                        return_counts=True) for k in keep]
-    term = np.concatenate([u for u, _ in unique])
-    share = np.concatenate([c / c.sum() for _, c in unique]).astype(np.float32)
-    text_heads = np.concatenate([[0], np.cumsum([len(u) for u, _ in unique])])
-    owner = np.repeat(np.arange(len(keep)), np.diff(text_heads))
+        return np.zeros(1, np.float32), 0.0
     rows, heads = subwords(list(vocabulary))
-    per = (1 / np.diff(heads)).astype(np.float32)
-    gram_word = np.repeat(np.arange(len(vocabulary)), np.diff(heads))
-    # Text vectors are a linear map of the table; only its distinct rows are trained.
-    moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (table, soft, bias)]
-    target = np.eye(2, dtype=np.float32)[y]
-    for t in range(1, steps + 1):
-        words = np.stack([np.add.reduceat(table[:, d][rows], heads[:-1]) * per
-                          for d in range(DIMENSIONS)], axis=1)
-        text = np.stack([np.add.reduceat(words[:, d][term] * share, text_heads[:-1])
-                         for d in range(DIMENSIONS)], axis=1)
-        # Averages over long texts are small; the fixed scale keeps the softmax in reach.
-        logits = SCALE * text @ soft + bias
-        logits -= logits.max(axis=1, keepdims=True)
-        chance = np.exp(logits)
-        chance /= chance.sum(axis=1, keepdims=True)
-        slope = (chance - target) * weight[:, None]
-        g_text = SCALE * slope @ soft.T
-        g_soft, g_bias = SCALE * text.T @ slope, slope.sum(axis=0)
-        g_table = np.empty_like(table)
-        for d in range(DIMENSIONS):
-            g_word = np.bincount(term, g_text[:, d][owner] * share, len(vocabulary)) * per
-            g_table[:, d] = np.bincount(rows, g_word[gram_word], BUCKETS)
-        for p, g, m in zip((table, soft, bias), (g_table, g_soft, g_bias), moments):
-            m[0] += 0.1 * (g - m[0])
-            m[1] += 0.001 * (g * g - m[1])
-            p -= rate * (m[0] / (1 - 0.9**t)) / (np.sqrt(m[1] / (1 - 0.999**t)) + 1e-12)
-    read = soft[:, 1] - soft[:, 0]
-    return SCALE * (table @ read), float(bias[1] - bias[0])
-
-
-SCALE = np.float32(30)
+    del vocabulary
+    bags = [_bag(numbered[k], rows, heads) for k in keep]
+    target = np.eye(2, dtype=np.float32)[np.asarray(labels)[keep]]
+    weight = np.asarray(weights, dtype=np.float32)[keep]
+    weight /= weight.mean()
+    rng = np.random.default_rng(0)
+    table = rng.normal(0, 0.001, (BUCKETS, DIMENSIONS)).astype(np.float32)
+    soft = (rng.normal(0.5, 0.1, (DIMENSIONS, 1)) * [[-1, 1]]).astype(np.float32)
+    bias = np.zeros(2, dtype=np.float32)
+    params = [table, soft, bias]
+    first, second = ([np.zeros_like(p) for p in params] for _ in "ab")
+    steps, t = EPOCHS * -(-len(bags) // BATCH), 0
+    for _ in range(EPOCHS):
+        order = rng.permutation(len(bags))
+        for start in range(0, len(bags), BATCH):
+            chosen = order[start:start + BATCH]
+            row = np.concatenate([bags[k][0] for k in chosen])
+            share = np.concatenate([bags[k][1] for k in chosen])
+            size = np.array([len(bags[k][0]) for k in chosen])
+            owner = np.repeat(np.arange(len(chosen)), size)
+            text = np.add.reduceat(table[row] * share[:, None], np.cumsum(size) - size, axis=0)
+            logit = SCALE * text @ soft + bias
+            chance = np.exp(logit - logit.max(axis=1, keepdims=True))
+            chance /= chance.sum(axis=1, keepdims=True)
+            slope = (chance - target[chosen]) * weight[chosen, None] / len(chosen)
+            pull = SCALE * slope @ soft.T
+            slopes = [np.stack([np.bincount(row, pull[:, d][owner] * share, BUCKETS)
+                                for d in range(DIMENSIONS)], axis=1), SCALE * text.T @ slope,
+                      slope.sum(axis=0)]
+            t += 1
+            for p, g, m, v in zip(params, slopes, first, second):
+                m += 0.1 * (g - m)
+                v += 0.01 * (g * g - v)
+                # The floor keeps n-grams with hardly any slope from moving like the others.
+                size_of = np.sqrt(v / (1 - 0.99**t))
+                size_of += 0.003 * size_of.max() + 1e-12
+                p -= rate * (1 - t / steps) * (m / (1 - 0.9**t)) / size_of
+    return SCALE * (table @ (soft[:, 1] - soft[:, 0])), float(bias[1] - bias[0])
 
 
 class Scorer(dict):
@@ -139,7 +143,7 @@ class Scorer(dict):
             self.update(zip(new, (np.add.reduceat(self.table[rows].astype(np.float64), heads[:-1])
                                   / np.diff(heads)).tolist()))
         get = self.__getitem__
-        logit = np.array([sum(map(get, b)) / len(b) if b else 0.0 for b in bags]) + self.intercept
+        logit = np.array([sum(map(get, b)) / (len(b) + BLANK) for b in bags]) + self.intercept
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
@@ -156,9 +160,10 @@ def _chunks(texts, limit=1 << 22):
 
 
 def train(labelled, sample=SAMPLE):
-    """Model from `labelled(doc_id, text, label)`; at most `sample` texts of each class are read,
-    those whose ids hash lowest. Null texts and labels are left out. Returns (table, intercept);
-    without both classes the model scores every text alike, by the label's share.
+    """Model from `labelled(doc_id, text, label)`: `(table, intercept)`.
+
+    At most `sample` (toxic, clean) texts are read, those whose ids hash lowest. Null texts and
+    labels are left out. Without both classes the model scores every text alike.
     """
     rows = labelled.filter("text is not null and label is not null")
     ids = rows.select("doc_id", "label")
@@ -166,11 +171,12 @@ def train(labelled, sample=SAMPLE):
     if not counts.get(0) or not counts.get(1):
         return np.zeros(1, np.float32), 20.0 if counts.get(1) else -20.0
     hashed = F.xxhash64(F.lit("sample"), "doc_id")
-    chosen = ids.filter("label = 0").orderBy(hashed, "doc_id").limit(sample).union(
-        ids.filter("label = 1").orderBy(hashed, "doc_id").limit(sample)).distinct()
-    # At most twice the sample of ids.
+    most = {1: sample[0], 0: sample[1]}
+    chosen = ids.filter("label = 0").orderBy(hashed, "doc_id").limit(most[0]).union(
+        ids.filter("label = 1").orderBy(hashed, "doc_id").limit(most[1])).distinct()
+    # As many ids as the sample has at most.
     texts = rows.join(F.broadcast(stored(chosen, "toxic-sample")), ["doc_id", "label"])
-    share = {k: max(1.0, counts[k] / sample) for k in (0, 1)}
+    share = {k: max(1.0, counts[k] / most[k]) for k in (0, 1)}
 
     def run(frames):
         import pandas as pd
