@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from corpusprep.llm import (
-    bit_sliced, line_dedup, mixing, ngram_join, packing, spotsigs, token_file, toxicity)
+    bit_sliced, host_paths, line_dedup, mixing, ngram_join, packing, sanitise, spotsigs, token_file,
+    toxicity)
 from corpusprep.llm.common import stored
 from corpusprep.plans.lineage import scratch_path
 
@@ -130,3 +131,19 @@ FROM sets s JOIN class c ON s.doc_id = c.a
 @query("op10_ngram_join", OP10_SQL)
 def op10(spark, sf_dir):
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
+@query("op6_host_paths")
+def op6(spark, sf_dir):
+    return host_paths.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query("op8_sanitise")
+def op8(spark, sf_dir):
+    return sanitise.find_personal_data(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
