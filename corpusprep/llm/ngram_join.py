@@ -7,17 +7,18 @@ that leave room for the overlap they need. Candidate pairs found that way are co
 the order is cut at pivots into fragments of equal weight, each fragment counts the overlap of the
 two sets' parts on its own, and the partial counts are summed per pair.
 
-Equal sets are one node throughout, so copies cost nothing. Candidates are first taken between
-each prefix n-gram's set with the fewest n-grams before it and the others that have the n-gram, one
-row per set; pairs between sets that are not yet in one component are then all compared. Every
-link therefore lies inside a component, and the components are those of all links.
+Equal sets are one node throughout, so copies cost nothing. Of the sets that have a prefix n-gram the
+one with the fewest n-grams before it is the hub. Each set is first compared with the hub that most
+of its n-grams name, then with its other hubs, and at last with all others that share a prefix
+n-gram; each time only where the two are not in one component yet. Every link therefore lies inside a
+component, and the components are those of all links.
 """
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import attach, components, discard, stored
+from corpusprep.llm.common import BROADCAST_ROWS, attach, components, discard, stored
 from corpusprep.llm.words import hashed_words, mix, shingles, slices, texts
 
 SKETCH_BITS = 22
@@ -188,27 +189,50 @@ def ngram_join(docs, n=3, percent=90, sketch_bits=SKETCH_BITS, fragments=FRAGMEN
 
     def linked(pairs):
         """The pairs `(a, b)` whose exact overlap reaches the Jaccard."""
+        many = pairs.count()
+        if not many:
+            return pairs
+        hinted = F.broadcast if many <= BROADCAST_ROWS else (lambda df: df)
         wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(
             nodes, "node").select(F.col("first").alias("doc_id")).distinct(), "join-wanted")
-        parts = attach(rows, wanted, "doc_id", "left_semi").mapInArrow(
-            _parts(n, shared, cuts), PARTS).dropDuplicates(["node", "fragment"])
-        parts = stored(parts, "join-parts")
-        left = parts.select(F.col("node").alias("a"), "fragment", F.col("n").alias("na"),
-                            F.col("tokens").alias("ta"))
-        right = parts.select(F.col("node").alias("b"), "fragment", F.col("n").alias("nb"),
-                             F.col("tokens").alias("tb"))
-        partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select(
-            "a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("both"))
-        edges = stored(partial.groupBy("a", "b", "na", "nb").agg(F.sum("both").alias("both")).filter(
-            f"100 * both >= {percent} * (na + nb - both)").select("a", "b"), "join-links")
+        parts = stored(attach(rows, wanted, "doc_id", "left_semi").mapInArrow(
+            _parts(n, shared, cuts), PARTS), "join-parts")
+        left = parts.withColumnsRenamed({"node": "a", "n": "na", "tokens": "ta"}).join(
+            hinted(pairs), "a")
+        right = parts.withColumnsRenamed({"node": "b", "n": "nb", "tokens": "tb"}).join(
+            hinted(pairs.select("b").distinct()), "b", "left_semi")
+        # A repeated document repeats its parts: one count per fragment.
+        partial = left.join(right, ["b", "fragment"]).select(
+            "a", "b", "na", "nb", "fragment", F.size(F.array_intersect("ta", "tb")).alias("both"))
+        summed = partial.groupBy("a", "b", "na", "nb", "fragment").agg(
+            F.max("both").alias("both")).groupBy("a", "b", "na", "nb").agg(
+            F.sum("both").alias("both"))
+        edges = stored(summed.filter(f"100 * both >= {percent} * (na + nb - both)").select(
+            "a", "b"), "join-links")
         discard(parts)
         discard(wanted)
         return edges
 
-    first = stored(met.filter((F.col("node") != F.col("node2")) & _room(percent)).select(
-        F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct(),
-        "join-pairs")
+    def known(pairs, joined):
+        """Components of both sides of pairs; a node without links is its own."""
+        for side in ("a", "b"):
+            names = joined.select(F.col("node").alias(side), F.col("component").alias("c" + side))
+            pairs = pairs.join(names, side, "left").withColumn(
+                "c" + side, F.coalesce("c" + side, side))
+        return pairs
+
+    # First each set with the hub that most of its prefix n-grams name, then with its other hubs
+    # where the components still differ.
+    named = stored(met.filter((F.col("node") != F.col("node2")) & _room(percent)).groupBy(
+        F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count(F.lit(1)).alias("tokens")),
+        "join-hubs")
+    closest = named.groupBy("a").agg(F.max(F.struct("tokens", "b")).alias("top"))
+    first = stored(closest.select("a", F.col("top.b").alias("b")), "join-pairs")
     edges = linked(first)
+    more = stored(known(named.select("a", "b").join(first, ["a", "b"], "left_anti"),
+                        components(edges)).filter("ca <> cb").select("a", "b"), "join-pairs")
+    tried = first.union(more)
+    edges = edges.union(linked(more))
     joined = components(edges)
     # What is left: sets that share a prefix n-gram and are in different components.
     rest = stored(met.select("token", "node", "n", "pos").join(joined, "node", "left").withColumn(
@@ -219,12 +243,14 @@ def ngram_join(docs, n=3, percent=90, sketch_bits=SKETCH_BITS, fragments=FRAGMEN
     rest = rest.join(open_, "token")
     other = rest.select("token", *[F.col(c).alias(c + "2") for c in ("node", "n", "pos",
                                                                      "component")])
+    both_ways = tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
     second = rest.join(other, (rest["token"] == other["token"]) & F.expr(
         "node < node2 and component <> component2") & _room(percent)).select(
         F.col("node").alias("a"), F.col("node2").alias("b")).distinct().join(
-        first, ["a", "b"], "left_anti")
-    edges = edges.union(linked(stored(second, "join-pairs")))
-    joined = components(edges)
+        both_ways, ["a", "b"], "left_anti")
+    found = linked(stored(second, "join-pairs"))
+    if not found.isEmpty():
+        joined = components(edges.union(found))
     ids = nodes.join(joined, "node", "left").withColumn("component", F.coalesce(
         "component", "node"))
     least = ids.groupBy("component").agg(F.min("first").alias("component_id"))
