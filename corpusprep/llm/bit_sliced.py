@@ -141,7 +141,7 @@ class Block:
 def _searched(shared, k, dropped):
     def run(key, table):
         width = key[1].as_py()
-        x = table.column("v").combine_chunks().flatten().to_numpy().reshape(-1, width)
+        x = table.column("v").combine_chunks().flatten().to_numpy().reshape(table.num_rows, width)
         block, out = Block(table.column("vec_id").to_numpy(), x, dropped), []
         for number, query_id, q in shared.value:
             if len(q) == width:

@@ -26,7 +26,8 @@ DIMENSIONS = 2
 BLANK = 20
 SCALE = np.float32(30)
 SHORTEST, LONGEST = 3, 5
-EPOCHS, BATCH = 8, 64
+#: At least so many passes over the sample, and so many steps of small batches.
+EPOCHS, STEPS, BATCH = 8, 800, 64
 REMEMBERED = 500_000
 _WORD = re.compile(r"\w+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -96,8 +97,10 @@ def fit(texts, labels, weights, rate=0.05):
     bias = np.zeros(2, dtype=np.float32)
     params = [table, soft, bias]
     first, second = ([np.zeros_like(p) for p in params] for _ in "ab")
-    steps, t = EPOCHS * -(-len(bags) // BATCH), 0
-    for _ in range(EPOCHS):
+    batches = -(-len(bags) // BATCH)
+    epochs = max(EPOCHS, -(-STEPS // batches))
+    steps, t = epochs * batches, 0
+    for _ in range(epochs):
         order = rng.permutation(len(bags))
         for start in range(0, len(bags), BATCH):
             chosen = order[start:start + BATCH]

@@ -102,16 +102,16 @@ def test_pages(spark):
 
 def test_toxicity_of_unseen_spellings(spark):
     rng = np.random.default_rng(5)
-    plain = ["".join(rng.choice(list("lmnrstaeiou"), 6)) for _ in range(300)]
+    plain = ["".join(rng.choice(list("lmnrstaeiou"), 6)) for _ in range(60)]
     bad = ["blorkish", "grubface", "snivelbag"]
     rows, labels = [], []
     for i in range(400):
         text = list(rng.choice(plain, 30))
         if i % 4 == 0:
-            text[3] = str(rng.choice(bad))
+            text[3], text[17] = rng.choice(bad, 2)
         rows.append((i, " ".join(text), "x"))
         labels.append((i, int(i % 4 == 0)))
-    rows += [(1000, " ".join([*plain[:29], "blorkishly"]), "x"), (1001, " ".join(plain[:30]), "x"),
+    rows += [(1000, " ".join([*plain[:27], "blorkishly", "grubfaces", "snivelbags"]), "x"), (1001, " ".join(plain[:30]), "x"),
              (1002, None, "x"), (1003, "", "x"), (1004, "?? !!", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, score string")
     known = spark.createDataFrame(labels + [(5000, 1), (2, None)], "doc_id long, toxic int")
@@ -138,7 +138,7 @@ def test_emails_are_the_pattern_s(text):
 
 
 def test_base_kinds():
-    text = "x 1.2.3.4 999.1.1.1 4111 1111 1111 1111 +49 (30) 1234-567 é a.b@c.de 4111111111111112"
+    text = "x 1.2.3.4 999.1.1.1 or 4111 1111 1111 1111 +49 (30) 1234-567 é a.b@c.de 4111111111111112"
     spans = sanitise.base_spans(text)
     assert [text[a:b] for k in sanitise.KINDS for a, b in spans[k]] == [
         "a.b@c.de", "1.2.3.4", "4111 1111 1111 1111", "+49 (30) 1234-567"]
