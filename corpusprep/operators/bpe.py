@@ -1,6 +1,7 @@
 """Byte-level BPE: word counts, training, encoding, decoding, vocabulary growth."""
 
 from dataclasses import dataclass, field
+from heapq import heappop, heappush
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,8 +83,17 @@ def _merged(words, merges):
         f"aggregate(array({pairs}), w, (x, m) -> replace(x, m[0], m[1])) AS w", "n")
 
 
-def train_bpe(counts, vocab_size=VOCAB_SIZE, min_frequency=MIN_FREQUENCY):
-    """Learn merges from `counts(word, n)`.
+def special_id(name, model):
+    """Id of a special token named by a column, null when it is none or the model lacks it."""
+    pairs = [F.lit(x) for t in SPECIAL_TOKENS if t in model.tokens
+             for x in (t, model.tokens.index(t))]
+    ids = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,int>")
+    return F.try_element_at(ids, name)
+
+
+def train_bpe(counts, vocab_size=VOCAB_SIZE, min_frequency=MIN_FREQUENCY, all_bytes=False):
+    """Learn merges from `counts(word, n)`. With `all_bytes` all 256 byte symbols are in the
+    alphabet, else those that occur.
 
     The word table stays distributed: a word is text like ` 12  45 `, ids in spaces, so a merge is
     one string replacement. Each round counts adjacent pairs on the cluster and brings only the
@@ -94,7 +104,8 @@ def train_bpe(counts, vocab_size=VOCAB_SIZE, min_frequency=MIN_FREQUENCY):
     counts = cut(counts.select("word", "n").repartition(cores, "word"))
     # Byte symbols: 256 at most.
     letters = counts.select(F.explode(F.split("word", "")).alias("c")).distinct().collect()
-    tokens = SPECIAL_TOKENS + sorted(r[0] for r in letters if r[0])
+    alphabet = set(BYTE_ALPHABET) if all_bytes else set()
+    tokens = SPECIAL_TOKENS + sorted(alphabet | {r[0] for r in letters if r[0]})
     ids = {t: i for i, t in enumerate(tokens)}
     by_point = F.array(*[F.lit(ids.get(chr(c), UNK)) for c in range(512)])
     as_ids = F.transform(F.split("word", ""), lambda c: F.concat(
@@ -161,15 +172,33 @@ class _Encoder:
         return found
 
     def _merge(self, symbols):
+        """Lowest rank first, leftmost among equals: a heap over a linked list of symbols."""
         ids = [self.ids.get(s, UNK) for s in symbols]
-        while len(ids) > 1:
-            ranked = [(self.ranks[p], at) for at, p in enumerate(zip(ids, ids[1:]))
-                      if p in self.ranks]
-            if not ranked:
-                break
-            (_, new), at = min(ranked)
-            ids[at:at + 2] = [new]
-        return ids
+        end = len(ids)
+        after, before = list(range(1, end + 1)), list(range(-1, end - 1))
+        heap = []
+
+        def offer(left):
+            if left >= 0 and after[left] < end:
+                pair = ids[left], ids[after[left]]
+                if pair in self.ranks:
+                    heappush(heap, (*self.ranks[pair], left, pair))
+
+        for at in range(end - 1):
+            offer(at)
+        while heap:
+            _, new, at, pair = heappop(heap)
+            right = after[at]
+            # An offer is void once one of its symbols went into another merge.
+            if right >= end or (ids[at], ids[right]) != pair:
+                continue
+            ids[at], ids[right] = new, None
+            after[at] = after[right]
+            if after[at] < end:
+                before[after[at]] = at
+            offer(before[at])
+            offer(at)
+        return [i for i in ids if i is not None]
 
 
 def raw_tokens(df, text, out):
@@ -221,23 +250,33 @@ def bpe_encode(df, text, model, out="ids"):
 def bpe_decode(spark, ids, model, mode="joined"):
     """Ids to text. `joined` puts a space between tokens and keeps byte symbols; `bytes` inverts
     the byte alphabet. Special tokens and unknown ids are left out in both."""
-    shared = spark.sparkContext.broadcast(
-        {i: t for i, t in enumerate(model.tokens) if t not in SPECIAL_TOKENS})
+    def piece(token):
+        if token in SPECIAL_TOKENS:
+            return None
+        return token.encode() if mode != "bytes" else b"".join(
+            bytes([_BYTE_OF[c]]) if c in _BYTE_OF else c.encode() for c in token)
+
+    shared = spark.sparkContext.broadcast([piece(t) for t in model.tokens])
 
     @F.arrow_udf(T.StringType())
     def decode(lists):
+        import numpy as np
         import pyarrow as pa
-        names = shared.value
-        out = []
-        for row in lists.to_pylist():
-            parts = None if row is None else [names[i] for i in row if i in names]
-            if parts is not None and mode == "bytes":
-                raw = b"".join(bytes([_BYTE_OF[c]]) if c in _BYTE_OF else c.encode()
-                               for c in "".join(parts))
-                out.append(raw.decode("utf-8", "replace"))
-            else:
-                out.append(None if parts is None else " ".join(parts))
-        return pa.array(out, pa.string())
+        import pyarrow.compute as pc
+        pieces = pa.array([*shared.value, None], pa.binary())
+        flat = lists.flatten()
+        known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(pieces) - 1))
+        found = pieces.take(pc.if_else(known, flat, len(pieces) - 1).fill_null(len(pieces) - 1))
+        keep = found.is_valid().to_numpy(zero_copy_only=False)
+        counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        kept = np.concatenate([[0], np.cumsum(keep)])[np.concatenate([[0], np.cumsum(counts)])]
+        rows = pa.ListArray.from_arrays(
+            pa.array(kept.astype("int32")), found.drop_null(), mask=lists.is_null())
+        joined = pc.binary_join(rows, b"" if mode == "bytes" else b" ")
+        if mode != "bytes":
+            return joined.cast(pa.string())
+        return pa.array([r if r is None else r.decode("utf-8", "replace")
+                         for r in joined.to_pylist()], pa.string())
 
     return decode(ids)
 

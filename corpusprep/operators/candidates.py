@@ -20,8 +20,8 @@ from corpusprep.plans.scan import WHOLE_TABLE, running_total
 GROUP = ["group_id"]
 # Parts a score range is divided into at a time.
 PARTS = 4096
-# exp(-800) is zero in double precision.
-_NO_MASS = 800.0
+# Masses are whole multiples of 2**-32 of the largest: their sums are exact in any order.
+_UNIT = float(1 << 32)
 
 
 def _group():
@@ -64,20 +64,52 @@ def repetition_penalty(df, seen, penalty=SAMPLING_DEFAULTS["repetition_penalty"]
         "score", F.when(F.col("_seen"), pushed).otherwise(F.col("score"))).drop("_seen")
 
 
-def _ranges(df, weight, limit, hot, span=None):
+def _weights(df, hot):
+    """Add `_w`, the softmax mass of an item in units of `_UNIT`, and `_total` of its group.
+
+    The best score has one unit; a score that is minus infinity, not a number, or 23 or more below
+    the best has none. Both are decimals, so sums do not depend on their order.
+    """
+    def unit(best):
+        share = F.when(F.col("score") == best, 1.0).otherwise(
+            F.nanvl(F.exp(F.col("score") - best), F.lit(0.0)))
+        return F.round(share * _UNIT).cast("decimal(20,0)")
+    if hot is None:
+        scored = df.withColumn("_w", unit(F.max("score").over(_group())))
+        return scored.withColumn("_total", F.sum("_w").over(_group()))
+    best = df.groupBy("group_id").agg(F.max("score").alias("_best"))
+    scored = _join_group(df, best, hot=hot).withColumn("_w", unit(F.col("_best"))).drop("_best")
+    totals = scored.groupBy("group_id").agg(F.sum("_w").alias("_total"))
+    return _join_group(scored, totals, hot=hot)
+
+
+def _finite(score):
+    return ~F.isnan(score) & (F.abs(score) < float("inf"))
+
+
+def _ranges(df, weight, limit, hot):
     """Per group, the score range `[lo, hi]` that holds its cut: `group_id, lo, hi, above, n`.
 
     `above` is the weight of the items over `hi`, `n` the number of items in the range. A range
-    of more than TASK_ROWS items is divided into equal parts and replaced by the part with the
-    cut, until it is small enough or a single score.
+    of more than TASK_ROWS items is divided and replaced by the part with the cut, until it is
+    small enough or a single score. Infinite and not-a-number scores are parts of their own, so
+    what is divided evenly is finite, and its ends always fall in different parts.
     """
-    low = F.min("score")
-    if span is not None:
-        low = F.greatest(low, F.max("score") - span)
-    ranges = df.groupBy("group_id").agg(low.alias("lo"), F.max("score").alias("hi"),
-                                        F.lit(0.0).alias("above"), F.count(F.lit(1)).alias("n"))
+    zero = F.lit(0).cast("decimal(38,0)")
+    ranges = df.groupBy("group_id").agg(
+        F.min("score").alias("lo"), F.max("score").alias("hi"), zero.alias("above"),
+        F.count(F.lit(1)).alias("n"))
     large = (F.col("n") > skew.TASK_ROWS) & (F.col("lo") < F.col("hi"))
     down = _group().orderBy("_part")
+    lo, hi, score = F.col("lo"), F.col("hi"), F.col("score")
+    by_kind = F.when(F.isnan(score), 0).when(score == float("inf"), 1).when(
+        score == float("-inf"), 3).otherwise(2)
+    wide = hi - lo
+    # Halves keep the width of a range finite.
+    share = F.when(_finite(wide), (hi - score) / wide).otherwise(
+        (hi / 2 - score / 2) / (hi / 2 - lo / 2))
+    part = F.when(_finite(lo) & _finite(hi), F.least(
+        F.floor(share * PARTS), F.lit(PARTS - 1))).otherwise(by_kind)
     while True:
         # A written result per round, so that no round repeats the ones before.
         ranges = cut(ranges)
@@ -85,13 +117,11 @@ def _ranges(df, weight, limit, hot, span=None):
             return ranges
         inside = _join_group(df, ranges.filter(large).drop("n"), hot=hot).filter(
             F.col("score").between(F.col("lo"), F.col("hi")))
-        part = F.floor((F.col("hi") - F.col("score")) / (F.col("hi") - F.col("lo")) * PARTS)
-        parts = inside.withColumn("_part", F.least(part, F.lit(PARTS - 1))).groupBy(
-            "group_id", "_part").agg(
+        parts = inside.withColumn("_part", part).groupBy("group_id", "_part").agg(
             F.min("score").alias("lo"), F.max("score").alias("hi"), F.max("above").alias("_base"),
-            F.sum(weight).alias("_w"), F.count(F.lit(1)).alias("n"), F.max(limit).alias("_limit"))
-        parts = parts.withColumn("above", F.col("_base") + F.coalesce(F.sum("_w").over(
-            down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+            F.sum(weight).alias("_sum"), F.count(F.lit(1)).alias("n"), F.max(limit).alias("_limit"))
+        parts = parts.withColumn("above", (F.col("_base") + F.coalesce(F.sum("_sum").over(
+            down.rowsBetween(Window.unboundedPreceding, -1)), zero)).cast("decimal(38,0)"))
         # The cut lies in the last part that starts within the limit.
         reached = parts.filter((F.col("above") <= F.col("_limit")) | (F.col("above") == 0))
         last = F.row_number().over(_group().orderBy(F.desc("_part")))
@@ -109,7 +139,7 @@ def _top_k(df, k, hot, max_k=None):
         return ranked.filter((F.col("_r") <= k) | (k <= 0)).drop("_r")
     unlimited = F.when(k <= 0, F.lit(float("inf"))).otherwise((k - 1).cast("double"))
     limited = df.withColumn("_k", unlimited)
-    ranges = _ranges(limited, F.lit(1.0), F.col("_k"), hot)
+    ranges = _ranges(limited, F.lit(1).cast("decimal(20,0)"), F.col("_k"), hot)
     small = _join_group(limited, ranges.filter(F.col("n") <= skew.TASK_ROWS), hot=hot).filter(
         F.col("score").between(F.col("lo"), F.col("hi")))
     kept = small.withColumn("_r", F.row_number().over(_down()) - 1 + F.col("above")).filter(
@@ -124,31 +154,33 @@ def _top_p(df, p, hot):
     """Rows before which the softmax mass of the group is at most p, and the first row."""
     columns = df.columns
     p = _value(p)
-    scored = _probabilities(df, "score", hot, "_prob")
-    mass = F.coalesce(F.sum("_prob").over(
-        _down().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    scored = _weights(df, hot)
+    mass = F.coalesce(F.sum("_w").over(
+        _down().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("decimal(38,0)"))
     first = F.row_number().over(_down()) == 1
+    # The mass before an item is compared in units, the same in all branches below.
+    scored = scored.withColumn("_p", F.when(p >= 1.0, F.lit(float("inf"))).otherwise(
+        p * F.col("_total").cast("double")))
     if hot is None:
-        kept = scored.withColumns({"_mass": mass, "_first": first})
-        return kept.filter(F.col("_first") | (F.col("_mass") <= p) | (p >= 1.0)).select(columns)
-    scored = scored.withColumn("_p", F.when(p >= 1.0, F.lit(float("inf"))).otherwise(p))
-    ranges = _ranges(scored, F.col("_prob"), F.col("_p"), hot, _NO_MASS)
+        kept = scored.withColumns({"_mass": mass.cast("double"), "_first": first})
+        return kept.filter(F.col("_first") | (F.col("_mass") <= F.col("_p"))).select(columns)
+    ranges = _ranges(scored, F.col("_w"), F.col("_p"), hot)
     tagged = _join_group(scored, ranges, hot=hot)
     keep_all = F.col("_p") == float("inf")
     sure = tagged.filter((F.col("score") > F.col("hi")) | keep_all)
     inside = tagged.filter(F.col("score").between(F.col("lo"), F.col("hi")) & ~keep_all)
     sorted_part = inside.filter(F.col("n") <= skew.TASK_ROWS).withColumns(
-        {"_mass": mass + F.col("above"), "_first": first & (F.col("above") == 0)})
+        {"_mass": (mass + F.col("above")).cast("double"), "_first": first & (F.col("above") == 0)})
     out = sure.select(columns).unionByName(sorted_part.filter(
         F.col("_first") | (F.col("_mass") <= F.col("_p"))).select(columns))
     if ranges.filter(F.col("n") > skew.TASK_ROWS).isEmpty():
         return out
-    # Only copies of one score are left: their number follows by division, their order by id.
+    # Only copies of one score are left: their masses are equal, their order is by id.
     ties = running_total(inside.filter(F.col("n") > skew.TASK_ROWS), GROUP, F.col("item_id"),
                          {"_rank": F.lit(1).cast("bigint")}, WHOLE_TABLE)
-    fits = F.col("above") + F.col("_rank") * F.col("_prob") <= F.col("_p")
+    before = (F.col("above") + F.col("_rank") * F.col("_w")).cast("double")
     return out.unionByName(ties.filter(
-        fits | ((F.col("_rank") == 0) & (F.col("above") == 0))).select(columns))
+        (before <= F.col("_p")) | ((F.col("_rank") == 0) & (F.col("above") == 0))).select(columns))
 
 
 def top_k_filter(df, k=SAMPLING_DEFAULTS["top_k"]):

@@ -74,13 +74,46 @@ def score_experts(vectors, centroids):
     return out
 
 
+_ASSIGNED = "vec_id bigint, rank int, expert_id bigint, score double, weight double"
+
+
+def _assign_block(vectors, block, keep):
+    """Ranks and weights straight from one block that holds every centroid."""
+    ids = [r["expert_id"] for r in block]
+    shared = vectors.sparkSession.sparkContext.broadcast((ids, [r["vec"] for r in block]))
+
+    def assign(batches):
+        import numpy as np
+        import pyarrow as pa
+        names, rows = shared.value
+        names, table = np.array(names, dtype="int64"), np.array(rows, dtype="float64")
+        width = min(keep, len(names))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            scores = _matrix(batch.column("vec")) @ table.T
+            best = np.argsort(-scores, axis=1, kind="stable")[:, :width]
+            kept = np.take_along_axis(scores, best, 1)
+            share = np.exp(kept - kept[:, :1])
+            yield pa.record_batch({
+                "vec_id": np.repeat(batch.column("vec_id").to_numpy(), width),
+                "rank": np.tile(np.arange(1, width + 1, dtype="int32"), len(best)),
+                "expert_id": names[best].ravel(), "score": kept.ravel(),
+                "weight": (share / share.sum(axis=1, keepdims=True)).ravel()})
+
+    return vectors.select("vec_id", "vec").mapInArrow(assign, _ASSIGNED)
+
+
 def top_k_assign(vectors, centroids, k=2):
     """The k best centroids of each vector, weighted by a softmax over those k only.
 
-    `vec_id, rank, expert_id, score, weight`. Vectors are read once per block of centroids and
-    only k candidates per block are shuffled.
+    `vec_id, rank, expert_id, score, weight`. Up to BLOCK centroids need no shuffle. Beyond, vectors
+    are read once per block and only k candidates per block are shuffled.
     """
-    parts = [_score_block(vectors, b, k) for b in _blocks(centroids) if b]
+    blocks = [b for b in _blocks(centroids) if b]
+    if len(blocks) == 1:
+        return _assign_block(vectors, blocks[0], k)
+    parts = [_score_block(vectors, b, k) for b in blocks]
     best = parts[0]
     for part in parts[1:]:
         best = best.unionByName(part)
@@ -93,11 +126,12 @@ def top_k_assign(vectors, centroids, k=2):
 
 
 def _with_vectors(rows, table, key, spread_by):
-    """Join the vector of `key` to each row: broadcast up to a checked size, else spread."""
+    """Join the vector of `key` to each row, null where there is none: broadcast up to a checked
+    size, else spread."""
     count, width = table.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
     if count * (width or 0) * 8 <= BROADCAST_BYTES:
-        return rows.join(F.broadcast(table), key)
-    return join_per_key(rows, table, [key], spread_by)
+        return rows.join(F.broadcast(table), key, "left")
+    return join_per_key(rows, table, [key], spread_by, "left")
 
 
 def weighted_combine(assignments, values, shared=None):
@@ -105,6 +139,8 @@ def weighted_combine(assignments, values, shared=None):
     picked = _with_vectors(assignments.select("vec_id", "expert_id", "weight"),
                            values.select("expert_id", doubles("vec").alias("vec")),
                            "expert_id", ["vec_id"])
+    picked = picked.withColumn("vec", F.when(F.col("vec").isNotNull(), F.col("vec")).otherwise(
+        F.raise_error(F.concat(F.lit("no vector for expert "), F.col("expert_id").cast("string")))))
     if shared is not None:
         picked = picked.unionByName(shared.select(
             "vec_id", F.lit(-1).cast("bigint").alias("expert_id"), F.lit(1.0).alias("weight"),
@@ -132,6 +168,10 @@ def assignment_balance(scores):
     per_expert = summed.groupBy("expert_id").agg(
         F.sum(F.col("_e") / F.col("_s")).alias("load"), F.sum(lse * lse / F.col("_n")).alias("z"),
         F.sum(1.0 / F.col("_n")).alias("vectors"))
+    return _balance(per_expert)
+
+
+def _balance(per_expert):
     overall = per_expert.agg(
         F.count(F.lit(1)).alias("n_experts"), F.sum("load").alias("load"),
         F.sum(F.col("load") * F.col("load")).alias("squares"), F.sum("z").alias("z"),
@@ -142,8 +182,41 @@ def assignment_balance(scores):
         "total", BALANCE_WEIGHT * F.col("balance") + Z_WEIGHT * F.col("z_loss"))
 
 
+def vector_balance(vectors, centroids):
+    """`assignment_balance` of all vectors against all centroids. Up to BLOCK centroids every task
+    adds up its own vectors, and one row per centroid and task is shuffled."""
+    blocks = [b for b in _blocks(centroids) if b]
+    if len(blocks) != 1:
+        return assignment_balance(score_experts(vectors, centroids))
+    shared = vectors.sparkSession.sparkContext.broadcast([r["vec"] for r in blocks[0]])
+
+    def added(batches):
+        import numpy as np
+        import pyarrow as pa
+        table = np.array(shared.value, dtype="float64")
+        load, z, n = np.zeros(len(table)), 0.0, 0
+        for batch in batches:
+            if batch.num_rows:
+                scores = _matrix(batch.column("vec")) @ table.T
+                top = scores.max(axis=1, keepdims=True)
+                share = np.exp(scores - top)
+                total = share.sum(axis=1, keepdims=True)
+                load += (share / total).sum(axis=0)
+                z += float(((top + np.log(total)) ** 2).sum())
+                n += len(scores)
+        first = np.arange(len(table)) == 0
+        yield pa.record_batch({"at": np.arange(len(table)), "load": load,
+                               "z": np.where(first, z, 0.0), "vectors": np.where(first, n, 0)})
+
+    per_expert = vectors.select("vec_id", "vec").mapInArrow(
+        added, "at bigint, load double, z double, vectors bigint").groupBy("at").agg(
+        *[F.sum(c).alias(c) for c in ("load", "z", "vectors")])
+    return _balance(per_expert)
+
+
 def embedding_lookup(tokens, table):
-    """`row_id, pos, token, vec` for `tokens(row_id, ids)` and `table(token, vec)`."""
+    """`row_id, pos, token, vec` for `tokens(row_id, ids)` and `table(token, vec)`; `vec` is null
+    for a token that the table lacks."""
     flat = tokens.select("row_id", F.posexplode("ids").alias("pos", "token"))
     return _with_vectors(flat, table.select("token", "vec"), "token", ["row_id", "pos"])
 

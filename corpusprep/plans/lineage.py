@@ -8,13 +8,16 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def checkpoint_dir(spark):
-    """The shared folder the cluster names; a fresh local one only where none is named."""
+    """The shared folder the cluster names; a fresh local one only for a local master."""
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(
         CHECKPOINT_DIR, None)
     if not named:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith(
+                "local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="checkpoint-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)

@@ -6,10 +6,11 @@ shuffle. When no key is hot, which is the usual case, the plan stays the plain o
 
 from pyspark.sql import functions as F
 
+from corpusprep.plans.lineage import cut
+
 # Rows of one key that one task may sort.
 TASK_ROWS = 1 << 20
-# At most this many keys are treated as hot, largest first; with every other key below
-# 1/HOT_KEYS of all rows. This is what bounds the broadcast.
+# Hot keys are broadcast up to this many; a longer list is joined like any other table.
 HOT_KEYS = 4096
 SALTS = 256
 
@@ -21,14 +22,19 @@ def largest_group(df, keys):
 
 
 def hot_keys(df, keys, rows=None):
-    """The keys of more than `rows` rows, as a local table of at most HOT_KEYS rows, or None."""
+    """All keys of more than `rows` rows, or None: a local table, with a broadcast hint, of up to
+    HOT_KEYS rows, else a written one."""
     rows = TASK_ROWS if rows is None else rows
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    found = counts.filter(F.col("_n") > rows).orderBy(F.desc("_n")).limit(HOT_KEYS).collect()
+    hot = counts.filter(F.col("_n") > rows).select(*keys)
+    found = hot.limit(HOT_KEYS + 1).collect()
     if not found:
         return None
+    if len(found) > HOT_KEYS:
+        return cut(hot)
     schema = df.select(*keys).schema
-    return df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in found], schema)
+    return F.broadcast(df.sparkSession.createDataFrame(
+        [tuple(r[k] for k in keys) for r in found], schema))
 
 
 _SEARCH = object()
@@ -44,7 +50,7 @@ def join_per_key(rows, per_key, keys, spread_by, how="inner", hot=_SEARCH, salts
         hot = hot_keys(rows, keys)
     if hot is None:
         return rows.join(per_key, keys, how)
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    hot = hot.withColumn("_hot", F.lit(True))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(0)
     left = rows.join(hot, keys, "left").withColumn("_salt", salt.cast("int")).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(

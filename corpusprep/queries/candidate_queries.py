@@ -29,7 +29,7 @@ def _seen(spark, sf_dir):
 @query("softmax", f"""
 WITH {_SCORES_SQL},
 e AS (SELECT *, exp(score / 0.7 - max(score / 0.7) OVER (PARTITION BY group_id)) AS e FROM scores)
-SELECT group_id, item_id, round(e / sum(e) OVER (PARTITION BY group_id), 6) AS prob FROM e""")
+SELECT group_id, item_id, round(e / sum(e) OVER (PARTITION BY group_id), 6) + 0.0::DOUBLE AS prob FROM e""")
 def softmax(spark, sf_dir):
     return candidates.softmax(_scores(spark, sf_dir)).select(
         "group_id", "item_id", F.round("prob", 6).alias("prob"))
@@ -43,7 +43,7 @@ _SEEN_JOIN = ("LEFT JOIN (SELECT DISTINCT * FROM seen) n "
 
 @query("repetition_penalty", f"""
 WITH {_SCORES_SQL}
-SELECT s.group_id, s.item_id, round({_PENALISED.format(s='s.score', p=1.1)}, 6) AS score
+SELECT s.group_id, s.item_id, round({_PENALISED.format(s='s.score', p=1.1)}, 6) + 0.0::DOUBLE AS score
 FROM scores s {_SEEN_JOIN}""")
 def repetition_penalty(spark, sf_dir):
     return candidates.repetition_penalty(_scores(spark, sf_dir), _seen(spark, sf_dir)).withColumn(
@@ -114,7 +114,7 @@ topk AS (
 
 
 @query("filtered_candidates", f"""
-WITH {_FILTERED_SQL} SELECT group_id, item_id, round(score, 6) AS score FROM kept""")
+WITH {_FILTERED_SQL} SELECT group_id, item_id, round(score, 6) + 0.0::DOUBLE AS score FROM kept""")
 def filtered_candidates(spark, sf_dir):
     return candidates.filtered_candidates(
         _scores(spark, sf_dir), _params(spark, sf_dir), _seen(spark, sf_dir)).withColumn(

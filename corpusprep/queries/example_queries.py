@@ -168,7 +168,7 @@ SELECT stage::BIGINT AS stage, count(*)::BIGINT AS examples,
        (max(batch_id) + 1)::BIGINT AS batches, ((max(batch_id) + 1) // 8)::BIGINT AS steps,
        sum(supervised)::BIGINT AS supervised_tokens, sum(n)::BIGINT AS tokens,
        sum(width - n)::BIGINT AS padded_cells,
-       round(sum(width - n) / sum(width)::DOUBLE, 6) AS padding_ratio
+       round(sum(width - n) / sum(width)::DOUBLE, 6) + 0.0::DOUBLE AS padding_ratio
 FROM wide GROUP BY stage""")
 def stage_plan(spark, sf_dir):
     staged = examples.curriculum_examples(_turns(spark, sf_dir), CharTokenizer())

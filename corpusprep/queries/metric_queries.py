@@ -23,7 +23,7 @@ def attempts(events):
 @query("perplexity", """
 SELECT user_id AS run, sum(event_id % 7)::BIGINT AS tokens,
        CASE WHEN sum(event_id % 7) > 0
-            THEN round(exp(sum(value / 100 * (event_id % 7)) / sum(event_id % 7)), 6)
+            THEN round(exp(sum(value / 100 * (event_id % 7)) / sum(event_id % 7)), 6) + 0.0::DOUBLE
             ELSE 'infinity'::DOUBLE END AS ppl
 FROM events GROUP BY 1""")
 def perplexity(spark, sf_dir):
@@ -55,7 +55,7 @@ losses AS (
 
 @query("token_cross_entropy", f"""
 WITH {_LOSS_SQL}
-SELECT round(avg(lse - hit), 6) AS cross_entropy, count(*)::BIGINT AS positions FROM losses""")
+SELECT round(avg(lse - hit), 6) + 0.0::DOUBLE AS cross_entropy, count(*)::BIGINT AS positions FROM losses""")
 def token_cross_entropy(spark, sf_dir):
     return metrics.token_cross_entropy(*_logits(spark, sf_dir)).withColumn(
         "cross_entropy", F.round("cross_entropy", 6))
@@ -63,7 +63,7 @@ def token_cross_entropy(spark, sf_dir):
 
 @query("position_losses", f"""
 WITH {_LOSS_SQL}
-SELECT vec_id AS row_id, round(lse - hit, 6) AS loss FROM losses""")
+SELECT vec_id AS row_id, round(lse - hit, 6) + 0.0::DOUBLE AS loss FROM losses""")
 def position_losses(spark, sf_dir):
     return metrics.position_losses(*_logits(spark, sf_dir)).select(
         "row_id", F.round("loss", 6).alias("loss"))

@@ -11,12 +11,12 @@ ORACLES = {}
 
 
 def query(name, sql=None):
-    """Register a function `(spark, sf_dir) -> DataFrame` and its SQL."""
+    """Register a function `(spark, sf_dir) -> DataFrame` and its SQL. The SQL adds 0.0 to what it
+    rounds, since rounding leaves a negative zero there and not in Spark."""
     def add(run):
         QUERIES[name] = run
         if sql is not None:
-            # Rounding leaves a negative zero in SQL, not in Spark.
-            ORACLES[name] = sql.replace(", 6)", ", 6) + 0.0::DOUBLE")
+            ORACLES[name] = sql
         return run
     return add
 
@@ -42,7 +42,7 @@ def instructions(spark, sf_dir):
     pairs = exchanges(turns).filter(F.col("response").isNotNull())
     hot = hot_keys(turns, ["conv_id"])
     return join_per_key(pairs, system, ["conv_id"], ["turn"], "left", hot).select(
-        (F.col("conv_id") * 4096 + F.col("turn")).alias("rec_id"),
+        F.concat_ws("-", "conv_id", "turn").alias("rec_id"),
         F.col("user_text").alias("instruction"), "context", "response")
 
 
@@ -54,7 +54,7 @@ nxt AS (
   FROM conversations),
 sys AS (SELECT conv_id, max(text) AS context FROM conversations WHERE role = 'system' GROUP BY 1),
 instructions AS (
-  SELECT n.conv_id * 4096 + n.turn AS rec_id, n.text AS instruction, s.context AS context,
+  SELECT n.conv_id || '-' || n.turn AS rec_id, n.text AS instruction, s.context AS context,
          n.next_text AS response
   FROM nxt n LEFT JOIN sys s ON n.conv_id = s.conv_id
   WHERE n.role = 'user' AND n.next_role = 'assistant')

@@ -8,15 +8,16 @@ from corpusprep.functions.text import BYTE_ALPHABET, normalize_text, pretokenize
 from corpusprep.operators import bpe
 from corpusprep.queries.registry import chars_sql, conversations, listed, query, table
 
-# Small enough to train inside a check; the default is constants.VOCAB_SIZE.
-CHECK_VOCAB = 96
+# Entries of the models trained here, on all messages; the operator's default is
+# constants.VOCAB_SIZE, which takes thousands of rounds.
+ENTRIES = 384
 _models = {}
 
 
 def model(spark, sf_dir):
-    """A BPE model trained on all rendered messages, kept for the queries that need one."""
+    """A model of all rendered messages for the queries that use one; `train_bpe` makes its own."""
     if sf_dir not in _models:
-        _models[sf_dir] = bpe.train_bpe(_message_words(spark, sf_dir), CHECK_VOCAB)
+        _models[sf_dir] = bpe.train_bpe(_message_words(spark, sf_dir), ENTRIES)
     return _models[sf_dir]
 
 
@@ -123,20 +124,79 @@ def word_counts(spark, sf_dir):
     return bpe.word_counts(table(spark, sf_dir, "documents"))
 
 
-@query("train_bpe")
+# Training as one recursive query: a state row holds every word as ids in spaces, and each step
+# merges the most frequent pair, ties to the smallest ids. Words that are only to be encoded take
+# part with no count.
+_BPE_SQL = f"""
+messages AS (SELECT conv_id, turn, '<' || role || '>' || text AS message FROM conversations),
+trained AS (
+  WITH {words_sql('messages', 'conv_id, turn', 'message')}
+  SELECT word, count(*)::BIGINT AS n FROM pieces GROUP BY 1),
+coded AS (
+  WITH {words_sql('conversations', 'conv_id, turn', 'text')}
+  SELECT conv_id, turn, idx, part, word FROM pieces),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT * FROM trained UNION ALL SELECT DISTINCT word, 0 FROM coded) GROUP BY 1),
+letters AS (
+  SELECT c, 6 + row_number() OVER (ORDER BY ord(c)) AS id FROM (
+    SELECT DISTINCT unnest(string_split(word, '')) AS c FROM trained) WHERE c <> ''),
+ids AS (SELECT map(list(c), list(id)) AS id_of, list(c ORDER BY id) AS names FROM letters),
+steps AS (
+  SELECT 0 AS rank, NULL::BIGINT AS left_id, NULL::BIGINT AS right_id, NULL::BIGINT AS new_id,
+         list(word ORDER BY word) AS word, list(n ORDER BY word) AS n,
+         list(array_to_string(list_transform(list_filter(string_split(word, ''), lambda c: c <> ''),
+              lambda c: ' ' || coalesce(id_of[c], 1) || ' '), '') ORDER BY word) AS w,
+         any_value(['<pad>', '<unk>', '<bos>', '<eos>', '<user>', '<assistant>', '<system>']
+                   || names) AS tokens
+  FROM words, ids
+  UNION ALL
+  SELECT rank + 1, l, r, coalesce(list_position(tokens, name) - 1, len(tokens)), word, n,
+         list_transform(w, lambda x: replace(x, ' ' || l || '  ' || r || ' ',
+           ' ' || coalesce(list_position(tokens, name) - 1, len(tokens)) || ' ')),
+         CASE WHEN list_contains(tokens, name) THEN tokens ELSE list_append(tokens, name) END
+  FROM (
+    SELECT s.*, b.l, b.r, s.tokens[b.l + 1] || s.tokens[b.r + 1] AS name FROM steps s, LATERAL (
+      SELECT p[1]::BIGINT AS l, p[2]::BIGINT AS r FROM (
+        SELECT n, unnest(list_zip(x[1:len(x) - 1], x[2:])) AS p FROM (
+          SELECT unnest(s.n) AS n, string_split(trim(unnest(s.w)), '  ') AS x))
+      GROUP BY 1, 2 HAVING sum(n) >= 2 ORDER BY sum(n) DESC, 1, 2 LIMIT 1) b
+    WHERE len(s.tokens) < {ENTRIES})),
+final AS (SELECT * FROM steps ORDER BY rank DESC LIMIT 1),
+spelled AS (
+  SELECT word, string_split(trim(w), '  ') AS ids FROM (
+    SELECT unnest(word) AS word, unnest(w) AS w FROM final)),
+encoded AS (
+  SELECT c.conv_id, c.turn, [CASE c.role WHEN 'user' THEN 4 WHEN 'assistant' THEN 5 ELSE 6 END]
+         || flatten(coalesce(list(s.ids::BIGINT[] ORDER BY d.idx, d.part)
+                    FILTER (s.ids IS NOT NULL), [])) AS ids
+  FROM conversations c LEFT JOIN coded d USING (conv_id, turn) LEFT JOIN spelled s USING (word)
+  GROUP BY c.conv_id, c.turn, c.role)
+"""
+
+
+@query("train_bpe", f"""
+WITH RECURSIVE {_BPE_SQL}
+SELECT v.token, v.id::BIGINT AS id, s.rank::BIGINT AS rank, s.left_id, s.right_id
+FROM (SELECT unnest(tokens) AS token, unnest(range(len(tokens))) AS id FROM final) v
+LEFT JOIN (SELECT rank - 1 AS rank, left_id, right_id, new_id FROM steps WHERE rank > 0) s
+ON s.new_id = v.id""")
 def train_bpe(spark, sf_dir):
-    vocab, _ = model(spark, sf_dir).frames(spark)
-    return vocab
+    """Vocabulary with the merges that make its entries."""
+    made = bpe.train_bpe(_message_words(spark, sf_dir), ENTRIES)
+    vocab, merges = made.frames(spark)
+    return vocab.join(merges, vocab["id"] == merges["new_id"], "left").select(
+        "token", *[F.col(c).cast("bigint").alias(c) for c in ("id", "rank", "left_id", "right_id")])
 
 
-@query("bpe_encode")
+@query("bpe_encode", f"""
+WITH RECURSIVE {_BPE_SQL}
+SELECT conv_id, turn, '[' || array_to_string(ids, ', ') || ']' AS ids FROM encoded""")
 def bpe_encode(spark, sf_dir):
     coded = bpe.bpe_encode(_messages(spark, sf_dir), F.col("message"), model(spark, sf_dir))
     return coded.select("conv_id", "turn", listed(F.col("ids")).alias("ids"))
 
 
-
-
 @query("bpe_decode", """
 SELECT conv_id, turn, ' ' || ltrim(strip_accents(lower(text)), ' ') AS text FROM conversations
 WHERE NOT starts_with(text, ' ')
@@ -150,7 +210,10 @@ def bpe_decode(spark, sf_dir):
         spark, F.col("ids"), trained, "bytes").alias("text"))
 
 
-@query("bpe_decode_joined")
+@query("bpe_decode_joined", f"""
+WITH RECURSIVE {_BPE_SQL}
+SELECT conv_id, turn, array_to_string(list_transform(list_filter(ids, lambda i: i >= 7),
+       lambda i: tokens[i + 1]), ' ') AS text FROM encoded, final""")
 def bpe_decode_joined(spark, sf_dir):
     trained = model(spark, sf_dir)
     coded = bpe.bpe_encode(_messages(spark, sf_dir), F.col("message"), trained)
@@ -164,14 +227,14 @@ def _requests(spark, sf_dir):
         F.concat(F.lit("<"), "source", F.lit(">")).alias("token"), F.col("doc_id").alias("at"))
     roles = conversations(spark, sf_dir).select(
         F.concat(F.lit("<"), "role", F.lit(">")).alias("token"),
-        (F.col("conv_id") * 4096 + F.col("turn")).alias("at"))
+        F.col("conv_id").alias("at"))
     return docs.unionByName(roles)
 
 
 _REQUESTS_SQL = """
 requested AS (
   SELECT '<' || source || '>' AS token, doc_id AS seen_at FROM documents
-  UNION ALL SELECT '<' || role || '>', conv_id * 4096 + turn FROM conversations),
+  UNION ALL SELECT '<' || role || '>', conv_id FROM conversations),
 vocab AS (
   SELECT i AS id, CASE WHEN i < 7 THEN
            (['<pad>', '<unk>', '<bos>', '<eos>', '<user>', '<assistant>', '<system>'])[i + 1]

@@ -46,7 +46,7 @@ WITH scaled AS (
          sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) / len(embedding) + 1e-6)
            AS scale
   FROM embeddings)
-SELECT vec_id, generate_subscripts(v, 1) - 1 AS pos, round(unnest(v) / scale, 6) AS x
+SELECT vec_id, generate_subscripts(v, 1) - 1 AS pos, round(unnest(v) / scale, 6) + 0.0::DOUBLE AS x
 FROM scaled""")
 def rms(spark, sf_dir):
     return _flat(vector_table(spark, sf_dir).withColumn(
@@ -66,8 +66,8 @@ assigned AS (
 
 @query("top_k_assign", f"""
 WITH {_ASSIGN_SQL}
-SELECT vec_id, rank::BIGINT AS rank, expert_id::BIGINT AS expert_id, round(score, 6) AS score,
-       round(weight, 6) AS weight FROM assigned""")
+SELECT vec_id, rank::BIGINT AS rank, expert_id::BIGINT AS expert_id, round(score, 6) + 0.0::DOUBLE AS score,
+       round(weight, 6) + 0.0::DOUBLE AS weight FROM assigned""")
 def top_k_assign(spark, sf_dir):
     return vectors.top_k_assign(vector_table(spark, sf_dir), centroids(spark, sf_dir)).select(
         "vec_id", F.col("rank").cast("bigint").alias("rank"), "expert_id",
@@ -81,7 +81,7 @@ flat AS (
   FROM assigned JOIN centroids USING (expert_id)
   UNION ALL
   SELECT vec_id, generate_subscripts(embedding, 1), unnest(embedding)::DOUBLE FROM embeddings)
-SELECT vec_id, (pos - 1)::BIGINT AS pos, round(sum(x), 6) AS x FROM flat GROUP BY 1, 2""")
+SELECT vec_id, (pos - 1)::BIGINT AS pos, round(sum(x), 6) + 0.0::DOUBLE AS x FROM flat GROUP BY 1, 2""")
 def weighted_combine(spark, sf_dir):
     rows, experts = vector_table(spark, sf_dir), centroids(spark, sf_dir)
     assigned = vectors.top_k_assign(rows, experts)
@@ -97,25 +97,25 @@ load AS (SELECT expert_id, avg(p) AS f FROM probs GROUP BY 1),
 z AS (SELECT avg(lse * lse) AS z FROM (
         SELECT ln(sum(exp(score))) AS lse FROM scored GROUP BY vec_id)),
 b AS (SELECT count(*)::BIGINT AS n_experts, count(*) * sum(f * f) AS balance FROM load)
-SELECT n_experts, round(balance, 6) AS balance, round(z, 6) AS z_loss,
-       round(0.01 * balance + 0.001 * z, 6) AS total FROM b, z""")
+SELECT n_experts, round(balance, 6) + 0.0::DOUBLE AS balance, round(z, 6) + 0.0::DOUBLE AS z_loss,
+       round(0.01 * balance + 0.001 * z, 6) + 0.0::DOUBLE AS total FROM b, z""")
 def assignment_balance(spark, sf_dir):
-    scores = vectors.score_experts(vector_table(spark, sf_dir), centroids(spark, sf_dir))
-    return vectors.assignment_balance(scores).select(
+    found = vectors.vector_balance(vector_table(spark, sf_dir), centroids(spark, sf_dir))
+    return found.select(
         "n_experts", *[F.round(c, 6).alias(c) for c in ("balance", "z_loss", "total")])
 
 
 @query("embedding_lookup", """
 WITH flat AS (
-  SELECT conv_id * 4096 + turn AS row_id, unnest(string_split(text, ' ')) AS word,
+  SELECT conv_id || '-' || turn AS row_id, unnest(string_split(text, ' ')) AS word,
          generate_subscripts(string_split(text, ' '), 1) - 1 AS pos FROM conversations)
-SELECT row_id, pos::BIGINT AS pos, length(word)::BIGINT AS token, round(embedding[1]::DOUBLE, 6) AS first,
-       round(list_sum(embedding::DOUBLE[]), 6) AS total
-FROM flat JOIN embeddings ON vec_id = length(word)""")
+SELECT row_id, pos::BIGINT AS pos, length(word)::BIGINT AS token, round(embedding[1]::DOUBLE, 6) + 0.0::DOUBLE AS first,
+       round(list_sum(embedding::DOUBLE[]), 6) + 0.0::DOUBLE AS total
+FROM flat LEFT JOIN embeddings ON vec_id = length(word)""")
 def embedding_lookup(spark, sf_dir):
     """Word lengths stand for token ids, embeddings for the table."""
     tokens = conversations(spark, sf_dir).select(
-        (F.col("conv_id") * 4096 + F.col("turn")).alias("row_id"),
+        F.concat_ws("-", "conv_id", "turn").alias("row_id"),
         F.transform(F.split("text", " "), lambda w: F.length(w).cast("bigint")).alias("ids"))
     found = vectors.embedding_lookup(tokens, table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("token"), F.col("embedding").alias("vec")))
@@ -134,9 +134,9 @@ def _unit(field):
 WITH size AS (SELECT max(vec_id) + 1 AS old, count(*) AS n FROM embeddings),
 new AS (SELECT unnest(range(old, old + n)) AS id FROM size)
 SELECT vec_id AS token, generate_subscripts(embedding, 1) - 1 AS pos,
-       round(unnest(embedding)::DOUBLE, 6) AS x FROM embeddings
+       round(unnest(embedding)::DOUBLE, 6) + 0.0::DOUBLE AS x FROM embeddings
 UNION ALL
-SELECT id, i, round(0.02 * sqrt(-2 * ln({_unit('r')})) * cos(2 * pi() * {_unit('a')}), 6)
+SELECT id, i, round(0.02 * sqrt(-2 * ln({_unit('r')})) * cos(2 * pi() * {_unit('a')}), 6) + 0.0::DOUBLE
 FROM new, range({DIM}) r(i)""")
 def grow_table(spark, sf_dir):
     """Twice as many rows as there are embeddings."""
@@ -156,7 +156,7 @@ pairs AS (
   FROM seq q JOIN seq k ON q.seq_id = k.seq_id AND k.pos BETWEEN q.pos - {window} AND q.pos),
 flat AS (
   SELECT seq_id, pos, generate_subscripts(v, 1) - 1 AS i, unnest(v) * e AS x, e FROM pairs)
-SELECT seq_id, pos::BIGINT AS q, i::BIGINT AS pos, round(sum(x) / sum(e), 6) AS x
+SELECT seq_id, pos::BIGINT AS q, i::BIGINT AS pos, round(sum(x) / sum(e), 6) + 0.0::DOUBLE AS x
 FROM flat GROUP BY 1, 2, 3"""
 
 

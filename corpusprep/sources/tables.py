@@ -1,5 +1,6 @@
 """JSON lines, conversation tables."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,9 +27,25 @@ def write_jsonl(df, path, mode="error"):
 
 
 def read_instructions(spark, path, pattern="*.jsonl"):
-    """Instruction records with `rec_id`, distinct per row and fixed while the files stay."""
+    """Instruction records with `rec_id`, distinct per row and derived from the content: a digest,
+    and a number that tells copies of a record apart. File listing and splits have no part in it."""
     rows = read_jsonl(spark, path, INSTRUCTION, pattern)
-    return rows.withColumn("rec_id", F.monotonically_increasing_id())
+    names = [f.name for f in INSTRUCTION]
+    # Null and empty fields differ, and a length keeps field borders apart.
+    fields = [F.coalesce(F.concat(F.length(n).cast("string"), F.lit(":"), n), F.lit("-"))
+              for n in names]
+    hashed = rows.withColumn("_digest", F.sha2(F.concat(*fields), 256))
+    # Copies are alike, so it does not matter which one gets which number.
+    spread = hashed.withColumn("_part", F.spark_partition_id())
+    copies = spread.groupBy("_digest", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_digest").orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ends = copies.withColumn("_end", F.sum("_n").over(before))
+    numbered = ends.select("_digest", F.explode(F.sequence(
+        F.col("_end") - F.col("_n"), F.col("_end") - 1)).alias("_copy"))
+    firsts = hashed.groupBy("_digest").agg(*[F.first(n).alias(n) for n in names])
+    return firsts.join(numbered, "_digest").select(*names, F.concat_ws(
+        "-", "_digest", "_copy").alias("rec_id"))
 
 
 def read_conversations(spark, path):

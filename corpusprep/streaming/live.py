@@ -106,12 +106,17 @@ class CurriculumGate(StatefulProcessor):
         pass
 
 
+def _need_keyed_state(spark):
+    if spark.conf.get(_STATE_STORE, None) != _ROCKSDB:
+        raise ValueError(f"set {_STATE_STORE} to {_ROCKSDB}, as build_session does")
+
+
 def stream_session_context(events, tokenizer, max_tokens=MAX_HISTORY_TOKENS, ttl_ms=None):
     """ST1 over `(conv_id, turn, role, text)`; role `command` with text `clear` empties a session.
 
     Turns of a session have to arrive in order across micro-batches. `ttl_ms` drops idle sessions.
     """
-    events.sparkSession.conf.set(_STATE_STORE, _ROCKSDB)
+    _need_keyed_state(events.sparkSession)
     sized = tokenizer.prepare(events, render_message(F.col("role"), F.col("text"))).drop("payload")
     return sized.groupBy("conv_id").transformWithStateInPandas(
         SessionContext(max_tokens, tokenizer.tag_tokens, ttl_ms), CONTEXT, "Append",
@@ -120,14 +125,18 @@ def stream_session_context(events, tokenizer, max_tokens=MAX_HISTORY_TOKENS, ttl
 
 def stream_curriculum_gate(attempts, stages=None):
     """ST2 over `(run, attempt, ppl)`."""
-    attempts.sparkSession.conf.set(_STATE_STORE, _ROCKSDB)
+    _need_keyed_state(attempts.sparkSession)
     thresholds = [float(s[2]) for s in (stages or STAGES)]
     return attempts.groupBy("run").transformWithStateInPandas(
         CurriculumGate(thresholds), GATED, "Append", "None")
 
 
 def stream_perplexity(log, window="1 hour", delay="10 minutes"):
-    """ST3 over `(run, ts, loss, n_tokens)`: perplexity per run and tumbling window."""
+    """ST3 over `(run, ts, loss, n_tokens)`: perplexity per run and tumbling window.
+
+    In append mode a window comes out once the watermark has passed its end, so the last windows
+    wait for later rows; a row of a later time, with no tokens, brings them out.
+    """
     timed = log.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
     scored = perplexity(timed, (F.window("ts", window).alias("window"), F.col("run")))
     return scored.select("run", F.col("window.start").alias("window_start"),

@@ -41,7 +41,7 @@ def texts_of(spark, texts):
 def trained(spark, given):
     messages = given.select(F.concat(F.lit("<"), "role", F.lit(">"), "text").alias("text"))
     texts = [r.text for r in messages.collect()]
-    return texts, bpe.train_bpe(bpe.word_counts(messages), 120), library(texts, 120)
+    return texts, bpe.train_bpe(bpe.word_counts(messages), 384), library(texts, 384)
 
 
 def test_vocabulary_matches(trained):
@@ -133,3 +133,44 @@ def test_model_files(spark, trained, tmp_path):
     save_vocab(vocab, str(tmp_path / "m"), merges)
     assert load_model(spark, str(tmp_path / "m")) == model
     assert model.special_id("<eos>") == 3 and model.special_id("nothing") is None
+
+
+def test_long_word_takes_no_quadratic_time():
+    import random
+    import time
+    draw = random.Random(1)
+    tokens = [*SPECIAL_TOKENS, *"abcd"]
+    merges = []
+    for _ in range(60):
+        a, b = draw.randrange(7, len(tokens)), draw.randrange(7, len(tokens))
+        if tokens[a] + tokens[b] not in tokens:
+            merges.append((a, b, len(tokens)))
+            tokens.append(tokens[a] + tokens[b])
+    encoder = bpe._Encoder(tokens, merges)
+
+    def slow(symbols):
+        ids = [encoder.ids[s] for s in symbols]
+        while True:
+            ranked = [(encoder.ranks[p], at) for at, p in enumerate(zip(ids, ids[1:]))
+                      if p in encoder.ranks]
+            if not ranked:
+                return ids
+            (_, new), at = min(ranked)
+            ids[at:at + 2] = [new]
+    for n in (0, 1, 2, 3, 10, 200):
+        for _ in range(20):
+            word = [draw.choice("abcd") for _ in range(n)]
+            assert encoder._merge(word) == slow(word)
+    start = time.time()
+    encoder._merge([draw.choice("abcd") for _ in range(100_000)])
+    assert time.time() - start < 2
+
+
+def test_all_bytes_alphabet_and_special_ids(spark):
+    counts = spark.createDataFrame([("ab", 3), ("abc", 2)], "word string, n long")
+    model = bpe.train_bpe(counts, 265, all_bytes=True)
+    assert len(model.tokens) == 265 and model.tokens[7:263] == sorted(bpe.BYTE_ALPHABET)
+    assert model.tokens[263:] == ["ab", "abc"]
+    names = spark.createDataFrame([("<eos>",), ("ab",), (None,), ("<pad>",)], "name string")
+    assert [r[0] for r in names.select(bpe.special_id(F.col("name"), model)).collect()] == [
+        3, None, None, 0]

@@ -229,26 +229,32 @@ def test_assignment_blocks(spark, monkeypatch, block):
         vecs, cents, 2).collect()}
     assert got == {(0, 1): 3, (0, 2): 5, (1, 1): 9, (1, 2): 2, (2, 1): 9, (2, 2): 3}
     assert vectors.top_k_assign(vecs, cents, 9).count() == 15
-    assert vectors.score_experts(vecs, cents).count() == 15
+    scores = vectors.score_experts(vecs, cents)
+    assert scores.count() == 15
+    want = vectors.assignment_balance(scores).first()
+    assert vectors.vector_balance(vecs, cents).first() == pytest.approx(want)
 
 
 @pytest.mark.parametrize("limit", [64 << 20, 0])
 def test_lookup_and_combine(spark, monkeypatch, limit):
-    """The broadcast and the spread join give the same; tokens without a vector drop out."""
+    """The broadcast and the spread join give the same; tokens without a vector keep a null."""
     monkeypatch.setattr(vectors, "BROADCAST_BYTES", limit)
     monkeypatch.setattr(skew, "TASK_ROWS", 2)
     table = spark.createDataFrame([(1, [1.0]), (2, [2.0])], "token long, vec array<double>")
     tokens = spark.createDataFrame([(0, [1, 2, 1, 9]), (1, []), (2, [1, 1])],
                                    "row_id long, ids array<long>")
     got = vectors.embedding_lookup(tokens, table).orderBy("row_id", "pos").collect()
-    assert [(r.row_id, r.pos, r.vec[0]) for r in got] == [
-        (0, 0, 1.0), (0, 1, 2.0), (0, 2, 1.0), (2, 0, 1.0), (2, 1, 1.0)]
+    assert [(r.row_id, r.pos, r.vec and r.vec[0]) for r in got] == [
+        (0, 0, 1.0), (0, 1, 2.0), (0, 2, 1.0), (0, 3, None), (2, 0, 1.0), (2, 1, 1.0)]
     chosen = spark.createDataFrame([(0, 1, 0.25), (0, 2, 0.75), (1, 1, 1.0), (2, 1, 1.0)],
                                    "vec_id long, expert_id long, weight double")
     shared = spark.createDataFrame([(0, [10.0]), (1, [20.0])], "vec_id long, vec array<float>")
     combined = vectors.weighted_combine(chosen, table.withColumnRenamed("token", "expert_id"),
                                         shared)
     assert {r.vec_id: r.vec for r in combined.collect()} == {0: [11.75], 1: [21.0], 2: [1.0]}
+    missing = spark.createDataFrame([(0, 77, 1.0)], chosen.schema)
+    with pytest.raises(Exception, match="no vector for expert 77"):
+        vectors.weighted_combine(missing, table.withColumnRenamed("token", "expert_id")).collect()
 
 
 @pytest.mark.parametrize("window, block", [(2, 3), (3, 4), (128, 1024), (1, 1)])
@@ -300,6 +306,10 @@ def test_files(spark, tmp_path):
     assert [(r.instruction, r.context, r.response) for r in got] == [
         ("i", None, "é"), ("j", None, "k")]
     assert len({r.rec_id for r in got}) == 2
+    (deep / "w.jsonl").write_text('{"instruction":"j","response":"k"}\n' * 3)
+    again = read_instructions(spark, str(tmp_path), "[wxy].jsonl").collect()
+    assert len({r.rec_id for r in again}) == len(again) == 5
+    assert {r.rec_id for r in got} < {r.rec_id for r in again}
     rows = spark.createDataFrame([("p\n\"é\"", "c")], "prompt string, completion string")
     write_jsonl(rows, str(tmp_path / "out"))
     assert read_jsonl(spark, str(tmp_path / "out")).collect() == rows.collect()
@@ -318,3 +328,26 @@ def test_vocab_files(spark, tmp_path):
         0: "c", 1: "b"}
     with pytest.raises(FileNotFoundError):
         load_vocab(spark, str(tmp_path / "none"))
+
+
+def test_keys_of_long_conversations_do_not_collide(spark, tmp_path):
+    """Turn 4,096 of one conversation is not the first turn of the next."""
+    from corpusprep.queries import QUERIES
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"m{c} {t}")
+            for c in (0, 1) for t in range(4100)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(
+        str(tmp_path / "conversations.parquet"))
+    got = QUERIES["to_conversation"](spark, str(tmp_path)).groupBy("conv_id").count()
+    assert {r["count"] for r in got.collect()} == {2} and got.count() == 4100
+
+
+def test_shared_storage_has_to_be_named_off_a_local_master():
+    from types import SimpleNamespace
+
+    from corpusprep.plans.lineage import checkpoint_dir
+    unset = SimpleNamespace(get=lambda *_: None)
+    for master in ("spark://host:7077", "yarn", "k8s://host", "local-cluster[2,1,1024]"):
+        context = SimpleNamespace(getConf=lambda: unset, getCheckpointDir=lambda: None,
+                                  master=master)
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_dir(SimpleNamespace(conf=unset, sparkContext=context))

@@ -68,3 +68,11 @@ def test_metrics_are_hash_aggregates(spark, scores):
                         F.col("score").alias("lr"))
     text = plan(metrics.latest_stats(log))
     assert "SortAggregate" not in text and "HashAggregate" in text
+
+
+def test_one_block_of_centroids_needs_no_shuffle(spark):
+    vecs = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(9)],
+                                 "vec_id long, vec array<double>")
+    cents = vecs.limit(4).withColumnRenamed("vec_id", "expert_id")
+    assert "Exchange" not in plan(vectors.top_k_assign(vecs, cents, 2))
+    assert shuffles(vectors.vector_balance(vecs, cents)) == 1

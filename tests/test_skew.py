@@ -101,3 +101,43 @@ def test_split_follows_the_shuffle(spark):
     assert all((order[r.id] < 900) == (r.split == "train") for r in split.collect())
     assert sorted(order.values()) == list(range(1000))
     assert [order[i] for i in range(1000)] != list(range(1000))
+
+
+def special(spark):
+    """Ties whose mass meets p exactly, infinities, not-a-number and an overflowing range."""
+    inf, nan, huge = float("inf"), float("nan"), 1.7e308
+    groups = {1: [0.0] * 10, 2: [1.0] * 4 + [0.0] * 6, 3: [0.5, 0.2, 0.1] + [-inf] * 8,
+              4: [huge, -huge, 1.0, 0.0, 3.0, -1.0], 5: [-inf] * 7, 6: [inf, inf, 1.0, 2.0, -inf],
+              7: [nan, nan, 1.0, 2.0, -inf, 4.0], 8: [5e-324, 0.0, -5e-324, 0.0, 5e-324, 1.0]}
+    found = [(g, i, s) for g, scores in groups.items() for i, s in enumerate(scores)]
+    return spark.createDataFrame(found, "group_id long, item_id long, score double")
+
+
+@pytest.mark.parametrize("p", [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])
+def test_top_p_is_the_same_on_both_sides_of_the_switch(spark, hot, p):
+    df = special(spark)
+    plain = candidates.top_p_filter(df, p)
+    plain = sorted(map(str, plain.collect()))
+    hot()
+    assert sorted(map(str, candidates.top_p_filter(df, p).collect())) == plain
+    # Of ten equal scores those stay before which at most p of the mass lies.
+    assert sum("group_id=1," in r for r in plain) == int(p * 10 + 1e-9) + 1
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 5, 20])
+def test_top_k_ends_on_unbounded_ranges(spark, hot, k):
+    df = special(spark)
+    plain = sorted(map(str, candidates.top_k_filter(df, k).collect()))
+    hot()
+    assert sorted(map(str, candidates.top_k_filter(df, k).collect())) == plain
+
+
+def test_more_hot_keys_than_a_broadcast_takes(spark, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 1)
+    df = spark.range(400).selectExpr("id % 100 AS key", "id AS n")
+    per = spark.range(90).selectExpr("id AS key", "id * 10 AS value")
+    few = skew.join_per_key(df, per, ["key"], ["n"], "left")
+    plain = rows(few)
+    monkeypatch.setattr(skew, "HOT_KEYS", 7)
+    assert skew.hot_keys(df, ["key"]).count() == 100
+    assert rows(skew.join_per_key(df, per, ["key"], ["n"], "left")) == plain
