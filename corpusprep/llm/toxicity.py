@@ -162,34 +162,41 @@ def _chunks(texts, limit=1 << 22):
         yield texts[start:]
 
 
-def train(labelled, sample=SAMPLE):
-    """Model from `labelled(doc_id, text, label)`: `(table, intercept)`.
+def train(docs, labels, sample=SAMPLE):
+    """Model from `docs(doc_id, text)` and `labels(doc_id, toxic)`: `(table, intercept)`.
 
-    At most `sample` (toxic, clean) texts are read, those whose ids hash lowest. Null texts and
-    labels are left out. Without both classes the model scores every text alike.
+    Rows that are held out, or whose label is neither 0 nor 1, are left out. Of the others at most
+    `sample` (toxic, clean) ids are read, those that hash lowest; only their texts leave the scan.
+    Without texts of both classes the model scores every text alike.
     """
-    rows = labelled.filter("text is not null and label is not null")
-    ids = rows.select("doc_id", "label")
+    ids = labels.select("doc_id", F.col("toxic").alias("label")).filter(
+        F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"))).distinct()
     counts = {r["label"]: r["count"] for r in ids.groupBy("label").count().collect()}
     if not counts.get(0) or not counts.get(1):
         return np.zeros(1, np.float32), 20.0 if counts.get(1) else -20.0
     hashed = F.xxhash64(F.lit("sample"), "doc_id")
     most = {1: sample[0], 0: sample[1]}
-    chosen = ids.filter("label = 0").orderBy(hashed, "doc_id").limit(most[0]).union(
-        ids.filter("label = 1").orderBy(hashed, "doc_id").limit(most[1])).distinct()
+    chosen = stored(ids.filter("label = 0").orderBy(hashed, "doc_id").limit(most[0]).union(
+        ids.filter("label = 1").orderBy(hashed, "doc_id").limit(most[1])), "toxic-sample")
     # As many ids as the sample has at most.
-    texts = rows.join(F.broadcast(stored(chosen, "toxic-sample")), ["doc_id", "label"])
+    texts = docs.filter("text is not null").select("doc_id", "text").join(
+        F.broadcast(chosen), "doc_id")
     share = {k: max(1.0, counts[k] / most[k]) for k in (0, 1)}
 
     def run(frames):
         import pandas as pd
-        whole = pd.concat(list(frames)).sort_values(["doc_id", "text"])
+        frames = list(frames)
+        if not frames:
+            return
+        whole = pd.concat(frames).sort_values(["doc_id", "text", "label"])
         table, intercept = fit(whole["text"].tolist(), whole["label"].astype(int).tolist(),
                                whole["label"].map(share).tolist())
         yield pd.DataFrame({"table": [table.astype("<f4").tobytes()], "intercept": [intercept]})
 
     made = texts.select("doc_id", "text", "label").repartition(1).mapInPandas(
         run, "table binary, intercept double").first()
+    if made is None:
+        return np.zeros(1, np.float32), -20.0
     return np.frombuffer(made["table"], "<f4"), made["intercept"]
 
 
@@ -218,16 +225,9 @@ def held_out(doc_id):
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(5)) == 0
 
 
-def labelled_texts(docs, labels):
-    """Texts that may be learned from: labelled, and not held out."""
-    known = labels.select("doc_id", F.col("toxic").alias("label")).filter(
-        F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
-    return docs.select("doc_id", "text").join(known, "doc_id")
-
-
 def toxicity(docs, labels, sample=SAMPLE):
     """`(doc_id, held_out, score, predicted)` for every row of `docs(doc_id, text)`."""
-    model = train(labelled_texts(docs, labels), sample)
+    model = train(docs, labels, sample)
     return score(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"),
         (F.col("_score") >= 0.5).cast("int").alias("predicted"))
@@ -235,5 +235,5 @@ def toxicity(docs, labels, sample=SAMPLE):
 
 def drop_toxic(docs, labels, sample=SAMPLE):
     """Rows of `docs` that score below one half, columns unchanged."""
-    model = train(labelled_texts(docs, labels), sample)
+    model = train(docs, labels, sample)
     return score(docs, model).filter("_score < 0.5").drop("_score")

