@@ -51,7 +51,7 @@ def subwords(words, buckets=BUCKETS):
     found, owners, value = [], [], np.zeros(len(chars), dtype=np.uint64)
     for n in range(1, LONGEST + 1):
         ahead = np.zeros_like(chars)
-        ahead[:len(chars) - n + 1] = chars[n - 1:]
+        ahead[:max(len(chars) - n + 1, 0)] = chars[n - 1:]
         value = mix(value * _STEP + ahead + np.uint64(1))
         if n >= SHORTEST:
             fits = left >= n

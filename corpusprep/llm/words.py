@@ -111,7 +111,7 @@ def shingles(words, heads, n):
     for k in range(1, n):
         # The k-th word after each; rows that are too short stop contributing at their end.
         ahead = np.zeros_like(words)
-        ahead[:len(words) - k] = words[k:]
+        ahead[:max(len(words) - k, 0)] = words[k:]
         inside = np.arange(len(words)) + k < heads[1:][rows]
         value = np.where(inside, mix(value * _BASE + np.uint64(k)) + ahead, value)
     place = np.arange(len(words)) - heads[:-1][rows]

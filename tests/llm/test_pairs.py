@@ -82,14 +82,20 @@ def test_lines_beside_brute_force(spark):
                    line[:9] + line[11:], "q" + line]
         rows.append((n, "\n".join(changed[i % 7:] + [line.upper()])))
         n += 1
-    rows += [(n, None), (n + 1, ""), (n + 2, "\n\n"), (n + 3, "w" * 20_000),
-             (n + 4, "w" * 19_999 + "v")]
+    rows += [(n, None), (n + 1, ""), (n + 2, "\n\n"), (n + 3, "w" * 700),
+             (n + 4, "w" * 699 + "v")]
     for edits, near in ((1, 12), (2, 24)):
         got = line_dedup.line_classes(docs(spark, rows), edits, 10, near)
         assert sorted((r.doc_id, r.line_no, r.class_doc_id, r.class_line_no)
                       for r in got.collect()) == brute_lines(rows, edits, 10, near)
 
 
+def test_very_long_line(spark):
+    rows = [(1, "w" * 200_000), (2, "w" * 199_999 + "v"), (3, "w" * 199_990)]
+    got = line_dedup.line_classes(docs(spark, rows)).collect()
+    assert {r.doc_id: r.class_doc_id for r in got} == {1: 1, 2: 1, 3: 3}
+
+
 def test_hot_line_publishes_once(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "HOT_COPIES", 5)
     rows = [(i, "one line that everybody repeats") for i in range(30)] + [
