@@ -4,8 +4,9 @@ Every line is a node named by its 64-bit hash, so exact copies are one node. A l
 edits of another must contain, unchanged and nearly in place, one of `edits + 1` segments the other
 is cut into. Each line therefore publishes its segments and probes the substrings, by length and
 place, that the pigeonhole argument still allows for lines of its own length down to `edits`
-shorter. Lines that meet are verified by a banded bit-parallel edit distance: one 64-bit word holds,
-for each number of errors, which diagonals of the band are alive, and is updated per character.
+shorter. Lines that meet, first with one publisher per signature and then across components only, are
+verified by a banded bit-parallel edit distance: one 64-bit word holds, for each number of errors,
+which diagonals of the band are alive, and is updated per character.
 """
 
 from functools import reduce
@@ -125,6 +126,16 @@ def verified(pairs, edits):
     return found.filter(within_edits(F.col("ta"), F.col("tb"), edits)).select(*ids)
 
 
+# Letters in groups of similar total frequency, for counting.
+GROUPS = ("e", "t", "a", "o", "i", "n", "s", "r", "h", "l", "d", "u", "cm", "fw", "gy", "pbvk")
+
+
+def _bag(line):
+    """How often a line has letters of each group; every edit changes at most two of the counts,
+    by one each."""
+    return F.array(*[F.length(line) - F.length(F.translate(line, g, "")) for g in GROUPS])
+
+
 def line_classes(docs, edits=2, exact_chars=10, near_chars=24):
     """`(doc_id, line_no, node, class_doc_id, class_line_no, kept)` per line of `docs`.
 
@@ -152,21 +163,33 @@ def line_classes(docs, edits=2, exact_chars=10, near_chars=24):
         "low": F.min("node").over(by), "high": F.max("node").over(by),
         "any_own": F.max("own").over(by)}).filter("low <> high and any_own").select(
         "signature", "node", "own"), "line-met")
-    other = met.select(F.col("signature").alias("signature2"), F.col("node").alias("node2"),
-                       F.col("own").alias("own2"))
-    pairs = stored(met.join(other, F.expr(
-        "signature = signature2 and own and node <> node2 and (not own2 or node < node2)")).select(
-        F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct(),
-        "line-pairs")
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(),
-                    "line-wanted")
+    wanted = stored(met.select("node").distinct(), "line-wanted")
     texts = stored(attach(one_each.select("node", "line"), wanted, "node", "left_semi").groupBy(
         "node").agg(F.first("line").alias("line")), "line-texts")
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("ta")), "a").join(
-        texts.select(F.col("node").alias("b"), F.col("line").alias("tb")), "b").filter(
-        F.abs(F.length("ta") - F.length("tb")) <= edits)
-    edges = stored(verified(both, edits), "line-links")
-    joined = components(edges)
+
+    def linked(pairs):
+        both = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("ta")), "a").join(
+            texts.select(F.col("node").alias("b"), F.col("line").alias("tb")), "b").filter(
+            F.abs(F.length("ta") - F.length("tb")) <= edits)
+        return stored(verified(both, edits), "line-links")
+
+    # First every line with one publisher of its signature, so that groups of near copies grow
+    # together by as many pairs as they have lines.
+    hubs = met.filter("own").groupBy("signature").agg(F.min("node").alias("b"))
+    edges = linked(stored(met.join(hubs, "signature").filter("node <> b").select(
+        F.col("node").alias("a"), "b").distinct(), "line-pairs"))
+    # Then all pairs that are not in one component and whose letters agree well enough.
+    open_ = met.join(components(edges), "node", "left").withColumn(
+        "component", F.coalesce("component", "node")).join(
+        texts.select("node", F.length("line").alias("chars"), _bag(F.col("line")).alias("bag")),
+        "node")
+    other = open_.select(*[F.col(c).alias(c + "2") for c in (
+        "signature", "node", "own", "component", "chars", "bag")])
+    pairs = open_.join(other, F.expr(f"""signature = signature2 and own and component <> component2
+        and (not own2 or node < node2) and abs(chars - chars2) <= {edits} and aggregate(
+        zip_with(bag, bag2, (x, y) -> abs(x - y)), 0, (s, x) -> s + x) <= {2 * edits}""")).select(
+        F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+    joined = components(edges.union(linked(stored(pairs, "line-pairs"))))
     classed = firsts.select("node", "first").join(joined, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     # Only nodes in links need their class's first line looked up.
