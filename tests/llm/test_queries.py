@@ -108,14 +108,17 @@ def test_personal_data(spark, con):
 
 
 def test_toxicity(spark):
-    rows = QUERIES["op7_toxicity"](spark, "/root/testdata/sf0.01")
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    # The smaller tables have too few toxic texts to learn from.
+    rows = QUERIES["op7_toxicity"](spark, "/root/testdata/sf0.1")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     found = rows.join(labels, "doc_id").collect()
     for r in found:
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
     held = [r for r in found if r.held_out]
-    assert sum(r.predicted == r.toxic for r in held) >= 0.9 * len(held)
+    assert sum(r.predicted == r.toxic for r in held) >= 0.92 * len(held)
+    toxic = [r for r in held if r.toxic]
+    assert sum(r.predicted for r in toxic) >= 0.6 * len(toxic)
 
 
 def test_rows_of_the_others(spark):
