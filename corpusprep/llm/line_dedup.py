@@ -7,6 +7,12 @@ place, that the pigeonhole argument still allows for lines of its own length dow
 shorter. Lines that meet, first with one publisher per signature and then across components only, are
 verified by a banded bit-parallel edit distance: one 64-bit word holds, for each number of errors,
 which diagonals of the band are alive, and is updated per character.
+
+With `percent` the bound grows with the line: `percent` % of the longer line's code points, where that
+is more than `edits`. Segments would need cubically many probes there. Instead, lines within such
+a bound share an unchanged piece of a length that the pigeonhole argument gives, so they share the
+smallest hash of a window of that length; each line publishes its smallest hashes, by length class,
+and probes the class of the shortest lines it may match. Spark's banded `levenshtein` verifies them.
 """
 
 from functools import reduce
@@ -53,6 +59,61 @@ def _signatures(edits):
     return F.array(*found)
 
 
+def _bound(edits, percent, *chars):
+    """Most edits between two lines, from the length of the longer."""
+    longer = F.greatest(*chars) if len(chars) > 1 else chars[0]
+    return F.greatest(F.lit(edits), F.floor(longer * percent / 100).cast("int"))
+
+
+def wide_from(edits, percent):
+    """The shortest line whose bound is above `edits`."""
+    return -(-100 * (edits + 1) // percent)
+
+
+def shared_piece(edits, percent):
+    """Code points in a row that lines share at least, if they are within the bound of a line from
+    `wide_from` on. The bound steps up at multiples of 100 / percent; the piece is least there, and
+    over 100 / percent steps on it stays above the first."""
+    first = wide_from(edits, percent)
+    return min(-(-(n - n * percent // 100) // (n * percent // 100 + 1))
+               for n in range(first, first + 10_000))
+
+
+#: Code points of a line that are cut into windows at a time.
+BLOCK = 256
+
+
+def _length_class(chars, percent):
+    return F.floor(F.log(chars) / F.log(F.lit(100 / (100 - percent)) * 1.05)).cast("int")
+
+
+def _window_signatures(lines, edits, percent):
+    """`(signature, node, own)` of lines that may be in a pair with a bound above `edits`: the
+    smallest hash in each window of as many code points as such lines must share, published for
+    the own length class and probed from there down to the class of the shortest partner."""
+    first, piece = wide_from(edits, percent), shared_piece(edits, percent)
+    window = piece // 2
+    gram = piece - window + 1
+    # Blocks overlap so that each window is in one of them; a long line costs no more a place.
+    blocks = lines.withColumn("chars", F.length("line")).filter(
+        F.col("chars") >= first - edits - 1).select("node", "chars", F.explode(F.transform(
+            F.sequence(F.lit(0), F.floor((F.col("chars") - piece) / BLOCK).cast("int")),
+            lambda b: F.substring("line", b * BLOCK + 1, F.lit(BLOCK + piece - 1)))).alias("block"))
+    hashes = F.transform(F.sequence(F.lit(1), F.length("block") - (gram - 1)),
+                         lambda i: F.xxhash64(F.substring("block", i, F.lit(gram))))
+    hashed = _named(blocks, ["node", "chars"], hashes=hashes)
+    least = F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.size("hashes") - (window - 1)),
+        lambda i: F.array_min(F.slice("hashes", i, window))))
+    own = _length_class(F.col("chars"), percent)
+    low = _length_class(F.col("chars") - _bound(edits, percent, F.col("chars")), percent)
+    return hashed.select("node", own.alias("_own"), F.explode(F.sequence(low, own)).alias("_class"),
+                         least.alias("least")).select(
+        "node", "_own", "_class", F.explode("least").alias("hash")).select(
+        F.xxhash64(F.lit("window"), "_class", "hash").alias("signature"), "node",
+        (F.col("_class") == F.col("_own")).alias("own"))
+
+
 def within_edits(ca, cb, edits):
     """Whether two arrays of characters are within `edits` edits (up to 4) of each other, by a
     banded bit-parallel automaton.
@@ -136,12 +197,13 @@ def _bag(line):
     return F.array(*[F.length(line) - F.length(F.translate(line, g, "")) for g in GROUPS])
 
 
-def line_classes(docs, edits=2, exact_chars=10, near_chars=24):
+def line_classes(docs, edits=2, exact_chars=10, near_chars=24, percent=0):
     """`(doc_id, line_no, node, class_doc_id, class_line_no, kept)` per line of `docs`.
 
     Lines are parts between newlines. Those under `exact_chars` code points are no one's copy and
     do not appear; those from there on are classed with exact copies, and from `near_chars` on with
-    every line within `edits` edits, in chains. A class is named by its first line in doc_id and
+    every line within `edits` edits, or `percent` % of the longer one's code points where that is
+    more, in chains. A class is named by its first line in doc_id and
     line order (a null doc_id comes first), and that line is the one kept; rows repeating a doc_id
     and text keep the line each. Null and empty texts have no lines.
     """
@@ -154,8 +216,11 @@ def line_classes(docs, edits=2, exact_chars=10, near_chars=24):
     near = lines_of(docs, near_chars)
     one_each = attach(near, stored(hot, "line-hot"), "node", "left").filter(
         F.col("first").isNull() | (F.struct("doc_id", "line_no") == F.col("first")))
-    signed = one_each.select("node", F.explode(_signatures(edits)).alias("s")).select(
-        "s.signature", "node", "s.own").repartition("signature").groupBy("signature", "node").agg(
+    signatures = one_each.select("node", F.explode(_signatures(edits)).alias("s")).select(
+        "s.signature", "node", "s.own")
+    if percent:
+        signatures = signatures.union(_window_signatures(one_each, edits, percent))
+    signed = signatures.repartition("signature").groupBy("signature", "node").agg(
         F.max("own").alias("own"))
     # Signatures that two lines share, one of which published it.
     by = W.partitionBy("signature")
@@ -167,11 +232,19 @@ def line_classes(docs, edits=2, exact_chars=10, near_chars=24):
     texts = stored(attach(one_each.select("node", "line"), wanted, "node", "left_semi").groupBy(
         "node").agg(F.first("line").alias("line")), "line-texts")
 
+    def bound(*chars):
+        return _bound(edits, percent, *chars) if percent else F.lit(edits)
+
     def linked(pairs):
         both = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("ta")), "a").join(
             texts.select(F.col("node").alias("b"), F.col("line").alias("tb")), "b").filter(
-            F.abs(F.length("ta") - F.length("tb")) <= edits)
-        return stored(verified(both, edits), "line-links")
+            F.abs(F.length("ta") - F.length("tb")) <= bound(F.length("ta"), F.length("tb")))
+        if not percent:
+            return stored(verified(both, edits), "line-links")
+        wide = both.withColumn("most", bound(F.length("ta"), F.length("tb")))
+        far = wide.filter((F.col("most") > edits) & (
+            F.expr("levenshtein(ta, tb, most)") >= 0)).select("a", "b")
+        return stored(verified(wide.filter(F.col("most") <= edits), edits).union(far), "line-links")
 
     # First every line with one publisher of its signature, so that groups of near copies grow
     # together by as many pairs as they have lines.
@@ -185,9 +258,11 @@ def line_classes(docs, edits=2, exact_chars=10, near_chars=24):
         "node")
     other = open_.select(*[F.col(c).alias(c + "2") for c in (
         "signature", "node", "own", "component", "chars", "bag")])
-    pairs = open_.join(other, F.expr(f"""signature = signature2 and own and component <> component2
-        and (not own2 or node < node2) and abs(chars - chars2) <= {edits} and aggregate(
-        zip_with(bag, bag2, (x, y) -> abs(x - y)), 0, (s, x) -> s + x) <= {2 * edits}""")).select(
+    most = bound(F.col("chars"), F.col("chars2"))
+    pairs = open_.join(other, F.expr("""signature = signature2 and own and component <> component2
+        and (not own2 or node < node2)""") & (F.abs(F.col("chars") - F.col("chars2")) <= most) & (
+        F.expr("aggregate(zip_with(bag, bag2, (x, y) -> abs(x - y)), 0, (s, x) -> s + x)")
+        <= 2 * most)).select(
         F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
     joined = components(edges.union(linked(stored(pairs, "line-pairs"))))
     classed = firsts.select("node", "first").join(joined, "node", "left").withColumn(
@@ -203,13 +278,13 @@ def line_classes(docs, edits=2, exact_chars=10, near_chars=24):
         (F.struct("doc_id", "line_no") == F.col("class")).alias("kept"))
 
 
-def dedup_lines(docs, edits=2, exact_chars=10, near_chars=24):
+def dedup_lines(docs, edits=2, exact_chars=10, near_chars=24, percent=0):
     """`docs` without lines that repeat an earlier one; other columns unchanged (n_chars, where
     there is one, counts the code points kept). Documents left without any text by this are
     dropped; those that had none stay.
     """
     plain = docs.select("doc_id", "text")
-    gone = line_classes(plain, edits, exact_chars, near_chars).filter("not kept").groupBy(
+    gone = line_classes(plain, edits, exact_chars, near_chars, percent).filter("not kept").groupBy(
         F.col("doc_id").alias("_doc")).agg(
         F.collect_set(F.struct("line_no", "node")).alias("_gone"))
     joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_doc"]), "left")

@@ -90,6 +90,41 @@ def test_lines_beside_brute_force(spark):
                       for r in got.collect()) == brute_lines(rows, edits, 10, near)
 
 
+@pytest.mark.parametrize("percent", [3, 5, 10])
+def test_bound_grows_with_the_line(spark, percent):
+    draw = random.Random(percent)
+    lines = []
+    for size in (30, 61, 75, 99, 100, 134, 160, 300, 700):
+        base = "".join(draw.choice("abcdé fg") for _ in range(size))
+        for edits in (0, 1, 2, 3, size * percent // 100, size * percent // 100 + 1):
+            copy = list(base)
+            for at in sorted(draw.sample(range(size), edits), reverse=True):
+                copy[at:at + 1] = draw.choice(["", "X", copy[at] + "Y"])
+            lines.append("".join(copy))
+    draw.shuffle(lines)
+    rows = list(enumerate(lines))
+    links = [(a, b) for (a, s), (b, t) in itertools.combinations(rows, 2) if levenshtein(s, t) <= max(
+        2, max(len(s), len(t)) * percent // 100)]
+    got = line_dedup.line_classes(docs(spark, rows), percent=percent)
+    assert {r.doc_id: r.class_doc_id for r in got.collect()} == closure(range(len(rows)), links)
+
+
+@pytest.mark.parametrize("edits, percent", [(2, 3), (2, 5), (1, 7), (2, 10)])
+def test_shared_piece(edits, percent):
+    piece = line_dedup.shared_piece(edits, percent)
+    for n in range(line_dedup.wide_from(edits, percent), 30_000):
+        most = n * percent // 100
+        assert most > edits and (n - most) > (piece - 1) * (most + 1)
+
+
+def test_pipeline_drops_a_paragraph_with_one_word_changed(spark):
+    import corpus_pipeline
+    words = [f"word{k}" for k in range(30)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:12], "changedw", *words[13:]]))]
+    out = corpus_pipeline.without_repeated_lines(spark, docs(spark, rows), None)
+    assert [r.doc_id for r in out.collect()] == [1]
+
+
 def test_very_long_line(spark):
     rows = [(1, "w" * 200_000), (2, "w" * 199_999 + "v"), (3, "w" * 199_990)]
     got = line_dedup.line_classes(docs(spark, rows)).collect()
