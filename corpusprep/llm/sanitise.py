@@ -3,8 +3,9 @@
 Four kinds of personal data are found by their patterns. The corpus then tells which words give such
 an entity away: with the document frequencies of a term, of a kind, and of both together, their
 pointwise mutual information over the kind's information content is the share of it that the term
-discloses (1: the term never appears without the kind). In documents that hold the kind, terms above
-one threshold are generalised to a label, and those above a higher one removed.
+discloses (1: the term never appears without the kind). The same is worked out for each single value
+(an address, a number) that enough documents hold. In documents that hold the kind or the value, terms
+above one threshold are generalised to a label, and those above a higher one removed.
 """
 
 import hashlib
@@ -15,14 +16,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import stored
+from corpusprep.llm.common import attach, stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: Disclosed shares from which a term is generalised and removed.
 GENERALISE, REMOVE = 0.7, 0.9
-#: A term counts with at least SUPPORT documents of the kind, and at least this part of them; so a
-#: kind has at most (mean distinct terms of a document / PART) disclosing terms.
-SUPPORT, PART = 5, 0.001
+#: A term counts with at least this many documents of the kind or value.
+SUPPORT = 5
+#: Disclosing terms that are broadcast at most; more are joined to the documents.
+KNOWN = 200_000
 #: Terms a task counts before it hands its counts on.
 HELD = 300_000
 
@@ -72,9 +74,19 @@ def base_spans(text):
     return found
 
 
+def entities(text, spans):
+    """What a text holds: its kinds, and its values as "kind:value" without case or separators."""
+    found = {k for k in KINDS if spans[k]}
+    for kind in list(found):
+        for a, b in spans[kind]:
+            value = text[a:b].lower()
+            found.add(f"{kind}:{_DIGITS.sub('', value) if kind in ('card', 'phone') else value}")
+    return found
+
+
 def _counts(batches):
     """Partial document frequencies `(term, n, email, ip, card, phone)`; the null term counts
-    documents."""
+    documents, and terms with a colon are values."""
     names = ["term", "n", *KINDS]
     held = {}
 
@@ -93,6 +105,8 @@ def _counts(batches):
             has = [k + 1 for k, kind in enumerate(KINDS) if spans[kind]]
             terms = set(_TERM.findall(text.lower()))
             terms.add(None)
+            if has:
+                terms |= entities(text, spans).difference(KINDS)
             for t in terms:
                 row = held.get(t)
                 if row is None:
@@ -106,43 +120,71 @@ def _counts(batches):
         yield handed()
 
 
-def disclosing_terms(docs, generalise=GENERALISE, support=SUPPORT, part=PART):
-    """`(term, kind, disclosed)` from the co-occurrence counts of all documents."""
+def _entity_terms(batches):
+    """`(kind, terms, key)` for each kind and value of a text, `key` naming the text."""
+    for batch in batches:
+        rows = []
+        for text in batch.column(0).to_pylist():
+            spans = base_spans(text or "")
+            if any(spans.values()):
+                terms = list(set(_TERM.findall(text.lower())))
+                key = hashlib.sha256(text.encode()).hexdigest()
+                rows += [(e, terms, key) for e in entities(text, spans)]
+        kinds = [pa.string(), pa.list_(pa.string()), pa.string()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * 3, kinds)],
+            ["kind", "terms", "key"])
+
+
+def entity_terms(docs):
+    return docs.select("text").mapInArrow(
+        _entity_terms, "kind string, terms array<string>, key string")
+
+
+def disclosing_terms(docs, generalise=GENERALISE, support=SUPPORT):
+    """`(term, kind, disclosed)` from the co-occurrence counts of all documents; `kind` is a kind
+    or a value as "kind:value"."""
     rows = ", ".join(["term string", "n long", *[f"{k} long" for k in KINDS]])
     counted = stored(docs.select("text").mapInArrow(_counts, rows).groupBy("term").agg(
         *[F.sum(c).alias(c) for c in ("n", *KINDS)]), "term-counts")
     totals = counted.filter("term is null").first()
     if totals is None:
         return counted.select("term", F.lit("").alias("kind"), F.lit(0.0).alias("disclosed")).limit(0)
-    found = None
+    n = totals["n"]
+    words = counted.filter("term is not null and not contains(term, ':')")
+    # A value in every document can't be disclosed.
+    values = stored(counted.filter((F.col("n") >= support) & (F.col("n") < n) & F.contains(
+        "term", F.lit(":"))).select(F.col("term").alias("kind"), F.col("n").alias("of")), "values")
+    held = attach(entity_terms(docs), values, "kind").select(
+        "kind", "of", F.explode("terms").alias("term")).groupBy("kind", "term").agg(
+        F.first("of").alias("of"), F.count(F.lit(1)).alias("both")).filter(F.col("both") >= support)
+    mutual = F.log(F.col("both") * F.lit(float(n)) / (F.col("n") * F.col("of")))
+    found = held.join(words.select("term", "n"), "term").select(
+        "term", "kind", (mutual / F.log(F.lit(float(n)) / F.col("of"))).alias("disclosed")).filter(
+        F.col("disclosed") >= generalise)
     for kind in KINDS:
-        docs_of, n = totals[kind], totals["n"]
+        docs_of = totals[kind]
         if docs_of == 0 or docs_of == n:
             # A kind in no document, or in every one, can't be disclosed.
             continue
-        least = max(support, part * docs_of)
         mutual = F.log(F.col(kind) * F.lit(float(n)) / (F.col("n") * F.lit(float(docs_of))))
-        one = counted.filter(F.col("term").isNotNull() & (F.col(kind) >= least)).select(
+        found = found.union(words.filter(F.col(kind) >= support).select(
             "term", F.lit(kind).alias("kind"),
             (mutual / float(np.log(n / docs_of))).alias("disclosed")).filter(
-            F.col("disclosed") >= generalise)
-        found = one if found is None else found.union(one)
-    if found is None:
-        return counted.select("term", F.lit("").alias("kind"), F.lit(0.0).alias("disclosed")).limit(0)
+            F.col("disclosed") >= generalise))
     return stored(found, "terms")
 
 
-def term_spans(text, spans, known):
-    """`[(start, end, disclosed), ...]` of disclosing terms outside the base spans, for the kinds
-    that the text holds. `known[kind][term]` is the disclosed share."""
-    active = [known[k] for k in KINDS if spans[k] and known.get(k)]
-    if not active:
+def term_spans(text, spans, shares):
+    """`[(start, end, disclosed), ...]` of disclosing terms outside the base spans; `shares` has
+    the disclosed share of each term for what the text holds."""
+    if not shares:
         return []
     taken = sorted(s for k in KINDS for s in spans[k])
     ends = np.maximum.accumulate([e for _, e in taken]).tolist()
     found = []
     for m in _TERM.finditer(text):
-        share = max((terms.get(m[0].lower(), 0.0) for terms in active))
+        share = shares.get(m[0].lower(), 0.0)
         if share:
             start, end = m.span()
             before = bisect_left(taken, (end, 0))
@@ -151,12 +193,33 @@ def term_spans(text, spans, known):
     return found
 
 
-def _known(terms):
-    """Terms as nested dictionaries; their number is bounded by PART."""
-    known = {}
-    for r in terms.collect():
-        known.setdefault(r["kind"], {})[r["term"]] = r["disclosed"]
-    return known
+def _with_terms(docs):
+    """`docs` with a last column `_shares`, and a function of a text, its spans and that column that
+    gives the shares of `term_spans`. Few terms are broadcast and the column is null; more are
+    joined to the texts that hold their kind or value."""
+    terms = disclosing_terms(docs)
+    if terms.count() <= KNOWN:
+        known = {}
+        for r in terms.collect():
+            known.setdefault(r["kind"], {})[r["term"]] = r["disclosed"]
+        shared = docs.sparkSession.sparkContext.broadcast(known)
+
+        def looked_up(text, spans, _):
+            if not any(spans.values()):
+                return {}
+            active = [terms for e in entities(text, spans) if (terms := shared.value.get(e))]
+            return {t: max(terms.get(t, 0.0) for terms in active)
+                    for t in set(_TERM.findall(text.lower()))} if active else {}
+        return docs.withColumn("_shares", F.lit(None).cast("map<string,double>")), looked_up
+    held = entity_terms(docs).select("key", "kind", F.explode("terms").alias("term")).distinct()
+    shares = held.join(terms, ["kind", "term"]).groupBy("key", "term").agg(
+        F.max("disclosed").alias("disclosed")).groupBy("key").agg(F.map_from_entries(
+            F.collect_list(F.struct("term", "disclosed"))).alias("_shares"))
+    # A null text has a key of its own, so that no task gets all of them.
+    keyed = docs.withColumn("_key", F.coalesce(
+        F.sha2("text", 256), F.monotonically_increasing_id().cast("string")))
+    joined = keyed.join(shares.withColumnRenamed("key", "_key"), "_key", "left")
+    return joined.select(*docs.columns, "_shares"), lambda text, spans, row: dict(row or ())
 
 
 def _mark(spans):
@@ -171,16 +234,16 @@ def find_personal_data(docs):
     """Spans of every whole text of `docs(doc_id, text)`: base kinds, then disclosing terms as kind
     "term". Null texts are empty and have none; repeated rows count as documents of their own."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    shared = docs.sparkSession.sparkContext.broadcast(_known(disclosing_terms(rows)))
+    rows, shares = _with_terms(rows)
 
     def run(batches):
         for batch in batches:
             out = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, text, row in zip(*[batch.column(k).to_pylist() for k in range(3)]):
                 text = text or ""
                 spans = base_spans(text)
                 base = _mark(spans)
-                terms = [s[:2] for s in term_spans(text, spans, shared.value)]
+                terms = [s[:2] for s in term_spans(text, spans, shares(text, spans, row))]
                 out.append((doc, *[len(spans[k]) for k in KINDS],
                             hashlib.sha256(base.encode()).hexdigest(),
                             _mark(spans | {"term": terms}), len(terms)))
@@ -188,15 +251,15 @@ def find_personal_data(docs):
             columns = list(zip(*out)) or [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                              [f.split()[0] for f in FOUND.split(", ")])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, FOUND)
+    return rows.mapInArrow(run, FOUND)
 
 
-def cleaned(text, known, remove=REMOVE):
+def cleaned(text, shares, row=None, remove=REMOVE):
     """The text with personal data as `[KIND]`, disclosing terms as `[TERM]` or taken out."""
     spans = base_spans(text)
     cuts = sorted([(a, b, f"[{k.upper()}]") for k in KINDS for a, b in spans[k]] + [
         (a, b, "" if share >= remove else "[TERM]") for a, b, share in
-        term_spans(text, spans, known)])
+        term_spans(text, spans, shares(text, spans, row))])
     out, at = [], 0
     for a, b, label in cuts:
         if a >= at:
@@ -210,12 +273,14 @@ def cleaned(text, known, remove=REMOVE):
 
 def sanitise(docs):
     """`docs` with its texts cleaned, other columns unchanged."""
-    shared = docs.sparkSession.sparkContext.broadcast(_known(disclosing_terms(docs)))
+    rows, shares = _with_terms(docs)
     at = docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
-            text = pa.array([None if t is None else cleaned(t, shared.value)
-                             for t in batch.column(at).to_pylist()], pa.string())
-            yield batch.set_column(at, batch.schema.names[at], text)
-    return docs.mapInArrow(run, docs.schema)
+            text = pa.array([None if t is None else cleaned(t, shares, row) for t, row in zip(
+                batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())],
+                pa.string())
+            yield batch.set_column(at, batch.schema.names[at], text).select(
+                batch.schema.names[:-1])
+    return rows.mapInArrow(run, docs.schema)

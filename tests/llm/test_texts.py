@@ -162,3 +162,31 @@ def test_disclosing_terms(spark):
     texts = {r.doc_id: r.text for r in clean.collect()}
     assert "[EMAIL]" in texts[3] and "write" not in texts[3] and texts[500] is None
     assert sanitise.find_personal_data(df.limit(0)).count() == 0
+
+
+def test_rare_disclosing_terms_count_in_large_tables(spark, monkeypatch):
+    rows = [(i, f"mail u{i}@site.org" + (" zorblatt" if i < 5 else "")) for i in range(6000)]
+    rows += [(6000 + i, "plain text of no interest") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(r.doc_id, r.spans) for r in sanitise.find_personal_data(df).collect()}
+    assert (3, "email:5:16,term:0:4,term:17:25") in want
+    # The same by the join that replaces the broadcast.
+    monkeypatch.setattr(sanitise, "KNOWN", 0)
+    assert {(r.doc_id, r.spans) for r in sanitise.find_personal_data(df).collect()} == want
+    assert {r.text for r in sanitise.sanitise(df.filter("doc_id < 5 or doc_id >= 6000")).collect()
+            } == {" [EMAIL] ", "plain text of no interest"}
+
+
+def test_terms_of_a_single_value(spark):
+    """A term that half of the time stands beside other addresses tells little about the kind."""
+    rows = [(i, f"note{'' if i % 2 else ' Jane.Roe@Site.org'} quillon words") for i in range(20)]
+    rows += [(20 + i, f"note x{i}@site.org words") for i in range(480)]
+    rows += [(500 + i, "note words") for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.kind, r.term): r.disclosed for r in sanitise.disclosing_terms(df).collect()}
+    # Words that stand in the addresses alone are terms too.
+    assert {k for k in found if k[1] not in ("jane", "roe", "site", "org")} == {
+        ("email:jane.roe@site.org", "quillon")}
+    assert found["email:jane.roe@site.org", "quillon"] == pytest.approx(np.log(50) / np.log(100))
+    got = {r.doc_id: r.n_term for r in sanitise.find_personal_data(df).collect()}
+    assert got[2] == 1 and got[1] == got[30] == 0
