@@ -1,9 +1,9 @@
 """Main text of web pages by consensus of their host.
 
 Every page's containers are scored by the prose they hold, and the page votes for the path of its
-best one, generalised to tags and classes without digits. Spark counts the votes per host. Each
-page is then extracted again with the winning path of its host that it contains; a page that has
-none of them uses its own best container. Menus, headers, footers, sidebars, notices, adverts, forms
+best one, the lowest that holds nearly all of it, generalised to tags and classes without digits.
+Spark counts the votes per host. Each page is then extracted again with the first winning path of its
+host that holds nearly all the prose of its own best container; a page that has none uses that. Menus, headers, footers, sidebars, notices, adverts, forms
 and reader comments are left out wherever they stand.
 """
 
@@ -18,6 +18,8 @@ from corpusprep.llm.common import attach, stored
 
 #: A path is a winner of its host with at least this share of votes; so a host has at most 50.
 SHARE = 0.02
+#: Part of the prose that counts as nearly all of it.
+COVER = 0.9
 
 # The block-level elements of HTML, and those whose content is not prose.
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div
@@ -151,27 +153,38 @@ class Page:
         return not any(self.tag[k] == "header" for k in line)
 
     def scores(self):
-        """Prose of each container: its own blocks in full, half for each level between."""
+        """Prose of each container, with all that stands in it."""
         found = {}
         for element, text, links in self.blocks:
             if self._kept(element):
-                worth = len(text) * max(0.0, 1 - links) * (1 + text.count(",") / 20)
-                share = 1.0
                 for k in self._line(element):
                     if self.tag[k] in CONTAINERS:
-                        found[k] = found.get(k, 0.0) + worth * share
-                        share /= 2
+                        found[k] = found.get(k, 0.0) + self._worth(text, links)
         return found
 
+    @staticmethod
+    def _worth(text, links):
+        return len(text) * max(0.0, 1 - links) * (1 + text.count(",") / 20)
+
     def best(self):
-        """The container to vote for: the best scored, or the article or main it stands in."""
+        """The container to vote for: the lowest that holds nearly all prose of the page, or the
+        article or main it stands in."""
         found = self.scores()
         if not found:
             return None
-        top = max(found, key=lambda k: (found[k], -k))
+        # A page of links alone has no prose; its whole text is taken.
+        least = COVER * found[0]
+        # Elements are numbered in page order, so the last of a line of descent is its lowest.
+        top = max(k for k, worth in found.items() if worth >= least) if least else 0
         outer = [k for k in self._line(top) if self.tag[k] in ("article", "main")]
         return outer[0] if outer else top
 
+    def prose(self, elements):
+        """Prose under any of the elements."""
+        chosen = set(elements)
+        return sum(self._worth(text, links) for element, text, links in self.blocks
+                   if self._kept(element) and not chosen.isdisjoint(self._line(element)))
+
     def text(self, elements):
         """Kept blocks under any of the elements, joined by blank lines."""
         chosen = set(elements)
@@ -180,18 +193,21 @@ class Page:
 
     def extract(self, winners):
         """Main text by the first of the host's `winners` (paths, most votes first) that holds
-        any text here, else by the page's own best container."""
+        nearly all prose of the page's own best container, else by that."""
         where = {}
         for k, path in enumerate(self.path):
             if not self.out[k]:
                 where.setdefault(path, []).append(k)
+        top = self.best()
+        if top is None:
+            return ""
+        least = COVER * self.prose([top])
         for path in winners:
-            if path in where:
+            if path in where and self.prose(where[path]) >= least:
                 found = self.text(where[path])
                 if found:
                     return found
-        top = self.best()
-        return "" if top is None else self.text([top])
+        return self.text([top])
 
 
 def host_of(url):

@@ -100,6 +100,23 @@ def test_pages(spark):
         "div.box.content" in {r.host: r.paths[0] for r in paths}["h.example"]
 
 
+def test_pages_keep_leads_and_rarer_templates(spark):
+    split = '<body><div class="page"><div class="lead"><p>{a}</p></div><div class="text"><p>{b}</p>' \
+        '</div></div><footer>us</footer></body>'
+    lead, text = "lead words " * 27, "text words " * 64
+    rows = [(k, f"http://h.example/{k}", split.format(a=lead, b=text)) for k in range(8)]
+    # Another template: a teaser of a few words stands in the popular container.
+    rows.append((20, "http://h.example/x", '<body><div class="page"><p>Read on</p></div>'
+                 f'<div class="story"><p>{text}</p></div></body>'))
+    # A long quotation in its article.
+    rows.append((30, "http://q.example/", f'<body><div class="post"><p>{lead}</p><blockquote><p>'
+                 f'{text}</p></blockquote></div></body>'))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in host_paths.extract_pages(df).collect()}
+    assert all(got[k] == f"{lead.strip()}\n\n{text.strip()}" for k in (*range(8), 30))
+    assert text.strip() in got[20]
+
+
 def test_toxicity_of_unseen_spellings(spark):
     rng = np.random.default_rng(5)
     plain = ["".join(rng.choice(list("lmnrstaeiou"), 6)) for _ in range(60)]
