@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from corpusprep.llm import (
-    bit_sliced, host_paths, line_dedup, mixing, ngram_join, packing, sanitise, spotsigs, token_file,
-    toxicity)
+    bit_sliced, divergence, host_paths, line_dedup, mixing, ngram_join, packing, sanitise, spotsigs,
+    token_counts, token_file, toxicity, whitening)
 from corpusprep.llm.common import stored
 from corpusprep.plans.lineage import scratch_path
 
@@ -143,6 +143,55 @@ def op8(spark, sf_dir):
     return sanitise.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+@query("op11_token_counts")
+def op11(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), scratch_path(
+        spark, "token-cache"), tokenizer_path("piece_bpe_32k.model"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), w AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY 1, 2 HAVING count(DISTINCT r) >= 30
+), g AS (SELECT DISTINCT lang, source FROM d
+), c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY 1, 2, 3
+), f AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n
+  FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)
+), p AS (
+  SELECT *, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER own + 5 * count(*) OVER own) AS p,
+         1 + (1000000000::HUGEINT * (lang_n + 5)) // (sum(lang_n) OVER own + 5 * count(*) OVER own) AS q
+  FROM f WINDOW own AS (PARTITION BY lang, source)
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3
+), both_parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM both_parts)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query("op12_source_divergence", OP12_SQL)
+def op12(spark, sf_dir):
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op13_whitening")
+def op13(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
