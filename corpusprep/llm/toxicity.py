@@ -3,12 +3,14 @@
 A word is the mean of the vectors of its character n-grams (hashed into a fixed table), a text the
 mean of its words (and of a few blank ones, so that a handful of words can't shout), and a linear
 softmax over two classes reads the text's vector. Table and softmax are trained together in numpy, by
-small batches with Adam, on a bounded sample of labelled texts, in one Spark task. Since everything
+small batches with Adam, on a bounded sample of labelled texts, in one Spark task; an empty text of
+the clean class is in every batch, so that the intercept is what blank words deserve. Since everything
 after the table is linear, a word adds one number to a text's logit; scoring computes that number
 once per distinct word of a worker, n-grams of unseen spellings included, and averages it over the
 whole text.
 """
 
+import itertools
 import re
 
 import numpy as np
@@ -21,9 +23,13 @@ from corpusprep.llm.words import mix
 
 #: Toxic and clean texts that the model is fitted on at most, by smallest hash of their id.
 SAMPLE = (2500, 7500)
+#: Bytes of text of each class that the model is fitted on at most, in the same order.
+SAMPLE_BYTES = 24 << 20
 BUCKETS = 1 << 17
 DIMENSIONS = 2
 BLANK = 20
+#: Weight of the empty text in a batch, in average texts.
+EMPTY = 2
 SCALE = np.float32(30)
 SHORTEST, LONGEST = 3, 5
 #: At least so many passes over the sample, and so many steps of small batches.
@@ -75,21 +81,23 @@ def _bag(words, rows, heads):
 def fit(texts, labels, weights, rate=0.05):
     """Embeddings and softmax trained jointly; deterministic.
 
-    `weights` undo the sampling of classes. Returns `(table, intercept)`: a word's number is the
-    mean of its n-grams' table entries, each the difference of the classes' logits.
+    `texts` may be any iterable, read once before `labels` are. `weights` by class undo the sampling. Returns
+    `(table, intercept)`: a word's number is the mean of its n-grams' table entries, each the
+    difference of the classes' logits.
     """
     # Numbers take the place of words at once, so that no text is held as a list of words.
     vocabulary = {}
     numbered = [np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t)),
-                            np.int64) for t in texts]
+                            np.int32) for t in texts]
     keep = [k for k, b in enumerate(numbered) if len(b)]
     if not keep:
-        return np.zeros(1, np.float32), 0.0
+        return np.zeros(1, np.float32), -20.0
     rows, heads = subwords(list(vocabulary))
     del vocabulary
     bags = [_bag(numbered[k], rows, heads) for k in keep]
-    target = np.eye(2, dtype=np.float32)[np.asarray(labels)[keep]]
-    weight = np.asarray(weights, dtype=np.float32)[keep]
+    labels = np.asarray(labels)[keep]
+    target = np.eye(2, dtype=np.float32)[labels]
+    weight = np.array([weights[0], weights[1]], dtype=np.float32)[labels]
     weight /= weight.mean()
     rng = np.random.default_rng(0)
     table = rng.normal(0, 0.001, (BUCKETS, DIMENSIONS)).astype(np.float32)
@@ -113,10 +121,12 @@ def fit(texts, labels, weights, rate=0.05):
             chance = np.exp(logit - logit.max(axis=1, keepdims=True))
             chance /= chance.sum(axis=1, keepdims=True)
             slope = (chance - target[chosen]) * weight[chosen, None] / len(chosen)
+            # The empty text is nothing but blanks, and clean.
+            blank = 1 / (1 + np.exp(bias[0] - bias[1])) / len(chosen) * EMPTY
             pull = SCALE * slope @ soft.T
             slopes = [np.stack([np.bincount(row, pull[:, d][owner] * share, BUCKETS)
                                 for d in range(DIMENSIONS)], axis=1), SCALE * text.T @ slope,
-                      slope.sum(axis=0)]
+                      slope.sum(axis=0) + np.array([-blank, blank], dtype=np.float32)]
             t += 1
             for p, g, m, v in zip(params, slopes, first, second):
                 m += 0.1 * (g - m)
@@ -147,7 +157,8 @@ class Scorer(dict):
                                   / np.diff(heads)).tolist()))
         get = self.__getitem__
         logit = np.array([sum(map(get, b)) / (len(b) + BLANK) for b in bags]) + self.intercept
-        return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
+        return 1 / (1 + np.exp(-np.clip(logit, -500, 500))), np.array(
+            [len(b) for b in bags], dtype=np.int64)
 
 
 def _chunks(texts, limit=1 << 22):
@@ -162,11 +173,12 @@ def _chunks(texts, limit=1 << 22):
         yield texts[start:]
 
 
-def train(docs, labels, sample=SAMPLE):
+def train(docs, labels, sample=SAMPLE, limit=SAMPLE_BYTES):
     """Model from `docs(doc_id, text)` and `labels(doc_id, toxic)`: `(table, intercept)`.
 
     Rows that are held out, or whose label is neither 0 nor 1, are left out. Of the others at most
-    `sample` (toxic, clean) ids are read, those that hash lowest; only their texts leave the scan.
+    `sample` (toxic, clean) ids are read, those that hash lowest, and of each class texts of `limit`
+    bytes (one at least); only their texts leave the scan.
     Without texts of both classes the model scores every text alike.
     """
     ids = labels.select("doc_id", F.col("toxic").alias("label")).filter(
@@ -184,16 +196,31 @@ def train(docs, labels, sample=SAMPLE):
     share = {k: max(1.0, counts[k] / most[k]) for k in (0, 1)}
 
     def run(frames):
+        # Texts come by the order of the sample and are read one by one, up to the bound.
+        taken, left = [], {0: limit, 1: limit}
+
+        def rows():
+            for frame in frames:
+                for text, label in zip(frame["text"], frame["label"].astype(int)):
+                    size = len(text.encode())
+                    if left[label] < limit and size > left[label]:
+                        left[label] = -1
+                        continue
+                    left[label] -= size
+                    taken.append(label)
+                    yield text
+
         import pandas as pd
-        frames = list(frames)
-        if not frames:
+        # The weights follow the labels, which are complete once the texts are read.
+        numbered = rows()
+        first = next(numbered, None)
+        if first is None:
             return
-        whole = pd.concat(frames).sort_values(["doc_id", "text", "label"])
-        table, intercept = fit(whole["text"].tolist(), whole["label"].astype(int).tolist(),
-                               whole["label"].map(share).tolist())
+        table, intercept = fit(itertools.chain([first], numbered), taken, share)
         yield pd.DataFrame({"table": [table.astype("<f4").tobytes()], "intercept": [intercept]})
 
-    made = texts.select("doc_id", "text", "label").repartition(1).mapInPandas(
+    made = texts.select("doc_id", "text", "label", hashed.alias("at")).repartition(
+        1).sortWithinPartitions("at", "doc_id", "text", "label").mapInPandas(
         run, "table binary, intercept double").first()
     if made is None:
         return np.zeros(1, np.float32), -20.0
@@ -201,24 +228,25 @@ def train(docs, labels, sample=SAMPLE):
 
 
 def score(docs, model):
-    """`docs` with a double column `score` (0 to 1); every whole text counts, a text without words
-    has the intercept's score."""
-    names, made = docs.columns, {}
+    """`(row, score, words)`: each row of `docs` as a struct, the score (0 to 1) of its whole text
+    and the words in it; a text without words has the intercept's score."""
+    made = {}
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = names.index("text")
 
     def run(batches):
         if "scorer" not in made:
             made["scorer"] = Scorer(*shared.value)
         for batch in batches:
-            texts = batch.column(at).to_pylist()
+            texts = batch.column(1).to_pylist()
             found = [made["scorer"].scores(part) for part in _chunks(texts)]
+            scores = np.concatenate([f[0] for f in found]) if found else np.zeros(0)
+            words = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.concatenate(found) if found else np.zeros(0))],
-                [*names, "_score"])
+                [batch.column(0), pa.array(scores), pa.array(words)], ["row", "score", "words"])
 
-    kinds = T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())])
-    return docs.mapInArrow(run, kinds)
+    kinds = T.StructType([T.StructField("row", docs.schema), T.StructField(
+        "score", T.DoubleType()), T.StructField("words", T.LongType())])
+    return docs.select(F.struct(*docs.columns).alias("row"), "text").mapInArrow(run, kinds)
 
 
 def held_out(doc_id):
@@ -226,14 +254,18 @@ def held_out(doc_id):
 
 
 def toxicity(docs, labels, sample=SAMPLE):
-    """`(doc_id, held_out, score, predicted)` for every row of `docs(doc_id, text)`."""
+    """`(doc_id, held_out, score, predicted)` for every row of `docs(doc_id, text)`.
+
+    Null and empty texts, and texts without words, have the score of nothing but blanks, below one
+    half. Null and repeated doc_ids are rows like others. Other columns are not read.
+    """
     model = train(docs, labels, sample)
     return score(docs.select("doc_id", "text"), model).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"),
-        (F.col("_score") >= 0.5).cast("int").alias("predicted"))
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs, labels, sample=SAMPLE):
-    """Rows of `docs` that score below one half, columns unchanged."""
+    """Rows of `docs` that score below one half, and all without words, columns unchanged."""
     model = train(docs, labels, sample)
-    return score(docs, model).filter("_score < 0.5").drop("_score")
+    return score(docs, model).filter("score < 0.5 or words = 0").select("row.*")

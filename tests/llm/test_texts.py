@@ -140,11 +140,38 @@ def test_toxicity_of_unseen_spellings(spark):
     assert all(0 <= got[i].score <= 1 for i in (1002, 1003, 1004))
     clean = toxicity.drop_toxic(df, known)
     assert clean.columns == df.columns
-    assert {1001, 1002, 1003} <= {r.doc_id for r in clean.collect()}
+    assert {1001, 1002, 1003, 1004} <= {r.doc_id for r in clean.collect()}
     assert toxicity.toxicity(df.limit(0), known).count() == 0
     assert {r.predicted for r in toxicity.toxicity(df, known.limit(0)).collect()} == {0}
 
 
+@pytest.mark.parametrize("half", [2, 10])
+def test_texts_without_words_are_clean(spark, half):
+    rows = [(i, f"plain talk {i}" if i % half else f"grubface talk {i}", i, "w", "r", 0.5, 9) for i in range(200)]
+    rows += [(1000, None, 1, None, "r", None, 9), (1001, "", 2, "w", None, 0.9, 9), (1001, "", 2, "w", None, 0.9, 9),
+             (None, " .. ", 3, "w", "r", 0.1, None)]
+    df = spark.createDataFrame(
+        rows, "doc_id long, text string, words int, label string, row string, score double, _score int")
+    known = spark.createDataFrame([(i, int(i % half == 0)) for i in range(200)], "doc_id long, toxic int")
+    scores = {r.doc_id: r.score for r in toxicity.toxicity(df, known).collect()}
+    assert max(scores[k] for k in (1000, 1001, None)) < 0.5
+    clean = toxicity.drop_toxic(df, known)
+    assert clean.columns == df.columns
+    got = sorted(map(str, clean.collect()))
+    want = [r for r in df.collect() if r.doc_id is None or r.doc_id >= 200 or r.doc_id % half]
+    assert got == sorted(map(str, want))
+
+
+def test_training_reads_a_bounded_part(spark):
+    rows = [(i, ("bad " if i % 2 else "good ") * 50) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    for limit in (1, 600, 1 << 20):
+        table, intercept = toxicity.train(df, known, limit=limit)
+        scores, _ = toxicity.Scorer(table, intercept).scores(["bad " * 50, "good " * 50])
+        assert scores[0] > 0.5 > scores[1]
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 
 
