@@ -43,6 +43,8 @@ def clean_response(text, n_tokens):
 def truncate_at_stop(tokens, stop_ids, max_length=SAMPLING_DEFAULTS["max_length"]):
     """Tokens before the first stop id, at most `max_length` of them."""
     limit = F.least(F.size(tokens), F.lit(max_length))
+    if not stop_ids:
+        return F.slice(tokens, 1, limit)
     first = [F.array_position(tokens, F.lit(s).cast("int")) for s in stop_ids]
     ends = [F.when(p > 0, p - 1).otherwise(limit) for p in first]
     return F.slice(tokens, 1, F.least(limit, *ends).cast("int"))

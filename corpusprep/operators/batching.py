@@ -5,9 +5,11 @@ from decimal import Decimal
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from corpusprep.constants import ACCUMULATION_STEPS, IGNORE_INDEX, PAD, TRAIN_FRACTION
+from corpusprep.constants import ACCUMULATION_STEPS, IGNORE_INDEX, PAD, STAGES, TRAIN_FRACTION
 from corpusprep.functions.hashing import shuffle_key
+from corpusprep.functions.permute import permuted
 from corpusprep.operators.examples import supervised_tokens
+from corpusprep.plans.lineage import cut
 from corpusprep.plans.scan import HASHED, WHOLE_TABLE, position
 
 
@@ -55,6 +57,39 @@ def batch_and_pad(examples, batch_size, id_col="conv_id", keys=(), seed=None,
     return pad(examples, plan, id_col, keys, pad_id, ignore)
 
 
+# Examples that meet an attempt in one row of the join.
+_TOGETHER = 12
+
+
+def attempt_batches(lengths, gated, seed, stages=None, id_col="conv_id"):
+    """Batches of every attempt at its stage's size, in a fresh order each: `run, attempt, stage,
+    id, batch_id, slot, n, width`.
+
+    `lengths(id, n)` has the ids and labels of each example before truncation, `gated(run, attempt,
+    stage)` the attempts as `metrics.curriculum_gate` gives them; ids, runs and attempts are not
+    null. Examples are indexed once; an attempt's order is a keyed permutation of that index, so no
+    attempt sorts or shuffles its examples to find their batch. `n` is the length that the stage
+    leaves, `width` the longest of the batch. Without examples or attempts there are no rows.
+    """
+    indexed = cut(ordered_index(lengths.select(id_col, "n"), id_col, out="_at"))
+    count = indexed.count()
+    rules = F.create_map(*[x for i, (length, size, _) in enumerate(stages or STAGES, 1) for x in (
+        F.lit(i), F.struct(F.lit(length).alias("max_len"), F.lit(size).alias("size")))])
+    # Every attempt reads every example: it meets them a cell at a time.
+    cells = F.sequence(F.lit(0).cast("bigint"), F.lit(max(count - 1, 0) >> _TOGETHER).cast("bigint"))
+    asked = gated.select("run", "attempt", "stage", rules[F.col("stage").cast("int")].alias("_rule"),
+                         F.explode(cells).alias("_cell"))
+    met = indexed.withColumn("_cell", F.shiftright("_at", _TOGETHER)).join(asked, "_cell")
+    place = permuted(F.col("_at"), count, seed, ["run", "stage", "attempt"])
+    placed = met.select("run", "attempt", "stage", id_col, "_rule", F.greatest(F.least(
+        F.col("n"), F.col("_rule.max_len")) - 1, F.lit(0)).alias("n"), place.alias("_place"))
+    batches = placed.select(
+        "run", "attempt", "stage", id_col, F.floor(F.col("_place") / F.col("_rule.size")).alias(
+            "batch_id"), (F.col("_place") % F.col("_rule.size")).cast("int").alias("slot"), "n")
+    return batches.withColumn("width", F.max("n").over(
+        Window.partitionBy("run", "attempt", "batch_id")))
+
+
 def stage_plan(staged, id_col="conv_id"):
     """Per stage: examples, batches, optimizer steps, supervised tokens and padding."""
     lengths = staged.select("stage", "batch_size", id_col, F.size("input_ids").alias("n"),
@@ -89,7 +124,7 @@ def seeded_shuffle_split(df, id_cols, seed, fraction=TRAIN_FRACTION, n=None):
         "total": F.sum("rows").over(every)})
     limit = F.lit(n) if n is not None else F.floor(
         F.col("total") * F.lit(Decimal(str(fraction))))
-    # At most one cell straddles the cut; none when the cut takes every row.
+    # At most one cell straddles the limit; none when it takes every row.
     edge = cells.withColumn("take", limit - F.col("before")).filter(
         (F.col("take") >= 0) & (F.col("take") < F.col("rows"))).agg(F.struct(
             F.max("_cell").alias("cell"), F.max("take").alias("take"))).scalar()

@@ -1,22 +1,29 @@
 """Byte-level BPE: word counts, training, encoding, decoding, vocabulary growth."""
 
 from dataclasses import dataclass, field
+from functools import reduce
 from heapq import heappop, heappush
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.constants import BOS, EOS, MIN_FREQUENCY, PAD, SPECIAL_TOKENS, UNK, USER, VOCAB_SIZE
 from corpusprep.functions.text import (
     BYTE_ALPHABET, byte_pieces, normalize_segments, normalize_text, raw_words)
-from corpusprep.plans.lineage import cut
+from corpusprep.plans.lineage import cut, delete, scratch_path
 from corpusprep.plans.scan import position
 from corpusprep.schemas import MERGES, VOCAB
 
 # Merges go by (count, left id, right id); this many leading pairs are looked at per round.
 _LEADERS = 256
-# Replacements stacked on the word table before it is written out.
-_STACKED = 48
+# Words are found through the pair index once a round touches less than one in so many.
+_RARE = 8
+# Generations of rewritten words laid over the word table, and pair buckets of the index.
+_LAYERS = 8
+_BUCKETS = 64
+# Words that may be broadcast by id.
+_BROADCAST = 1 << 19
 _BYTE_OF = {symbol: b for b, symbol in enumerate(BYTE_ALPHABET)}
 _NUMERIC = frozenset(s for s in BYTE_ALPHABET if s.isnumeric())
 # Words a task remembers.
@@ -73,14 +80,164 @@ def _mergeable(leaders, complete, room):
     return chosen
 
 
-def _merged(words, merges):
-    """Apply `(left, right, new)` merges, in order, to every word."""
-    if not merges:
-        return words
+def _independent(leaders, room):
+    """The leading pairs, in order, of which none takes away occurrences of a later one."""
+    chosen, ends, starts = [], set(), set()
+    for left, right, count in leaders[:room]:
+        # Occurrences overlap only where one pair goes on where another ends.
+        if chosen and (left == right or right in starts or left in ends):
+            break
+        chosen.append((left, right, count))
+        if left == right:
+            break
+        starts.add(left)
+        ends.add(right)
+    return chosen
+
+
+def _pairs(words, sign="n"):
+    """`(a, b, c)` of each adjacent pair of each word ` 12  45 `."""
+    return (words.selectExpr("split(trim(w), '  ') AS s", f"{sign} AS c")
+            .selectExpr("c", "slice(s, 1, size(s) - 1) AS a", "slice(s, 2, size(s) - 1) AS b")
+            .selectExpr("c", "inline(arrays_zip(a, b))")
+            .selectExpr("int(a) AS a", "int(b) AS b", "c"))
+
+
+def _rewritten(words, merges):
+    """Apply `(left, right, new)` merges to every word; `old` keeps it, null where it is the same."""
     # One expression whatever the merges are, so its generated code is compiled once.
     pairs = ", ".join(f"array(' {a}  {b} ', ' {new} ')" for a, b, new in merges)
-    return words.selectExpr(
-        f"aggregate(array({pairs}), w, (x, m) -> replace(x, m[0], m[1])) AS w", "n")
+    return words.selectExpr("wid", "n", "w AS before", (
+        f"aggregate(array({pairs}), w, (x, m) -> replace(x, m[0], m[1])) AS w")).selectExpr(
+        "wid", "n", "nullif(before, w) IS NOT NULL AS changed", "before", "w")
+
+
+class _PairIndex:
+    """Word table, pair counts, and pair -> words, all as written tables.
+
+    `counts(a, b, c)` is kept by differences: a round adds, for the words it changes, their pairs after
+    less their pairs before. Words are ` 12  45 `, ids in spaces, so that a merge is one string
+    replacement. While a round changes many words the table is written anew; later the index gives
+    the words of a pair, and the few that change are laid over the table as a generation until
+    there are enough of those to write both anew.
+    """
+
+    def __init__(self, words):
+        self.spark = words.sparkSession
+        self.base = self._write(words)
+        self.size = self.base.count()
+        self.layers, self.index = [], None
+        self.counts = self._write(self._summed(_pairs(self.base)))
+
+    def _write(self, df, *by):
+        path = scratch_path(self.spark, "bpe")
+        (df.write.partitionBy(*by) if by else df.write).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    @staticmethod
+    def _summed(pairs):
+        return pairs.groupBy("a", "b").agg(F.sum("c").alias("c")).filter("c <> 0")
+
+    @staticmethod
+    def _bucket(a, b):
+        return (a * 31 + b) % _BUCKETS
+
+    def leaders(self, min_frequency):
+        found = self.counts.filter(F.col("c") >= min_frequency).orderBy(
+            F.desc("c"), "a", "b").limit(_LEADERS).collect()
+        return [(r["a"], r["b"], r["c"]) for r in found]
+
+    def _current(self, wids=None, small=True):
+        """The newest form of all words or of those in `wids`."""
+        tables = [t.select("wid", "n", "w", F.lit(k).alias("age"))
+                  for k, t in enumerate([self.base, *self.layers])]
+        if wids is not None:
+            tables = [t.join(F.broadcast(wids) if small else wids, "wid", "left_semi")
+                      for t in tables]
+        if len(tables) == 1:
+            return tables[0].drop("age")
+        every = reduce(DataFrame.unionByName, tables)
+        return every.groupBy("wid").agg(F.max_by(F.struct("n", "w"), "age").alias("x")).select(
+            "wid", "x.n", "x.w")
+
+    def _holding(self, merges):
+        """Ids of the words that hold, or held, one of the pairs."""
+        keys = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b, _ in merges]
+        wanted = F.struct("a", "b").isin(*keys)
+        # The buckets are folders, so only those of the pairs are read.
+        buckets = sorted({self._bucket(a, b) for a, b, _ in merges})
+        found = [self.index.filter(F.col("bucket").isin(buckets) & wanted).select("wid")]
+        found += [_pairs(t.withColumnRenamed("wid", "m"), "m").filter(wanted).selectExpr(
+            "c AS wid") for t in self.layers]
+        return reduce(DataFrame.union, found).distinct()
+
+    def merge(self, merges, touched):
+        """Merge pairs everywhere. `touched` bounds the words that hold them. Returns what `keep`
+        takes: nothing changes until then."""
+        if self.index is None:
+            made = self._write(_rewritten(self._current(), merges))
+            changed = made.filter("changed")
+        else:
+            wids = self._holding(merges)
+            made = self._write(_rewritten(self._current(wids, touched <= _BROADCAST), merges).filter(
+                "changed"))
+            changed = made
+        after = _pairs(changed)
+        before = _pairs(changed.selectExpr("n", "before AS w"), "-n")
+        counts = self._write(self._summed(self.counts.union(after).union(before)))
+        return made, changed, counts
+
+    def keep(self, state):
+        made, changed, counts = state
+        delete(self.counts)
+        self.counts = counts
+        # A word of one symbol has no pairs left.
+        if self.index is not None:
+            self.layers.append(made)
+            if len(self.layers) >= _LAYERS:
+                self._renew()
+            return
+        seldom = changed.count() * _RARE < self.size
+        delete(self.base)
+        self.base = made
+        if seldom:
+            self._renew()
+
+    def drop(self, state):
+        delete(state[0])
+        delete(state[2])
+
+    def _renew(self):
+        old = [self.base, *self.layers, *([self.index] if self.index is not None else [])]
+        self.base = self._write(self._current().filter(F.contains("w", F.lit("  "))))
+        self.size, self.layers = self.base.count(), []
+        pairs = _pairs(self.base.withColumn("m", F.col("wid")), "m").withColumnRenamed(
+            "c", "wid").distinct()
+        # A frequent pair's words are cut into files by the writing tasks, not gathered.
+        self.index = self._write(pairs.withColumn("bucket", self._bucket(F.col("a"), F.col("b"))), "bucket")
+        for table in old:
+            delete(table)
+
+    def close(self):
+        for table in [self.base, self.counts, *self.layers, *(
+                [self.index] if self.index is not None else [])]:
+            delete(table)
+
+
+def _newest(counts, merges, first):
+    """For each new id the largest count that a pair with it had at any time within the round: a
+    neighbour that was merged later counts as the symbol it began (or ended) with."""
+    def origin(side, column):
+        pairs = [F.lit(x) for m in merges for x in (m[2], m[side])]
+        return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(column)), F.col(column))
+
+    left = counts.filter(F.col("a") >= first).groupBy(F.col("a").alias("id"), origin(
+        0, "b").alias("o")).agg(F.sum("c").alias("c"))
+    right = counts.filter(F.col("b") >= first).groupBy(F.col("b").alias("id"), origin(
+        1, "a").alias("o")).agg(F.sum("c").alias("c"))
+    # One row per merge of the round.
+    return {r["id"]: r["c"] for r in left.union(right).groupBy("id").agg(
+        F.max("c").alias("c")).collect()}
 
 
 def special_id(name, model):
@@ -95,9 +252,12 @@ def train_bpe(counts, vocab_size=VOCAB_SIZE, min_frequency=MIN_FREQUENCY, all_by
     """Learn merges from `counts(word, n)`. With `all_bytes` all 256 byte symbols are in the
     alphabet, else those that occur.
 
-    The word table stays distributed: a word is text like ` 12  45 `, ids in spaces, so a merge is
-    one string replacement. Each round counts adjacent pairs on the cluster and brings only the
-    leading pairs to the driver. Next is the most frequent pair, ties to the smallest ids.
+    Next is the most frequent pair, ties to the smallest ids. Words, pair counts and the index from
+    pairs to words stay distributed (see `_PairIndex`); a round rewrites only words that hold one of
+    its pairs and brings only the leading pairs to the driver. It merges as many leading pairs as do
+    not take occurrences from each other, then looks whether a pair that came up meanwhile was
+    due before one of them; if so that round is done again up to there. The counts must hold no
+    word twice and no null.
     """
     # Small as bytes but costly per row, so spread over all cores rather than by size.
     cores = counts.sparkSession.sparkContext.defaultParallelism
@@ -110,38 +270,49 @@ def train_bpe(counts, vocab_size=VOCAB_SIZE, min_frequency=MIN_FREQUENCY, all_by
     by_point = F.array(*[F.lit(ids.get(chr(c), UNK)) for c in range(512)])
     as_ids = F.transform(F.split("word", ""), lambda c: F.concat(
         F.lit(" "), F.get(by_point, F.ascii(c)).cast("string"), F.lit(" ")))
-    words = cut(counts.filter(F.length("word") > 1).select(
-        F.array_join(as_ids, "").alias("w"), "n"))
-    merges, stacked = [], []
-    while len(tokens) < vocab_size:
-        if len(stacked) >= _STACKED:
-            words, stacked = cut(_merged(words, stacked).filter(F.contains("w", F.lit("  ")))), []
-        leaders = (_merged(words, stacked)
-                   .selectExpr("split(trim(w), '  ') AS s", "n")
-                   .selectExpr("n", "slice(s, 1, size(s) - 1) AS a",
-                               "slice(s, 2, size(s) - 1) AS b")
-                   .selectExpr("n", "inline(arrays_zip(a, b))")
-                   .groupBy("a", "b").agg(F.sum("n").alias("c"))
-                   .filter(f"c >= {min_frequency}")
-                   .selectExpr("int(a) AS a", "int(b) AS b", "c")
-                   .orderBy(F.desc("c"), "a", "b").limit(_LEADERS).collect())
-        if not leaders:
-            break
-        leaders = [tuple(r) for r in leaders]
-        chosen = _mergeable(leaders, len(leaders) < _LEADERS, vocab_size - len(tokens))
-        for at, (left, right) in enumerate(chosen):
-            name = tokens[left] + tokens[right]
-            if name in ids and at:
+    # The id has to be the same whenever a lost partition is worked out again.
+    index = _PairIndex(counts.filter(F.length("word") > 1).select(
+        F.xxhash64("word").alias("wid"), "n", F.array_join(as_ids, "").alias("w")))
+    merges, limit = [], 1
+    leaders = index.leaders(min_frequency) if len(tokens) < vocab_size else []
+    while leaders and len(tokens) < vocab_size:
+        room = vocab_size - len(tokens)
+        certain = _mergeable(leaders, len(leaders) < _LEADERS, room)
+        chosen = []
+        for at, (left, right, count) in enumerate(
+                _independent(leaders, room)[:max(limit, len(certain))]):
+            known = ids.get(tokens[left] + tokens[right])
+            if known is not None and at:
                 # A second way to spell a token changes other counts: leave it for a round alone.
                 break
-            new = ids.setdefault(name, len(tokens))
-            alone = new != len(tokens)
-            if not alone:
-                tokens.append(name)
-            merges.append((left, right, new))
-            stacked.append((left, right, new))
-            if alone:
+            chosen.append((left, right, len(tokens) + at if known is None else known, count))
+            if known is not None:
                 break
+        first = len(tokens)
+        state = index.merge([m[:3] for m in chosen], sum(m[3] for m in chosen))
+        if len(chosen) > max(1, len(certain)):
+            peak, highest, sure = _newest(state[2], chosen, first), 0, 0
+            for left, right, new, count in chosen:
+                if sure and count <= highest:
+                    break
+                sure += 1
+                highest = max(highest, peak.get(new, 0))
+            if sure < len(chosen):
+                index.drop(state)
+                chosen, limit = chosen[:sure], sure
+                state = index.merge([m[:3] for m in chosen], sum(m[3] for m in chosen))
+            else:
+                limit = 2 * len(chosen)
+        else:
+            limit = max(limit, 2 * len(chosen))
+        index.keep(state)
+        for left, right, new, _ in chosen:
+            if new == len(tokens):
+                tokens.append(tokens[left] + tokens[right])
+                ids[tokens[new]] = new
+            merges.append((left, right, new))
+        leaders = index.leaders(min_frequency)
+    index.close()
     return BpeModel(tokens, merges)
 
 

@@ -190,6 +190,11 @@ def top_k_filter(df, k=SAMPLING_DEFAULTS["top_k"]):
     return _top_k(df, k, skew.hot_keys(df, GROUP))
 
 
+def top_k_by(df, k, most):
+    """The same with a positive column k of at most `most`."""
+    return _top_k(df, k, skew.hot_keys(df, GROUP), None if most is None else most + 1)
+
+
 def top_p_filter(df, p=SAMPLING_DEFAULTS["top_p"]):
     """Keep an item while the softmax mass before it is at most p; the first always stays."""
     if p >= 1.0:

@@ -33,3 +33,15 @@ def cut(df):
 def scratch_path(spark, label):
     """A new path under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def delete(df):
+    """Delete the folder of a table written to a scratch path that nothing reads any more."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        # Files of a partitioned table lie deeper.
+        folder = file[:file.rindex("/")]
+        while "=" in folder.rsplit("/", 1)[1]:
+            folder = folder[:folder.rindex("/")]
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

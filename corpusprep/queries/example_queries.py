@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.constants import STAGES, VALIDATION_BATCH
 from corpusprep.functions.chars import CharTokenizer
-from corpusprep.operators import batching, examples
+from corpusprep.operators import batching, examples, metrics
 from corpusprep.queries.registry import chars_sql, conversations, listed, query, table
 
 MAX_LENGTH = 512
@@ -178,6 +178,62 @@ def stage_plan(spark, sf_dir):
         F.round("padding_ratio", 6).alias("padding_ratio"))
 
 
+_ATTEMPTS_SQL = """
+attempts AS (
+  SELECT event_type AS run, event_id % 12 AS attempt, avg(value) * (12 - event_id % 12) / 12 AS ppl
+  FROM events GROUP BY 1, 2),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY attempt) AS rn FROM attempts),
+gate AS (
+  SELECT run, attempt, ppl, rn, 1 AS stage FROM ordered WHERE rn = 1
+  UNION ALL
+  SELECT o.run, o.attempt, o.ppl, o.rn, s.stage + CASE WHEN g.ppl <= s.threshold THEN 1 ELSE 0 END
+  FROM gate g JOIN stages s USING (stage) JOIN ordered o ON o.run = g.run AND o.rn = g.rn + 1),
+examples AS (SELECT conv_id, len(ids) AS n, row_number() OVER (ORDER BY conv_id) - 1 AS at FROM whole),
+total AS (SELECT count(*) AS n FROM examples),
+sides AS (
+  SELECT n, a, (n + a - 1) // a AS b FROM total, (
+    SELECT unnest(range(1, 1 + floor(sqrt((SELECT n FROM total)))::BIGINT)) AS a)
+  WHERE a >= greatest(floor(sqrt(n)) - 512, (floor(sqrt(n))::BIGINT + 1) // 2) ORDER BY a * ((n + a - 1) // a) - n, a DESC LIMIT 1),
+walk AS (
+  SELECT run, attempt, stage, conv_id, e.n, e.at % a AS x, e.at // a AS y, 0 AS j
+  FROM gate JOIN stages USING (stage), examples e, sides
+  UNION ALL
+  SELECT run, attempt, stage, conv_id, n, CASE WHEN j % 2 = 0 THEN (x + d) % a ELSE x END,
+         CASE WHEN j % 2 = 0 THEN y ELSE (y + d) % b END, j + 1
+  FROM (
+    SELECT w.*, a, b, s.n AS total, ('0x' || substr(md5('{seed}|feistel|' || run || '|' || stage || '|'
+           || attempt || '|' || j % 6 || '|' || CASE WHEN j % 2 = 0 THEN y ELSE x END), 1, 8)
+           )::BIGINT % 2147483648 AS d
+    FROM walk w, sides s) q
+  WHERE j % 6 <> 0 OR j = 0 OR x + a * y >= total),
+-- The first value below the total after a whole pass of six rounds.
+ended AS (
+  SELECT run, attempt, stage, conv_id, w.n, arg_min(x + a * y, j) AS place
+  FROM walk w, sides s WHERE j > 0 AND j % 6 = 0 AND x + a * y < s.n GROUP BY ALL),
+placed AS (
+  SELECT run, attempt, stage, conv_id, least(n, max_len) - 1 AS n, place // batch_size AS batch_id,
+         place % batch_size AS slot FROM ended JOIN stages USING (stage))
+SELECT run, attempt, stage::BIGINT AS stage, conv_id, batch_id::BIGINT AS batch_id,
+       slot::BIGINT AS slot, n::BIGINT AS n,
+       max(n) OVER (PARTITION BY run, attempt, batch_id)::BIGINT AS width FROM placed
+"""
+
+
+@query("attempt_batches", f"WITH RECURSIVE {_windows_sql(1 << 40)}, {_STAGES_SQL}"
+                          + _ATTEMPTS_SQL.replace("{seed}", str(SEED)))
+def attempt_batches(spark, sf_dir):
+    """Every attempt of every run reads all conversations in its own order, at its stage's size."""
+    events = table(spark, sf_dir, "events")
+    tries = events.groupBy(F.col("event_type").alias("run"), (F.col("event_id") % 12).alias(
+        "attempt")).agg(F.avg("value").alias("mean")).select("run", "attempt", (
+            F.col("mean") * (12 - F.col("attempt")) / 12).alias("ppl"))
+    windows = examples.training_windows(_turns(spark, sf_dir), CharTokenizer(), STAGES[-1][0])
+    made = batching.attempt_batches(windows.select("conv_id", F.size("ids").alias("n")),
+                                    metrics.curriculum_gate(tries), SEED)
+    return made.select("run", "attempt", *[F.col(c).cast("bigint").alias(c) for c in (
+        "stage", "conv_id", "batch_id", "slot", "n", "width")])
+
+
 _SHUFFLED_SQL = f"""
 shuffled AS (
   SELECT doc_id, row_number() OVER (ORDER BY substr(md5('{SEED}|order|' || doc_id), 1, 15), doc_id)
