@@ -36,13 +36,16 @@ advertisement advertising sponsor sponsored promo promotion share sharing social
 commentlist discussion disqus reply replies respond related recommended recommendations widget
 widgets pagination pager skip search hidden copyright legal""".split())
 REMARKS = frozenset("comment comments commentlist discussion disqus reply replies respond".split())
+ADVERTS = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo
+promotion""".split())
 CONTAINERS = frozenset("body main article section div td blockquote html center".split())
 
 _RAW = "script|style|noscript|template|svg|iframe|object|textarea|title|math|canvas|audio|video"
+# Outside quotes a tag ends at the next angle bracket, so each is looked at once however broken.
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
-    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|</?(?P<tag2>[a-z][a-z0-9:-]*)[^>]*>|<[!?/][^>]*(?:>|\Z)|<[a-z][^<>]*\Z",
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^<>]*+(?:(?<=/)>|>.*?(?:</(?P=raw)\s*>|\Z))"
+    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*+)(?P<attrs>(?:[^<>\"']|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|</?(?P<tag2>[a-z][a-z0-9:-]*+)[^<>]*+>|<[!?/][^>]*+(?:>|\Z)|<[a-z][^<>]*+(?=<|\Z)",
     re.DOTALL | re.IGNORECASE)
 _ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'"
                    r"|([^\s\"'>]+)))?", re.IGNORECASE)
@@ -58,16 +61,23 @@ class Page:
 
     def __init__(self, source):
         self.tag, self.path, self.parent, self.out = ["html"], ["html"], [-1], [False]
+        # Left out by the words of its class or id alone.
+        self.named = [False]
         self.blocks, self._text, self._links = [], [], 0
+        # An inline element that is not shown: its tag, how often it is open, and the block's depth.
+        muted = None
         stack, at, links = [0], 0, 0
         for m in _TOKEN.finditer(source):
-            if m.start() > at:
+            if m.start() > at and not muted:
                 self._add(source[at:m.start()], links)
             at = m.end()
             tag = (m["tag"] or m["tag2"] or "").lower()
             if not tag:
                 continue
             if m["end"] or source.startswith("</", m.start()):
+                if muted and tag == muted[0]:
+                    muted[1] -= 1
+                    muted = muted if muted[1] else None
                 if tag == "a":
                     links = max(0, links - 1)
                 elif tag in BLOCKS or tag in LEFT_OUT:
@@ -75,7 +85,14 @@ class Page:
                     if tag in map(self.tag.__getitem__, stack[1:]):
                         while self.tag[stack.pop()] != tag:
                             pass
+                    if muted and len(stack) < muted[2]:
+                        muted = None
                 continue
+            if muted and tag == muted[0]:
+                muted[1] += 1
+            elif not muted and m["attrs"] and tag not in BLOCKS and tag not in LEFT_OUT and \
+                    tag not in VOID and self._unseen(m["attrs"]):
+                muted = [tag, 1, len(stack)]
             if tag == "br":
                 self._text.append(" ")
             elif tag == "a":
@@ -97,33 +114,65 @@ class Page:
                 links = 0
                 if tag not in VOID and tag != "html":
                     stack.append(self._open(tag, m["attrs"] or "", stack[-1]))
-        if at < len(source):
+        if at < len(source) and not muted:
             self._add(source[at:], links)
         self._end_block(stack[-1])
+        self._settle()
+
+    @staticmethod
+    def _attributes(attrs):
+        return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
+
+    @staticmethod
+    def _hidden(found):
+        return "hidden" in found or found.get("aria-hidden", "").lower() == "true" or \
+            "display:none" in found.get("style", "").replace(" ", "").lower()
+
+    def _unseen(self, attrs):
+        """Whether an inline element is hidden or an advert."""
+        found = self._attributes(attrs)
+        names = {p.lower() for p in _PARTS.findall(f"{found.get('class', '')} {found.get('id', '')}")}
+        return self._hidden(found) or bool(names & ADVERTS)
+
+    def _settle(self):
+        """Decide what the words of a class or id leave out: not an element that holds an article
+        or, on a page without one, more than half of its prose, as theme classes of layouts do."""
+        held, articles, total = {}, set(), 0.0
+        for element, text, links in self.blocks:
+            if not self.out[element]:
+                worth = self._worth(text, links)
+                total += worth
+                for k in self._line(element):
+                    held[k] = held.get(k, 0.0) + worth
+        for k, tag in enumerate(self.tag):
+            if tag in ("article", "main") and held.get(k) and not self.named[k]:
+                articles.update(self._line(self.parent[k]))
+        for k in range(1, len(self.tag)):
+            own = self.named[k] and k not in articles and (
+                articles or held.get(k, 0.0) <= total / 2)
+            self.out[k] = self.out[k] or own or self.out[self.parent[k]]
 
     def _open(self, tag, attrs, parent):
-        found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)} if \
-            attrs else {}
+        found = self._attributes(attrs) if attrs else {}
         classes = re.sub(r"\d+", "", found.get("class", "")).split()
         names = {p.lower() for p in _PARTS.findall(f"{found.get('class', '')} {found.get('id', '')}")}
         within = any(self.tag[k] in ("article", "main") for k in self._line(parent))
-        if tag in ("body", "main", "html"):
-            out = False
-        elif tag == "article":
-            out = bool(names & REMARKS)
-        elif tag == "header" or names & BOILERPLATE == {"header"}:
+        out = named = False
+        if tag == "article":
+            named = bool(names & REMARKS)
+        elif tag == "header":
             # The header of an article holds its headings; they are kept block by block.
             out = not within
-        else:
-            out = tag in LEFT_OUT or bool(names & BOILERPLATE)
-        out = out or found.get("role", "").lower() in ROLES or "hidden" in found or found.get(
-            "aria-hidden", "").lower() == "true" or "display:none" in found.get(
-            "style", "").replace(" ", "").lower()
+        elif tag not in ("body", "main", "html"):
+            out = tag in LEFT_OUT
+            named = bool(names & BOILERPLATE) and not (within and names & BOILERPLATE == {"header"})
+        out = out or found.get("role", "").lower() in ROLES or self._hidden(found)
         own = ".".join([tag, *sorted({c.lower() for c in classes})])
         self.tag.append(tag)
         self.path.append(f"{self.path[parent]}>{own}")
         self.parent.append(parent)
         self.out.append(out or self.out[parent])
+        self.named.append(named)
         return len(self.tag) - 1
 
     def _line(self, k):
