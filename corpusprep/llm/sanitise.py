@@ -28,9 +28,10 @@ KNOWN = 200_000
 #: Terms a task counts before it hands its counts on.
 HELD = 300_000
 
-_LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _TAIL = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+# A run of digits matches from its start or not at all, so each is looked at once.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile("[^0-9]+")
@@ -42,8 +43,9 @@ def _emails(text):
     match starts where the run does, or where the match before it ended."""
     end = 0
     for m in _TAIL.finditer(text):
-        run = text[end:m.start()]
-        start = end + len(run.rstrip(_LOCAL))
+        start = m.start()
+        while start > end and text[start - 1] in _LOCAL:
+            start -= 1
         if start < m.start():
             yield start, m.end()
             end = m.end()
@@ -61,7 +63,7 @@ def base_spans(text):
     if "@" in text:
         found["email"] = list(_emails(text))
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")):
             found["ip"].append(m.span())
     for m in _CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")

@@ -117,6 +117,81 @@ def test_pages_keep_leads_and_rarer_templates(spark):
     assert text.strip() in got[20]
 
 
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+ARTICLE = "Some long article text, with words. " * 30
+
+
+@pytest.mark.parametrize("page, want", [
+    (f'<body><div class="layout with-sidebar"><article><p>{ARTICLE}</p></article></div></body>', ARTICLE),
+    (f'<body><div class="page no-comments"><p>{ARTICLE}</p></div></body>', ARTICLE),
+    (f'<body><section id="related-work"><p>{ARTICLE}</p></section></body>', ARTICLE),
+    (f'<div class="with-sidebar"><main><p>{ARTICLE}</p></main><div class="sidebar"><p>Side</p></div></div>', ARTICLE),
+    (f'<article><p>Short.</p></article><div class="ad"><p>{ARTICLE}</p></div>', "Short."),
+    ('<p>Real <span class="sponsored-ad">Buy <span>now</span></span>words <b hidden>not</b>stay.</p>', "Real words stay."),
+    ('<p>kept <span class="ad">gone</p><p>after</p>', "kept\n\nafter"),
+    ('<p>a < b and <i>c</i></p>', "a < b and c"), ('<p>x <a "</p>', "x"), ("", "")])
+def test_theme_classes_and_inline_adverts(page, want):
+    assert host_paths.Page(page).extract([]) == want.strip()
+
+
+@pytest.mark.parametrize("broken", ["<a ", '<a "', "<script ", "<a '\"", "<", "</a ", "<!-", "<p x='", "<div "])
+def test_broken_tags_take_linear_time(broken):
+    import time
+    start = time.time()
+    host_paths.Page(broken * (200_000 // len(broken))).extract([])
+    assert time.time() - start < 3
+
+
+def plain_spans(text):
+    """The base patterns as they are given, by the regular expression engine alone."""
+    found = []
+    for m in EMAIL.finditer(text):
+        found.append(("email", *m.span()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            found.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = [int(c) for c in re.sub("[^0-9]", "", m[0])][::-1]
+        total = sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])
+        if 16 <= len(digits) <= 19 and total % 10 == 0:
+            found.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 8 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            found.append(("phone", *m.span()))
+    return found
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["1", "25", "256", ".", "..", "-", " ", "+", "(", ")", "a", "x@", "@b.c", "_", "é", "4111111111111111",
+                                 "10.0.0.1", "a.b@c-d.e", "\n", "00", "+49 30 "]), max_size=25))
+def test_base_spans_are_the_patterns(parts):
+    text = "".join(parts)
+    got = [(k, a, b) for k, v in sanitise.base_spans(text).items() for a, b in v]
+    assert got == plain_spans(text)
+
+
+def test_base_spans_of_the_whole_table(spark):
+    from corpusprep.llm.queries import QUERIES
+    from tests.conftest import SF
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = QUERIES["op8_sanitise"](spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = plain_spans(texts[r.doc_id] or "")
+        counts = Counter(k for k, _, _ in want)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(counts[k] for k in ("email", "ip", "card", "phone"))
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("text", ["7" * 1_000_000, "1.2." * 250_000, "x@" * 300_000, " @a.b" * 200_000, "+1(" * 300_000])
+def test_long_runs_take_linear_time(text):
+    import time
+    start = time.time()
+    sanitise.base_spans(text)
+    assert time.time() - start < 5
+
+
 def test_toxicity_of_unseen_spellings(spark):
     rng = np.random.default_rng(5)
     plain = ["".join(rng.choice(list("lmnrstaeiou"), 6)) for _ in range(60)]
@@ -172,9 +247,6 @@ def test_training_reads_a_bounded_part(spark):
         assert scores[0] > 0.5 > scores[1]
 
 
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-
-
 @settings(max_examples=500, deadline=None)
 @given(st.text("ab.@-_1 é", max_size=30))
 def test_emails_are_the_pattern_s(text):
