@@ -110,7 +110,8 @@ def _rated(rows, facts, most, n):
     rate = F.when(F.col("size") == 0, 1.0).when(
         F.col("tilt") == float("inf"), float(most)).otherwise(
         F.least(F.lit(float(most)), F.exp(F.col("tilt") * x)))
-    draw = (F.shiftrightunsigned(F.xxhash64("doc_id", "source"), 11).cast("double") + 0.5) / 2**53
+    given = F.col("draw") if "draw" in rows.columns else F.xxhash64("doc_id", "source")
+    draw = (F.shiftrightunsigned(given, 11).cast("double") + 0.5) / 2**53
     part = F.col("rate") - F.floor("rate")
     return attach(rows.withColumn("key", _key()), facts, "key", rows_of_small=n).withColumn(
         "rate", rate).withColumn("at", F.when(part > 0, draw / part)).withColumn(
@@ -154,7 +155,7 @@ def apply_plan(rows, plan, most=3):
     """Rows of any table with doc_id, source and size, with their source's size and target, their
     rate, copies and taken words. One pass without a shuffle while the sources fit a broadcast.
 
-    Rows alike in doc_id, source and size get the same copies.
+    Rows of one `draw`, or without that column alike in doc_id and source, get the same copies.
     """
     extra = F.when(F.col("cell").isNull(), 0).when(F.col("cut_cell").isNull(), 1).when(
         F.col("cell") < F.col("cut_cell"), 1).when(
@@ -165,8 +166,26 @@ def apply_plan(rows, plan, most=3):
         *rows.columns, "source_size", "target", "taken", "rate", "copies")
 
 
+def _drawn(docs, *more):
+    """`docs` reduced to doc_id, source, size, the columns of `more` and `draw`, a hash that tells
+    rows apart: by id and text, and where rows repeat both, by their place in the table."""
+    named = docs.select(*more, "doc_id", "source", word_count(F.col("text")).alias("size"),
+                        F.xxhash64("doc_id", "source", "text").alias("draw"))
+    again = stored(docs.select(F.xxhash64("doc_id", "source", "text").alias("draw")).groupBy(
+        "draw").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(
+        "draw", F.lit(True).alias("again")), "mix-repeated")
+    many = again.count()
+    if not many:
+        return named
+    placed = named.withColumn("place", F.monotonically_increasing_id())
+    return attach(placed, again, "draw", "left", many).withColumn("draw", F.when(
+        F.col("again"), F.xxhash64("draw", "place")).otherwise(F.col("draw"))).drop(
+        "place", "again")
+
+
 def document_sizes(docs):
-    return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    """`(doc_id, source, size, draw)` of each document."""
+    return _drawn(docs)
 
 
 def mix_documents(docs, most=3, cycle=3):
@@ -176,7 +195,6 @@ def mix_documents(docs, most=3, cycle=3):
     their names can clash with the plan's.
     """
     plan = mix_plan(stored(document_sizes(docs), "mix-documents"), most, cycle)
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                        "doc_id", "source", word_count(F.col("text")).alias("size"))
+    whole = _drawn(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     return apply_plan(whole, plan, most).filter("copies > 0").select(
         "row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")

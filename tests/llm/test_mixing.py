@@ -63,3 +63,18 @@ def test_word_count(spark):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     got = [r[0] for r in df.select(mixing.word_count(df.text)).collect()]
     assert got == [0, 0, 2, 4, 1, 0, 2]
+
+
+@pytest.mark.parametrize("same_text", [False, True])
+def test_one_id_for_a_whole_source(spark, same_text):
+    rows = [(None, " ".join(["w"] * 10) + ("" if same_text else f" n{k}"), "hot") for k in range(100)]
+    rows += [(k, "a b c", "other") for k in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4).cache()
+    sizes = mixing.document_sizes(df).cache()
+    for part in (mixing.apply_plan(sizes, mixing.mix_plan(sizes)).collect(),):
+        taken = {s: sum(r.taken for r in part if r.source == s) for s in ("hot", "other")}
+        target = {r.source: r.target for r in part}
+        assert abs(taken["hot"] - target["hot"]) <= 11 and abs(taken["other"] - target["other"]) <= 3
+    # What the pipeline keeps is the same mix.
+    out = mixing.mix_documents(df).groupBy("source").count().collect()
+    assert abs({r.source: r["count"] for r in out}["hot"] * (10 + (not same_text)) - target["hot"]) <= 11
