@@ -194,9 +194,16 @@ def ngram_join(docs, n=3, percent=90, sketch_bits=SKETCH_BITS, fragments=FRAGMEN
             return pairs
         hinted = F.broadcast if many <= BROADCAST_ROWS else (lambda df: df)
         wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(
-            nodes, "node").select(F.col("first").alias("doc_id")).distinct(), "join-wanted")
-        parts = stored(attach(rows, wanted, "doc_id", "left_semi").mapInArrow(
-            _parts(n, shared, cuts), PARTS), "join-parts")
+            nodes, "node").select("node", F.col("first").alias("doc_id")), "join-wanted")
+        named = wanted.filter("doc_id is not null").select("doc_id").distinct()
+        chosen = attach(rows, named, "doc_id", "left_semi").mapInArrow(
+            _parts(n, shared, cuts), PARTS)
+        # Sets that only rows without an id hold are found by themselves.
+        bare = wanted.filter("doc_id is null").select("node")
+        if not bare.isEmpty():
+            chosen = chosen.union(attach(rows.filter("doc_id is null").mapInArrow(
+                _parts(n, shared, cuts), PARTS), bare, "node", "left_semi"))
+        parts = stored(chosen, "join-parts")
         left = parts.withColumnsRenamed({"node": "a", "n": "na", "tokens": "ta"}).join(
             hinted(pairs), "a")
         right = parts.withColumnsRenamed({"node": "b", "n": "nb", "tokens": "tb"}).join(
