@@ -147,7 +147,7 @@ def _raw_blocks(tokenizer, end_id):
 
     def run(batches):
         from pyspark import TaskContext
-        encode, part = word_ids(tokenizer).encode, TaskContext.get().partitionId()
+        encode, part = word_ids(tokenizer).encode_all, TaskContext.get().partitionId()
         end, block = np.array([end_id], "<u2").tobytes(), 0
         docs, sizes, pieces, n = [], [], [], 0
 
@@ -156,9 +156,9 @@ def _raw_blocks(tokenizer, end_id):
                               lengths=[sizes], n_tokens=[n], ids=[b"".join(pieces)])
 
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                ids = encode(text.as_py()) + end
-                docs.append(doc.as_py())
+            for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+                ids += end
+                docs.append(doc)
                 sizes.append(len(ids) // 2)
                 pieces.append(ids)
                 n += len(ids) // 2

@@ -3,18 +3,23 @@
 Every alternative of the tokenizer's splitting pattern stays inside a run of characters that are
 not white space, and its normaliser works character by character on the plain letters accepted
 below. So a text made of such characters has the ids of its white-space separated words, in
-order, and each distinct word is encoded once per worker. Every other text is encoded whole.
+order. The new words of a run of texts are encoded together, in one call of the library whose ids
+are split by their places, and remembered by the worker. Every other text is encoded whole.
 """
 
 import os
 import re
 import sys
 import types
+from itertools import islice
 
 import numpy as np
 
-#: Words kept per worker; when full the memory starts anew (results do not depend on it).
+#: Words kept per worker; when full the older half goes (results do not depend on it).
 REMEMBERED = 700_000
+#: Characters of texts whose words are looked up together, and words encoded in one call.
+CHARACTERS, TOGETHER = 1 << 21, 20_000
+_SPACE = re.compile(r"\s")
 _WHOLE = re.compile("[^\t-\r -~¡-įı-ňŊ-ſ–-„…]|<\\|")
 
 
@@ -29,23 +34,76 @@ class WordIds(dict):
         if self.tokenizer.get_vocab_size() > 65536:
             raise ValueError("token ids need more than 16 bits")
 
-    def __missing__(self, word):
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = self.whole(word)
-        return found
-
     def whole(self, text):
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u2").tobytes()
 
+    def learn(self, words):
+        """Remember the ids of new words; whether others were forgotten for them."""
+        full = len(self) + len(words) > REMEMBERED
+        if full:
+            for old in list(islice(self, len(self) // 2)):
+                del self[old]
+        for at in range(0, len(words), TOGETHER):
+            part = words[at:at + TOGETHER]
+            made = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(made.ids, "<u2").tobytes()
+            ends = np.cumsum([len(w) + 1 for w in part])
+            starts = np.fromiter((o[0] for o in made.offsets), np.int64, len(made.ids))
+            cuts = [0, *(2 * np.searchsorted(starts, ends)).tolist()]
+            self.update(zip(part, (ids[a:b] for a, b in zip(cuts, cuts[1:]))))
+        return full
+
+    def encode_all(self, texts):
+        """Ids of each whole text as `<u2` bytes, in order; null is the empty text."""
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and size < CHARACTERS:
+                size += len(texts[end] or "")
+                end += 1
+            yield from self._together(texts[at:end])
+            at = end
+
+    def _together(self, texts):
+        plain = [None if not t or _WHOLE.search(t) else t for t in texts]
+        if len(texts) > 1:
+            # A long text is worked on in pieces, between two words.
+            for k, t in enumerate(plain):
+                if t and len(t) > CHARACTERS:
+                    yield from self._together(texts[:k])
+                    yield b"".join(self.encode_all(_pieces(t)))
+                    yield from self._together(texts[k + 1:])
+                    return
+        elif plain[0] and len(plain[0]) > CHARACTERS:
+            pieces = _pieces(plain[0])
+            if len(pieces) > 1:
+                yield b"".join(self.encode_all(pieces))
+                return
+        plain = [None if t is None else t.lower().split() for t in plain]
+        while new := {w for words in plain if words for w in words}.difference(self):
+            # Ids do not depend on the order of a set, which differs between workers. Words of
+            # these texts may go with the older half; the next turn learns them again.
+            if not self.learn(list(new)):
+                break
+        for text, words in zip(texts, plain):
+            yield b"" if not text else self.whole(text) if words is None else b"".join(
+                map(self.__getitem__, words))
+
     def encode(self, text):
-        """Ids of a whole text as `<u2` bytes; null is the empty text."""
-        if not text:
-            return b""
-        if _WHOLE.search(text):
-            return self.whole(text)
-        return b"".join(map(self.__getitem__, text.lower().split()))
+        return next(self.encode_all([text]))
+
+
+def _pieces(text):
+    """Parts of about CHARACTERS / 2 that end with a word."""
+    out, at = [], 0
+    while at < len(text):
+        end = at + CHARACTERS // 2
+        space = _SPACE.search(text, end) if end < len(text) else None
+        end = space.start() if space else len(text)
+        out.append(text[at:end])
+        at = end
+    return out
 
 
 def word_ids(path):

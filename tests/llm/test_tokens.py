@@ -136,3 +136,47 @@ def test_frequent_length_is_numbered_in_cells(spark):
     found = packing.ranked(pieces, cell=50).groupBy("length").agg({"rank": "collect_list"}).collect()
     for r in found:
         assert sorted(r[1]) == list(range(len(r[1])))
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=10))
+def test_bound_is_never_too_high(lengths):
+    counts = np.bincount(lengths, minlength=31) if lengths else np.zeros(31, dtype=int)
+    assert packing.fewest(counts, 30) <= fewest(lengths, 30)
+
+
+def test_bound_ends_the_search_for_large_pieces():
+    rng = np.random.default_rng(0)
+    for length, many, want in ((700, 12_000, 6000), (300, 26_000, 4334)):
+        counts = np.zeros(2049, dtype=int)
+        np.add.at(counts, rng.integers(length - 5, length + 5, many) if length == 300
+                  else np.full(many, length), 1)
+        np.add.at(counts, rng.integers(5, 80, 3000), 1)
+        assert packing.fewest(counts, 2048) == want
+        steps = packing.plan(counts, 2048, nodes=0)
+        assert sum(t for t, _ in steps) == want
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=12), st.integers(1, 60))
+def test_fullest_filling(lengths, room):
+    counts = np.bincount(lengths, minlength=31) if lengths else np.zeros(31, dtype=int)
+    waste, chosen = packing._exact(counts, room)
+    assert room - sum(x * n for x, n in chosen) == waste
+    assert all(n <= counts[x] for x, n in chosen)
+    sums = {0}
+    for x in lengths:
+        sums |= {s + x for s in sums if s + x <= room}
+    assert room - waste == max(sums)
+
+
+def test_words_are_forgotten_and_learnt_again(monkeypatch):
+    from corpusprep.llm import token_ids
+    monkeypatch.setattr(token_ids, "REMEMBERED", 12)
+    monkeypatch.setattr(token_ids, "TOGETHER", 3)
+    monkeypatch.setattr(token_ids, "CHARACTERS", 60)
+    made = token_ids.WordIds(PATH)
+    texts = [" ".join(f"Word{(k * j) % 40}x" for j in range(9)) for k in range(30)]
+    texts += ["a" * 100, "bc d " * 80, None, "", "\n", "x  日本 y", "soft\xadhyphen \xad \xad a"]
+    assert list(made.encode_all(texts)) == [library(t or "") for t in texts]
+    assert [made.encode(t) for t in texts] == [library(t or "") for t in texts]
