@@ -81,18 +81,28 @@ def _mergeable(leaders, complete, room):
 
 
 def _independent(leaders, room):
-    """The leading pairs, in order, of which none takes away occurrences of a later one."""
-    chosen, ends, starts = [], set(), set()
-    for left, right, count in leaders[:room]:
+    """`(chosen, skipped)`: leading pairs, in order, of which none takes occurrences from a later
+    one, each with the number of pairs skipped before it. A pair is skipped when an earlier one takes
+    from it; how much is known once that is merged, so no pair after it may take from it as well.
+    """
+    chosen, skipped = [], []
+    ends, starts, late_ends, late_starts = set(), set(), set(), set()
+    for left, right, count in leaders:
         # Occurrences overlap only where one pair goes on where another ends.
-        if chosen and (left == right or right in starts or left in ends):
+        if len(chosen) == room or chosen and (
+                left == right or left in late_ends or right in late_starts):
             break
-        chosen.append((left, right, count))
+        if right in starts or left in ends:
+            skipped.append((left, right))
+            late_starts.add(left)
+            late_ends.add(right)
+            continue
+        chosen.append((left, right, count, len(skipped)))
         if left == right:
             break
         starts.add(left)
         ends.add(right)
-    return chosen
+    return chosen, skipped
 
 
 def _pairs(words, sign="n"):
@@ -185,10 +195,10 @@ class _PairIndex:
         after = _pairs(changed)
         before = _pairs(changed.selectExpr("n", "before AS w"), "-n")
         counts = self._write(self._summed(self.counts.union(after).union(before)))
-        return made, changed, counts
+        return made, touched, counts
 
     def keep(self, state):
-        made, changed, counts = state
+        made, touched, counts = state
         delete(self.counts)
         self.counts = counts
         # A word of one symbol has no pairs left.
@@ -197,10 +207,9 @@ class _PairIndex:
             if len(self.layers) >= _LAYERS:
                 self._renew()
             return
-        seldom = changed.count() * _RARE < self.size
         delete(self.base)
-        self.base = made
-        if seldom:
+        self.base = made.select("wid", "n", "w")
+        if touched * _RARE < self.size:
             self._renew()
 
     def drop(self, state):
@@ -224,9 +233,10 @@ class _PairIndex:
             delete(table)
 
 
-def _newest(counts, merges, first):
-    """For each new id the largest count that a pair with it had at any time within the round: a
-    neighbour that was merged later counts as the symbol it began (or ended) with."""
+def _afterwards(counts, merges, first, skipped):
+    """What a round has to be checked by: for each new id the largest count that a pair with it had
+    at any time within the round (a neighbour that was merged later counts as the symbol it
+    began, or ended, with), and the counts of the skipped pairs."""
     def origin(side, column):
         pairs = [F.lit(x) for m in merges for x in (m[2], m[side])]
         return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(column)), F.col(column))
@@ -235,9 +245,14 @@ def _newest(counts, merges, first):
         0, "b").alias("o")).agg(F.sum("c").alias("c"))
     right = counts.filter(F.col("b") >= first).groupBy(F.col("b").alias("id"), origin(
         1, "a").alias("o")).agg(F.sum("c").alias("c"))
-    # One row per merge of the round.
-    return {r["id"]: r["c"] for r in left.union(right).groupBy("id").agg(
-        F.max("c").alias("c")).collect()}
+    # One row per merge and skipped pair of the round.
+    rows = left.union(right).groupBy("id").agg(F.max("c").alias("c")).select(
+        F.col("id").alias("a"), F.lit(-1).alias("b"), "c")
+    if skipped:
+        rows = rows.union(counts.select("a", "b", "c").filter(F.struct("a", "b").isin(*[
+            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in skipped])))
+    found = {(r["a"], r["b"]): r["c"] for r in rows.collect()}
+    return {a: c for (a, b), c in found.items() if b < 0}, [found.get(p, 0) for p in skipped]
 
 
 def special_id(name, model):
@@ -279,21 +294,22 @@ def train_bpe(counts, vocab_size=VOCAB_SIZE, min_frequency=MIN_FREQUENCY, all_by
         room = vocab_size - len(tokens)
         certain = _mergeable(leaders, len(leaders) < _LEADERS, room)
         chosen = []
-        for at, (left, right, count) in enumerate(
-                _independent(leaders, room)[:max(limit, len(certain))]):
+        batch, skipped = _independent(leaders, room)
+        for at, (left, right, count, before) in enumerate(batch[:max(limit, len(certain))]):
             known = ids.get(tokens[left] + tokens[right])
             if known is not None and at:
                 # A second way to spell a token changes other counts: leave it for a round alone.
                 break
-            chosen.append((left, right, len(tokens) + at if known is None else known, count))
+            chosen.append((left, right, len(tokens) + at if known is None else known, count, before))
             if known is not None:
                 break
         first = len(tokens)
         state = index.merge([m[:3] for m in chosen], sum(m[3] for m in chosen))
         if len(chosen) > max(1, len(certain)):
-            peak, highest, sure = _newest(state[2], chosen, first), 0, 0
-            for left, right, new, count in chosen:
-                if sure and count <= highest:
+            peak, left_over = _afterwards(state[2], chosen, first, skipped[:chosen[-1][4]])
+            highest, sure = 0, 0
+            for left, right, new, count, before in chosen:
+                if sure and count <= max([highest, *left_over[:before]]):
                     break
                 sure += 1
                 highest = max(highest, peak.get(new, 0))
@@ -306,7 +322,7 @@ def train_bpe(counts, vocab_size=VOCAB_SIZE, min_frequency=MIN_FREQUENCY, all_by
         else:
             limit = max(limit, 2 * len(chosen))
         index.keep(state)
-        for left, right, new, _ in chosen:
+        for left, right, new, *_ in chosen:
             if new == len(tokens):
                 tokens.append(tokens[left] + tokens[right])
                 ids[tokens[new]] = new

@@ -64,15 +64,8 @@ def token_cross_entropy(logits, targets):
         F.count("loss").alias("positions"))
 
 
-def curriculum_gate(attempts, stages=None):
-    """The stage of every attempt `(run, attempt, ppl)` until the last stage is passed.
-
-    A stage ends with its first attempt at or below the threshold, so each stage needs one
-    minimum per run over the attempts after the previous stage. Nothing is folded per run in one
-    task; attempts after completion are dropped; inf and NaN never pass.
-    """
-    thresholds = [float(s[2]) for s in (stages or STAGES)]
-    hot = hot_keys(attempts, ["run"])
+def _with_passes(attempts, thresholds, hot):
+    """Attempts with the attempt that ends each stage of their run, nothing gathered per run."""
     passes = None
     for i, threshold in enumerate(thresholds, 1):
         good = attempts.filter(F.col("ppl") <= threshold).select("run", "attempt")
@@ -82,7 +75,28 @@ def curriculum_gate(attempts, stages=None):
                 F.col("attempt") > F.col(earlier[-1]))
         reached = good.groupBy("run").agg(F.min("attempt").alias(f"pass_{i}"))
         passes = reached if passes is None else passes.join(reached, "run", "left")
-    rows = join_per_key(attempts, passes, ["run"], ["attempt"], "left", hot=hot)
+    return join_per_key(attempts, passes, ["run"], ["attempt"], "left", hot=hot)
+
+
+def curriculum_gate(attempts, stages=None):
+    """The stage of every attempt `(run, attempt, ppl)` until the last stage is passed.
+
+    A stage ends with its first attempt at or below the threshold, so each stage needs one
+    minimum per run over the attempts after the previous stage: windows over one shuffle while
+    every run fits in a task, else an aggregate per stage, so that no run is brought together.
+    Attempts after completion are dropped; inf and NaN never pass.
+    """
+    thresholds = [float(s[2]) for s in (stages or STAGES)]
+    hot = hot_keys(attempts, ["run"])
+    rows = attempts.select("run", "attempt", "ppl") if hot is None else _with_passes(
+        attempts, thresholds, hot)
+    if hot is None:
+        every = Window.partitionBy("run")
+        for i, threshold in enumerate(thresholds, 1):
+            good = F.col("ppl") <= threshold
+            if i > 1:
+                good = good & (F.col("attempt") > F.col(f"pass_{i - 1}"))
+            rows = rows.withColumn(f"pass_{i}", F.min(F.when(good, F.col("attempt"))).over(every))
     marks = [F.col(f"pass_{i}") for i in range(1, len(thresholds) + 1)]
     beyond = [F.coalesce(F.col("attempt") > m, F.lit(False)) for m in marks]
     stage = F.lit(1)

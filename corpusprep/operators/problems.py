@@ -26,12 +26,12 @@ def _pick(values, index):
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
-def generate_problems(ids, seed, id_col="id"):
-    """One problem per row of `ids`: `id, prompt, completion`, fixed by seed and id."""
+def generate_problems(ids, seed, id_col="id", keep=()):
+    """One problem per row of `ids`: `id, *keep, prompt, completion`, fixed by seed and id."""
     def draw(field, low, high):
         return draw_int(seed, field, [id_col], low, high)
     drawn = ids.select(
-        id_col, draw("template", 0, 2).alias("template"),
+        id_col, *keep, draw("template", 0, 2).alias("template"),
         _pick(NAMES, draw("name1", 0, len(NAMES) - 1)).alias("name1"),
         _pick(NAMES, draw("name2", 0, len(NAMES) - 1)).alias("name2"),
         _pick(ITEMS, draw("item", 0, len(ITEMS) - 1)).alias("item"),
@@ -51,7 +51,7 @@ def generate_problems(ids, seed, id_col="id"):
         THREE_STEPS, F.col("n1"), F.col("n2"), first, first, F.col("found"), F.col("held"),
         F.col("held"), F.col("gone"), left)).otherwise(F.format_string(
             TWO_STEPS, F.col("n1"), F.col("n2"), first, first, F.col("gone"), left))
-    return drawn.select(id_col, prompt.alias("prompt"), completion.alias("completion"))
+    return drawn.select(id_col, *keep, prompt.alias("prompt"), completion.alias("completion"))
 
 
 def generate_n_problems(spark, n=1000, seed=0):

@@ -90,13 +90,12 @@ SELECT o_orderkey, n_steps, well_formed, arithmetic_ok, chain_ok, operands_ok, a
 FROM checked""")
 def verified(spark, sf_dir):
     """Correct problems, with a wrong operator for status F and a malformed step for status P."""
-    status = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    made = generate_problems(table(spark, sf_dir, "orders"), SEED, "o_orderkey", ["o_orderstatus"])
     spoiled = (F.when(F.col("o_orderstatus") == "F", F.replace(
                    F.col("completion"), F.lit(" + "), F.lit(" - ")))
                .when(F.col("o_orderstatus") == "P", F.concat("completion", F.lit("; 1 + x = 2")))
                .otherwise(F.col("completion")))
-    given = _problems(spark, sf_dir).join(status, "o_orderkey").withColumn("completion", spoiled)
-    return verify_completions(given).select(
+    return verify_completions(made.withColumn("completion", spoiled)).select(
         "o_orderkey", F.col("n_steps").cast("bigint").alias("n_steps"), "well_formed",
         "arithmetic_ok", "chain_ok", "operands_ok",
         F.coalesce("answer", F.lit(-1).cast("bigint")).alias("answer"), "valid")

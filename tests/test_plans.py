@@ -76,3 +76,17 @@ def test_one_block_of_centroids_needs_no_shuffle(spark):
     cents = vecs.limit(4).withColumnRenamed("vec_id", "expert_id")
     assert "Exchange" not in plan(vectors.top_k_assign(vecs, cents, 2))
     assert shuffles(vectors.vector_balance(vecs, cents)) == 1
+
+
+def test_gate_reads_its_attempts_twice(spark):
+    """Once to look for large runs, once for all stages, in one shuffle."""
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    tries = events.select(F.col("user_id").alias("run"), F.col("event_id").alias("attempt"),
+                          F.col("value").alias("ppl"))
+    made = metrics.curriculum_gate(tries)
+    assert plan(made).count("FileScan") == 1 and shuffles(made) == 1
+
+
+def test_verification_reads_its_problems_once(spark):
+    from corpusprep.queries import QUERIES
+    assert plan(QUERIES["verify_completions"](spark, SF)).count("FileScan") == 1
