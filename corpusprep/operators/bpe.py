@@ -17,8 +17,9 @@ from corpusprep.schemas import MERGES, VOCAB
 
 # Merges go by (count, left id, right id); this many leading pairs are looked at per round.
 _LEADERS = 256
-# Words are found through the pair index once a round touches less than one in so many.
-_RARE = 8
+# Words are found through the pair index once a round touches less than one in so many, and the
+# table has more words than are read over in less time than an index takes to look up.
+_RARE, _SMALL = 8, 1 << 20
 # Generations of rewritten words laid over the word table, and pair buckets of the index.
 _LAYERS = 8
 _BUCKETS = 64
@@ -209,7 +210,7 @@ class _PairIndex:
             return
         delete(self.base)
         self.base = made.select("wid", "n", "w")
-        if touched * _RARE < self.size:
+        if touched * _RARE < self.size and self.size > _SMALL:
             self._renew()
 
     def drop(self, state):

@@ -81,6 +81,23 @@ def test_small_corpora(spark, texts, size):
     assert bpe.train_bpe(counts, size).tokens == by_id(library(texts, size))
 
 
+def test_pair_index_gives_the_same(spark, monkeypatch):
+    """The path of large tables: words found by pair, changes in layers, renewed now and then."""
+    monkeypatch.setattr(bpe, "_SMALL", 0)
+    monkeypatch.setattr(bpe, "_RARE", 0)
+    monkeypatch.setattr(bpe, "_LAYERS", 3)
+    texts = ["the cat the hat that hat cats hats", "abab abab cabab cab", "mississippi missing kiss"] * 2
+    counts = bpe.word_counts(texts_of(spark, texts))
+    assert bpe.train_bpe(counts, 45).tokens == by_id(library(texts, 45))
+
+
+def test_skipped_pairs():
+    # (8, 9) loses to (7, 8) and is passed over; (9, 4) would take from it in turn.
+    leaders = [(7, 8, 50), (8, 9, 40), (5, 6, 30), (9, 4, 20), (1, 2, 10)]
+    assert bpe._independent(leaders, 9) == ([(7, 8, 50, 0), (5, 6, 30, 1)], [(8, 9)])
+    assert bpe._independent(leaders, 1) == ([(7, 8, 50, 0)], [])
+
+
 def test_two_spellings_of_one_token(spark):
     """`abc` is first built as ab+c; a+bc later reuses its id."""
     counts = spark.createDataFrame(
