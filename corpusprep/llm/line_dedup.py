@@ -13,6 +13,12 @@ is more than `edits`. Segments would need cubically many probes there. Instead,
 a bound share an unchanged piece of a length that the pigeonhole argument gives, so they share the
 smallest hash of a window of that length; each line publishes its smallest hashes, by length class,
 and probes the class of the shortest lines it may match. Spark's banded `levenshtein` verifies them.
+
+With `word_percent` the same join runs once more over words in place of characters: a line also
+matches lines within that share of the longer one's words, up to four words left out, put in or
+replaced. One changed word, which costs many characters, is then one edit. The bound steps up
+in bands of the number of words; each line is cut into its band's segments, and into the next band's where
+a line of that band may match it, and probes by its own band only.
 """
 
 from functools import reduce
@@ -20,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import attach, components, stored
+from corpusprep.llm.common import attach, components, discard, stored
 
 #: A line with more copies than this publishes and probes from its first copy only.
 HOT_COPIES = 1000
@@ -41,21 +47,27 @@ def _segments(length, parts):
         yield i * base + F.greatest(late, F.lit(0)), base + (late >= 0).cast("int")
 
 
-def _signatures(edits):
-    """All `(signature, published)` of a line: its own segments, then its probes."""
-    n, parts, found = F.col("chars"), edits + 1, []
+def _probes(edits):
+    """`(segment, shorter, shift)` of what a line publishes (neither shorter nor shifted) and of the
+    substrings it probes for partners up to `edits` shorter."""
     for shorter in range(edits + 1):
-        length = n - shorter
-        for i, (start, size) in enumerate(_segments(length, parts)):
+        for i in range(edits + 1):
             # Where segment i can lie so that the edits left and right of it stay within bounds.
             low, high = max(-i, shorter - (edits - i)), min(i, shorter + (edits - i))
             for shift in range(low, high + 1):
-                own = shorter == 0 and shift == 0
-                # The end of the line may cut a shifted probe short; it then matches nothing.
-                piece = F.col("line").substr((start + shift + 1).cast("int"), size.cast("int"))
-                found.append(F.struct(
-                    F.xxhash64(F.lit(i), length, piece).alias("signature"),
-                    F.lit(own).alias("own")))
+                yield i, shorter, shift
+
+
+def _signatures(edits):
+    """All `(signature, published)` of a line: its own segments, then its probes."""
+    n, found = F.col("chars"), []
+    cuts = [list(_segments(n - shorter, edits + 1)) for shorter in range(edits + 1)]
+    for i, shorter, shift in _probes(edits):
+        start, size = cuts[shorter][i]
+        # The end of the line may cut a shifted probe short; it then matches nothing.
+        piece = F.col("line").substr((start + shift + 1).cast("int"), size.cast("int"))
+        found.append(F.struct(F.xxhash64(F.lit(i), n - shorter, piece).alias("signature"),
+                              F.lit(shorter == 0 and shift == 0).alias("own")))
     return F.array(*found)
 
 
@@ -114,6 +126,56 @@ def _window_signatures(lines, edits, percent):
         (F.col("_class") == F.col("_own")).alias("own"))
 
 
+#: Words that may differ at most.
+MOST_WORDS = 4
+
+
+def _bands(percent):
+    """`(least number of words, edits)` of the bands of a word bound."""
+    return [(-(-100 * k // percent), k) for k in range(1, MOST_WORDS + 1)]
+
+
+def _word_bound(percent, *sizes):
+    """Most word edits between two lines, from the number of words of the longer."""
+    longer = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]
+    return F.least(F.lit(MOST_WORDS), F.floor(longer * percent / 100).cast("int"))
+
+
+def words_of(line):
+    """The parts between spaces; joined by spaces again they are the line."""
+    return F.split(line, " ", -1)
+
+
+def _word_signatures(lines, percent):
+    """`(signature, node, own)` of lines for the join over words."""
+    bands, size = _bands(percent), F.size("words")
+
+    def listed(edits, publish_only=False):
+        found = [F.struct(*[F.lit(v).alias(k) for k, v in (
+            ("edits", edits), ("i", i), ("shorter", shorter), ("shift", shift))])
+            for i, shorter, shift in _probes(edits) if not (publish_only and (shorter or shift))]
+        return F.array(*found)
+
+    wanted = F.array().cast("array<struct<edits:int,i:int,shorter:int,shift:int>>")
+    for first, edits in bands:
+        wanted = F.when(size >= first, listed(edits)).otherwise(wanted)
+    for first, edits in bands:
+        wanted = F.when((size < first) & (size >= first - edits),
+                        F.concat(wanted, listed(edits, True))).otherwise(wanted)
+    # One row per probe first, so that cutting and hashing stay in generated code.
+    each = lines.select("node", words_of(F.col("line")).alias("words")).filter(
+        size >= bands[0][0] - bands[0][1]).select(
+        "node", "words", F.explode(wanted).alias("p")).select("node", "words", "p.*")
+    length, parts = F.size("words") - F.col("shorter"), F.col("edits") + 1
+    base = F.floor(length / parts).cast("int")
+    late = F.col("i") - parts + length % parts
+    start = F.col("i") * base + F.greatest(late, F.lit(0)) + F.col("shift")
+    piece = F.slice("words", start + 1, base + (late >= 0).cast("int"))
+    return each.select(
+        F.xxhash64(F.lit("words"), "edits", "i", length, piece).alias("signature"), "node",
+        ((F.col("shorter") == 0) & (F.col("shift") == 0)).alias("own"))
+
+
 def within_edits(ca, cb, edits):
     """Whether two arrays of characters are within `edits` edits (up to 4) of each other, by a
     banded bit-parallel automaton.
@@ -197,13 +259,14 @@ def _bag(line):
     return F.array(*[F.length(line) - F.length(F.translate(line, g, "")) for g in GROUPS])
 
 
-def line_classes(docs, edits=2, exact_chars=10, near_chars=24, percent=0):
+def line_classes(docs, edits=2, exact_chars=10, near_chars=24, percent=0, word_percent=0):
     """`(doc_id, line_no, node, class_doc_id, class_line_no, kept)` per line of `docs`.
 
     Lines are parts between newlines. Those under `exact_chars` code points are no one's copy and
     do not appear; those from there on are classed with exact copies, and from `near_chars` on with
     every line within `edits` edits, or `percent` % of the longer one's code points where that is
-    more, in chains. A class is named by its first line in doc_id and
+    more, and with every line within `word_percent` % of the longer one's words (up to MOST_WORDS),
+    in chains. A class is named by its first line in doc_id and
     line order (a null doc_id comes first), and that line is the one kept; rows repeating a doc_id
     and text keep the line each. Null and empty texts have no lines.
     """
@@ -220,6 +283,8 @@ def line_classes(docs, edits=2, exact_chars=10, near_chars=24, percent=0):
         "s.signature", "node", "s.own")
     if percent:
         signatures = signatures.union(_window_signatures(one_each, edits, percent))
+    if word_percent:
+        signatures = signatures.union(_word_signatures(one_each, word_percent))
     signed = signatures.repartition("signature").groupBy("signature", "node").agg(
         F.max("own").alias("own"))
     # Signatures that two lines share, one of which published it.
@@ -235,16 +300,34 @@ def line_classes(docs, edits=2, exact_chars=10, near_chars=24, percent=0):
     def bound(*chars):
         return _bound(edits, percent, *chars) if percent else F.lit(edits)
 
+    def by_words(pairs):
+        """Pairs within the word bound, by the same automaton over words."""
+        named = _named(pairs, ["a", "b"], wa=words_of(F.col("ta")), wb=words_of(F.col("tb")))
+        named = named.withColumn("most", _word_bound(word_percent, F.size("wa"), F.size("wb"))).filter(
+            F.abs(F.size("wa") - F.size("wb")) <= F.col("most"))
+        found = [named.filter(F.col("most") == k).filter(within_edits(
+            F.col("wa"), F.col("wb"), k)).select("a", "b") for k in range(1, MOST_WORDS + 1)]
+        return reduce(lambda x, y: x.union(y), found)
+
     def linked(pairs):
         both = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("ta")), "a").join(
-            texts.select(F.col("node").alias("b"), F.col("line").alias("tb")), "b").filter(
+            texts.select(F.col("node").alias("b"), F.col("line").alias("tb")), "b")
+        if word_percent:
+            both = stored(both, "line-compared")
+        close = both.filter(
             F.abs(F.length("ta") - F.length("tb")) <= bound(F.length("ta"), F.length("tb")))
         if not percent:
-            return stored(verified(both, edits), "line-links")
-        wide = both.withColumn("most", bound(F.length("ta"), F.length("tb")))
-        far = wide.filter((F.col("most") > edits) & (
-            F.expr("levenshtein(ta, tb, most)") >= 0)).select("a", "b")
-        return stored(verified(wide.filter(F.col("most") <= edits), edits).union(far), "line-links")
+            found = verified(close, edits)
+        else:
+            wide = close.withColumn("most", bound(F.length("ta"), F.length("tb")))
+            far = wide.filter((F.col("most") > edits) & (
+                F.expr("levenshtein(ta, tb, most)") >= 0)).select("a", "b")
+            found = verified(wide.filter(F.col("most") <= edits), edits).union(far)
+        if not word_percent:
+            return stored(found, "line-links")
+        found = stored(found.union(by_words(both)).distinct(), "line-links")
+        discard(both)
+        return found
 
     # First every line with one publisher of its signature, so that groups of near copies grow
     # together by as many pairs as they have lines.
@@ -254,15 +337,20 @@ def line_classes(docs, edits=2, exact_chars=10, near_chars=24, percent=0):
     # Then all pairs that are not in one component and whose letters agree well enough.
     open_ = met.join(components(edges), "node", "left").withColumn(
         "component", F.coalesce("component", "node")).join(
-        texts.select("node", F.length("line").alias("chars"), _bag(F.col("line")).alias("bag")),
-        "node")
+        texts.select("node", F.length("line").alias("chars"), _bag(F.col("line")).alias("bag"),
+                     F.size(words_of(F.col("line"))).alias("words")), "node")
     other = open_.select(*[F.col(c).alias(c + "2") for c in (
-        "signature", "node", "own", "component", "chars", "bag")])
+        "signature", "node", "own", "component", "chars", "bag", "words")])
     most = bound(F.col("chars"), F.col("chars2"))
-    pairs = open_.join(other, F.expr("""signature = signature2 and own and component <> component2
-        and (not own2 or node < node2)""") & (F.abs(F.col("chars") - F.col("chars2")) <= most) & (
+    may = (F.abs(F.col("chars") - F.col("chars2")) <= most) & (
         F.expr("aggregate(zip_with(bag, bag2, (x, y) -> abs(x - y)), 0, (s, x) -> s + x)")
-        <= 2 * most)).select(
+        <= 2 * most)
+    if word_percent:
+        may = may | (F.abs(F.col("words") - F.col("words2")) <= _word_bound(
+            word_percent, F.col("words"), F.col("words2"))) & (
+            F.greatest("words", "words2") >= _bands(word_percent)[0][0])
+    pairs = open_.join(other, F.expr("""signature = signature2 and own and component <> component2
+        and (not own2 or node < node2)""") & may).select(
         F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
     joined = components(edges.union(linked(stored(pairs, "line-pairs"))))
     classed = firsts.select("node", "first").join(joined, "node", "left").withColumn(
@@ -278,25 +366,30 @@ def line_classes(docs, edits=2, exact_chars=10, near_chars=24, percent=0):
         (F.struct("doc_id", "line_no") == F.col("class")).alias("kept"))
 
 
-def dedup_lines(docs, edits=2, exact_chars=10, near_chars=24, percent=0):
+def dedup_lines(docs, edits=2, exact_chars=10, near_chars=24, percent=0, word_percent=0):
     """`docs` without lines that repeat an earlier one; other columns unchanged (n_chars, where
     there is one, counts the code points kept). Documents left without any text by this are
     dropped; those that had none stay.
     """
     plain = docs.select("doc_id", "text")
-    gone = line_classes(plain, edits, exact_chars, near_chars, percent).filter("not kept").groupBy(
-        F.col("doc_id").alias("_doc")).agg(
-        F.collect_set(F.struct("line_no", "node")).alias("_gone"))
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_doc"]), "left")
-    kept = F.filter(F.transform(F.split("text", "\n"), lambda line, i: F.when(
-        ~F.array_contains(F.col("_gone"), F.struct(i.alias("line_no"), F.xxhash64(line).alias(
+    gone = line_classes(plain, edits, exact_chars, near_chars, percent, word_percent).filter(
+        "not kept").groupBy(F.col("doc_id").alias("gone_doc")).agg(
+        F.collect_set(F.struct("line_no", "node")).alias("gone"))
+    # The given columns travel in a struct, so that none can clash.
+    joined = docs.select(F.struct(*docs.columns).alias("row")).join(
+        gone, F.col("row.doc_id").eqNullSafe(F.col("gone_doc")), "left")
+    kept = F.filter(F.transform(F.split("row.text", "\n"), lambda line, i: F.when(
+        ~F.array_contains(F.col("gone"), F.struct(i.alias("line_no"), F.xxhash64(line).alias(
             "node"))), line)), lambda line: line.isNotNull())
-    changed = F.col("_gone").isNotNull()
-    text = F.when(changed, F.array_join(kept, "\n")).otherwise(F.col("text"))
-    out = joined.withColumn("_kept", text).filter(
-        ~changed | (F.length(F.trim(F.col("_kept"))) > 0))
-    put = {"text": F.col("_kept")}
+    left = F.when(F.col("gone").isNotNull(), F.array_join(kept, "\n"))
+    # Another row of the same document may hold none of the lines that go.
+    changed = F.coalesce(left != F.col("row.text"), F.lit(False))
+    text = F.when(changed, left).otherwise(F.col("row.text"))
+    out = joined.withColumns({"text": text, "changed": changed}).filter(
+        ~F.col("changed") | (F.length(F.trim("text")) > 0))
+    changed = F.col("changed")
+    put = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        put["n_chars"] = F.when(changed, F.length("_kept")).otherwise(F.col("n_chars")).cast(
+        put["n_chars"] = F.when(changed, F.length("text")).otherwise(F.col("row.n_chars")).cast(
             docs.schema["n_chars"].dataType)
-    return out.withColumns(put).select(*docs.columns)
+    return out.select(*[put.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

@@ -117,6 +117,48 @@ def test_shared_piece(edits, percent):
         assert most > edits and (n - most) > (piece - 1) * (most + 1)
 
 
+def test_word_bound_grows_with_the_line(spark):
+    draw = random.Random(4)
+    lines = []
+    for size in (5, 18, 19, 20, 21, 38, 39, 40, 57, 60, 78, 80, 81, 130):
+        base = [draw.choice(["lorem", "ipsum", "été", "a", "consectetur", ""]) + str(draw.randint(0, 30))
+                for _ in range(size)]
+        for edits in (0, 1, 2, 3, 4, 5):
+            copy = list(base)
+            for at in sorted(draw.sample(range(size), edits), reverse=True):
+                copy[at:at + 1] = draw.choice([[], ["replaced"], [copy[at], "putin"]])
+            lines.append(" ".join(copy))
+    draw.shuffle(lines)
+    rows = list(enumerate(lines))
+
+    def near(s, t):
+        if min(len(s), len(t)) < 24:
+            return False
+        a, b = s.split(" "), t.split(" ")
+        return levenshtein(a, b) <= min(4, max(len(a), len(b)) * 5 // 100) or levenshtein(s, t) <= 2
+
+    links = [(a, b) for (a, s), (b, t) in itertools.combinations(rows, 2) if near(s, t)]
+    got = line_dedup.line_classes(docs(spark, rows), word_percent=5)
+    first = {}
+    for i, s in rows:
+        first.setdefault(s, i)
+    links += [(first[s], i) for i, s in rows if first[s] != i]
+    assert {r.doc_id: r.class_doc_id for r in got.collect()} == closure(range(len(rows)), links)
+
+
+def test_lines_of_odd_rows(spark):
+    line = "one line that is long enough to be a copy of another"
+    rows = [(None, line), (None, line), (1, line), (1, None), (2, ""), (3, "kept apart\n" + line), (3, "x")]
+    df = spark.createDataFrame([(i, t, 7, "k", 1, "g") for i, t in rows],
+                               "doc_id long, text string, gone int, row string, n_chars int, node string")
+    out = line_dedup.dedup_lines(df, word_percent=5)
+    assert out.columns == df.columns
+    # Both rows without an id hold the first copy; of document 3 the other line stays.
+    assert sorted((str(r.doc_id), str(r.text), r.gone, r.row) for r in out.collect()) == sorted(
+        (str(i), str(t), 7, "k") for i, t in [(None, line), (None, line), (1, None), (2, ""), (3, "kept apart"), (3, "x")])
+    assert line_dedup.dedup_lines(df.limit(0), word_percent=5).count() == 0
+
+
 def test_pipeline_drops_a_paragraph_with_one_word_changed(spark):
     import corpus_pipeline
     words = [f"word{k}" for k in range(30)]
@@ -211,3 +253,15 @@ def test_one_of_each_group_stays(spark):
     kept = ngram_join.keep_one(docs(spark, rows))
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 8]
     assert kept.columns == docs(spark, []).columns
+
+
+def test_join_through_rows_without_an_id(spark):
+    words = [f"w{k}" for k in range(60)]
+    chain = [" ".join(words + [f"more{k}" for k in range(n)]) for n in range(3)]
+    other = " ".join(f"v{k}" for k in range(40))
+    rows = [(5, chain[0]), (None, chain[1]), (2, chain[2]), (None, other), (None, other + " end"), (9, None), (None, "")]
+    got = ngram_join.ngram_join(docs(spark, rows), 3, 97).collect()
+    by = {r.doc_id: r.component_id for r in got if r.doc_id is not None}
+    # 5 and 2 are linked through a row without an id only.
+    assert by == {5: 2, 2: 2, 9: 9}
+    assert sorted(str(r.component_id) for r in got if r.doc_id is None) == ["2", "None", "None", "None"]
