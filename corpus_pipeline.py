@@ -12,7 +12,7 @@ from corpusprep.llm.common import stored
 
 # Fixed by the rule for near-duplicates: five words and a similarity of 0.8 or more.
 WORDS, PERCENT = 5, 80
-# Share of a line's code points that a near copy may differ by; short lines may by 2 edits.
+# Share of a line's words that a near copy may differ by; any line may by 2 code points.
 LINE_PERCENT = 5
 
 
@@ -23,7 +23,7 @@ def without_toxic(spark, docs, sf_dir):
 
 def without_repeated_lines(spark, docs, sf_dir):
     """Documents without lines that repeat an earlier line or nearly do."""
-    return line_dedup.dedup_lines(docs, percent=LINE_PERCENT)
+    return line_dedup.dedup_lines(docs, word_percent=LINE_PERCENT)
 
 
 def one_of_each_group(spark, docs, sf_dir):
