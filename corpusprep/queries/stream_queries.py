@@ -14,10 +14,13 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 BATCHES = 3
+# Rows of a slice that one task writes.
+FILE_ROWS = 1 << 20
 
 
 def _stream(spark, sf_dir, name, order):
-    """A table as a stream of BATCHES micro-batches, in the order of a numeric expression."""
+    """A table as a stream of BATCHES micro-batches, in the order of a numeric expression; rows for
+    which it is null come first."""
     spark.conf.set(STATE_STORE, SETTINGS[STATE_STORE])
     rows = table(spark, sf_dir, name)
     path = scratch_path(spark, "stream")
@@ -25,12 +28,16 @@ def _stream(spark, sf_dir, name, order):
         "at", [k / BATCHES for k in range(1, BATCHES)], 0.01)
     edges = [None, *cuts, None]
     at = F.expr(order).cast("double")
+    # Every slice has as many files, which the source takes together.
+    files = rows.count() // (BATCHES * FILE_ROWS) + 1
     # The source takes files by age, so the slices are written one after another.
     for low, high in zip(edges, edges[1:]):
         part = rows if low is None else rows.filter(at > low)
-        part = part if high is None else part.filter(at <= high)
-        part.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        part = part if high is None else part.filter((at <= high) if low is not None else (
+            at.isNull() | (at <= high)))
+        part = part.coalesce(1) if files == 1 else part.repartition(files)
+        part.write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _run(spark, stream):
