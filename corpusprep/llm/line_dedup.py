@@ -259,6 +259,24 @@ def _bag(line):
     return F.array(*[F.length(line) - F.length(F.translate(line, g, "")) for g in GROUPS])
 
 
+# Letters that stand for groups of words.
+_GROUPS = "abcdefghijklmnop"
+
+
+def _coded(words):
+    """Words as one letter each, that of their group."""
+    groups = F.array(*[F.lit(g) for g in _GROUPS])
+    return F.array_join(F.transform(words, lambda w: F.get(
+        groups, F.pmod(F.xxhash64(w), F.lit(len(_GROUPS))).cast("int"))), "")
+
+
+def _word_bag(coded):
+    """How many words fall into each group; every word edit changes at most two of the counts, by
+    one each."""
+    return F.array(*[F.length(coded) - F.length(F.replace(coded, F.lit(g), F.lit("")))
+                     for g in _GROUPS])
+
+
 def line_classes(docs, edits=2, exact_chars=10, near_chars=24, percent=0, word_percent=0):
     """`(doc_id, line_no, node, class_doc_id, class_line_no, kept)` per line of `docs`.
 
@@ -334,21 +352,29 @@ def line_classes(docs, edits=2, exact_chars=10, near_chars=24, percent=0, word_p
     hubs = met.filter("own").groupBy("signature").agg(F.min("node").alias("b"))
     edges = linked(stored(met.join(hubs, "signature").filter("node <> b").select(
         F.col("node").alias("a"), "b").distinct(), "line-pairs"))
-    # Then all pairs that are not in one component and whose letters agree well enough.
+    # Then all pairs that are not in one component and whose letters, or words, agree well enough.
+    facts = texts.select("node", F.length("line").alias("chars"), _bag(F.col("line")).alias("bag"))
+    if word_percent:
+        coded = _named(texts.select("node", "line", words_of(F.col("line")).alias("w")), [
+            "node", "line", "w"], coded=_coded(F.col("w")))
+        # Written, so that pairs are compared by finished numbers.
+        facts = stored(coded.select(
+            "node", F.length("line").alias("chars"), _bag(F.col("line")).alias("bag"),
+            F.size("w").alias("words"), _word_bag(F.col("coded")).alias("word_bag")), "line-facts")
     open_ = met.join(components(edges), "node", "left").withColumn(
         "component", F.coalesce("component", "node")).join(
-        texts.select("node", F.length("line").alias("chars"), _bag(F.col("line")).alias("bag"),
-                     F.size(words_of(F.col("line"))).alias("words")), "node")
+        facts, "node")
     other = open_.select(*[F.col(c).alias(c + "2") for c in (
-        "signature", "node", "own", "component", "chars", "bag", "words")])
+        "signature", "node", "own", "component", *facts.columns[1:])])
     most = bound(F.col("chars"), F.col("chars2"))
-    may = (F.abs(F.col("chars") - F.col("chars2")) <= most) & (
-        F.expr("aggregate(zip_with(bag, bag2, (x, y) -> abs(x - y)), 0, (s, x) -> s + x)")
-        <= 2 * most)
+    def apart(bag):
+        return F.expr(f"aggregate(zip_with({bag}, {bag}2, (x, y) -> abs(x - y)), 0, (s, x) -> s + x)")
+
+    may = (F.abs(F.col("chars") - F.col("chars2")) <= most) & (apart("bag") <= 2 * most)
     if word_percent:
-        may = may | (F.abs(F.col("words") - F.col("words2")) <= _word_bound(
-            word_percent, F.col("words"), F.col("words2"))) & (
-            F.greatest("words", "words2") >= _bands(word_percent)[0][0])
+        most_words = _word_bound(word_percent, F.col("words"), F.col("words2"))
+        may = may | (most_words > 0) & (F.abs(F.col("words") - F.col("words2")) <= most_words) & (
+            apart("word_bag") <= 2 * most_words)
     pairs = open_.join(other, F.expr("""signature = signature2 and own and component <> component2
         and (not own2 or node < node2)""") & may).select(
         F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
