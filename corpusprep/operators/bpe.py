@@ -4,6 +4,8 @@ from dataclasses import dataclass, field
 from functools import reduce
 from heapq import heappop, heappush
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,13 @@ _RARE, _SMALL = 8, 1 << 20
 # Generations of rewritten words laid over the word table, and pair buckets of the index.
 _LAYERS = 8
 _BUCKETS = 64
+# Up to so many entries a model is trained by proposals, which takes a square table of them; and up to
+# so many times _SMALL words.
+_SQUARE, _PASSED = 2048, 256
+# Most frequent words that proposals start from, and merges proposed at a time.
+_KNOWN, _PROPOSED = 1 << 15, 512
+# Rows that a task sums before it hands them on.
+_SUMMED = 1 << 21
 # Words that may be broadcast by id.
 _BROADCAST = 1 << 19
 _BYTE_OF = {symbol: b for b, symbol in enumerate(BYTE_ALPHABET)}
@@ -256,6 +265,177 @@ def _afterwards(counts, merges, first, skipped):
     return {a: c for (a, b), c in found.items() if b < 0}, [found.get(p, 0) for p in skipped]
 
 
+class _Symbols:
+    """Words as one array of ids with a gap (-1) before, between and after them; `n` has the count of
+    each place's word. A pair is named `left * entries + right`."""
+
+    def __init__(self, words, n, by_point, entries):
+        lengths = np.array([len(w) for w in words], dtype=np.int64)
+        points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
+        ends = np.cumsum(lengths)
+        ids = np.where(points < len(by_point), by_point[np.minimum(points, len(by_point) - 1)], -2)
+        ids = np.concatenate([[-1], np.insert(ids, ends, -1)])
+        counts = np.concatenate([[0], np.insert(np.repeat(n, lengths), ends, 0)])
+        self.ids, self.n = ids[ids > -2].astype(np.int32), counts[ids > -2].astype(np.int64)
+        self.entries = entries
+
+    def copy(self):
+        other = object.__new__(_Symbols)
+        other.ids, other.n, other.entries = self.ids.copy(), self.n, self.entries
+        return other
+
+    def pairs(self, at):
+        """Names and counts of the pairs at places."""
+        a, b = self.ids[at], self.ids[at + 1]
+        real = (a >= 0) & (b >= 0)
+        return a[real].astype(np.int64) * self.entries + b[real], self.n[at][real]
+
+    def merge(self, left, right, new, wanted=True):
+        """Merge a pair, leftmost first; names of pairs and what their counts change by."""
+        at = np.flatnonzero((self.ids[:-1] == left) & (self.ids[1:] == right))
+        if left == right and len(at):
+            # Of a run of places every other one, from its start.
+            starts = np.concatenate([[True], np.diff(at) > 1])
+            at = at[(at - np.maximum.accumulate(np.where(starts, at, 0))) % 2 == 0]
+        if not len(at):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if wanted:
+            gone, less = self.pairs(np.unique(np.concatenate([at - 1, at, at + 1])))
+        self.ids[at] = new
+        keep = np.ones(len(self.ids), dtype=bool)
+        keep[at + 1] = False
+        self.ids, self.n = self.ids[keep], self.n[keep]
+        if wanted:
+            now = at - np.arange(len(at))
+            come, more = self.pairs(np.unique(np.concatenate([now - 1, now])))
+            return _summed_keys(np.concatenate([gone, come]), np.concatenate([-less, more]))
+
+
+def _summed_keys(keys, values):
+    """Distinct keys and the sums of their values."""
+    if not len(keys):
+        return keys, values
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(values, first)
+
+
+def _changes(words, by_point, entries, done, proposed):
+    """`(step, pair, c)`: how each merge of `proposed`, one after another, changes the counts of
+    pairs, after the merges `done`; with none proposed the counts themselves, as step 0. Sums over all
+    words, so their number goes by the entries, not by the words."""
+    square = entries * entries
+
+    def run(batches):
+        keys, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+        def rows():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys // square, pa.int32()), pa.array(keys % square), pa.array(sums)],
+                ["step", "pair", "c"])
+
+        for batch in batches:
+            symbols = _Symbols(batch.column(0).to_pylist(), batch.column(1).to_numpy(
+                zero_copy_only=False), by_point, entries)
+            for merge in done:
+                symbols.merge(*merge, wanted=False)
+            found = [(0, *symbols.pairs(np.arange(len(symbols.ids) - 1)))] if not proposed else [
+                (step, *symbols.merge(*merge)) for step, merge in enumerate(proposed)]
+            keys, sums = _summed_keys(
+                np.concatenate([keys, *[k + step * square for step, k, _ in found]]),
+                np.concatenate([sums, *[c for _, _, c in found]]))
+            if len(keys) > _SUMMED:
+                yield rows()
+                keys, sums = keys[:0], sums[:0]
+        yield rows()
+
+    found = words.mapInArrow(run, "step int, pair long, c long").groupBy("step", "pair").agg(
+        F.sum("c").alias("c")).filter("c <> 0").toArrow()
+    steps, pairs, sums = (found.column(c).to_numpy() for c in ("step", "pair", "c"))
+    order = np.argsort(steps, kind="stable")
+    cuts = np.searchsorted(steps[order], np.arange(1, max(1, len(proposed))))
+    return list(zip(np.split(pairs[order], cuts), np.split(sums[order], cuts)))
+
+
+def _next(counts, tokens, ids, entries, least):
+    """The most frequent pair, ties to the smallest ids, as a merge; None when it is too rare."""
+    pair = int(counts.argmax())
+    if counts[pair] < least or len(tokens) >= entries:
+        return None
+    left, right = divmod(pair, entries)
+    return left, right, ids.get(tokens[left] + tokens[right], len(tokens))
+
+
+def _take(merge, tokens, ids):
+    left, right, new = merge
+    if new == len(tokens):
+        tokens.append(tokens[left] + tokens[right])
+        ids[tokens[new]] = new
+
+
+def _propose(counts, symbols, tokens, entries, least, seen):
+    """Likely merges from here on; the first one is certain. `counts` are those of all words. A merge
+    changes them as it did when it was last tried on all words (`seen`), or else as it
+    does in `symbols`, some of the words, in proportion."""
+    counts, symbols, tokens = counts.astype(np.float64), symbols.copy(), list(tokens)
+    ids, out = {t: i for i, t in enumerate(tokens)}, []
+    while len(out) < _PROPOSED and (merge := _next(counts, tokens, ids, entries, least)):
+        out.append(merge)
+        _take(merge, tokens, ids)
+        left, right, _ = merge
+        pair = left * entries + right
+        keys, change = symbols.merge(*merge)
+        known = seen.get((tokens[left], tokens[right]))
+        if known:
+            # Tokens may have got other ids since.
+            names, keys, change = known
+            now = np.array([ids.get(t, -1) for t in names])
+            a, b = now[keys // entries], now[keys % entries]
+            keys, change = (a * entries + b)[(a >= 0) & (b >= 0)], change[(a >= 0) & (b >= 0)]
+        elif len(keys):
+            change = change * (counts[pair] / max(1, -change[keys == pair].sum()))
+        counts[keys] += change
+        counts[pair] = 0
+    return out
+
+
+def _train_by_proposals(words, tokens, vocab_size, min_frequency, by_point):
+    """Add to `tokens`; the merges, as one at a time would find them.
+
+    Each round proposes many merges in a row and goes over all words once, to sum what each
+    would change. With these sums the driver follows the counts of pairs and takes the proposed
+    merges up to the first that was not the next one. That one is known then, and so is what the
+    others change, so the next round comes further. The driver holds a square table of entries.
+    """
+    entries, least = vocab_size, max(1, min_frequency)
+    by_point, ids = np.array(by_point), {t: i for i, t in enumerate(tokens)}
+    counts = np.zeros(entries * entries, dtype=np.int64)
+    (pairs, sums), = _changes(words, by_point, entries, [], [])
+    counts[pairs] = sums
+    known = words.orderBy(F.desc("n"), "word").limit(_KNOWN).collect()
+    symbols = _Symbols([r["word"] for r in known], np.array(
+        [r["n"] for r in known], dtype=np.int64), by_point, entries)
+    merges, seen = [], {}
+    while _next(counts, tokens, ids, entries, least):
+        proposed = _propose(counts, symbols, tokens, entries, least, seen)
+        names = list(tokens)
+        for left, right, new in proposed:
+            if new == len(names):
+                names.append(names[left] + names[right])
+        same = True
+        for merge, (pairs, change) in zip(proposed, _changes(
+                words, by_point, entries, merges, proposed)):
+            same = same and merge == _next(counts, tokens, ids, entries, least)
+            if same:
+                _take(merge, tokens, ids)
+                merges.append(merge)
+                symbols.merge(*merge, wanted=False)
+                counts[pairs] += change
+            seen[names[merge[0]], names[merge[1]]] = names, pairs, change
+    return merges
+
+
 def special_id(name, model):
     """Id of a special token named by a column, null when it is none or the model lacks it."""
     pairs = [F.lit(x) for t in SPECIAL_TOKENS if t in model.tokens
@@ -268,8 +448,10 @@ def train_bpe(counts, vocab_size=VOCAB_SIZE, min_frequency=MIN_FREQUENCY, all_by
     """Learn merges from `counts(word, n)`. With `all_bytes` all 256 byte symbols are in the
     alphabet, else those that occur.
 
-    Next is the most frequent pair, ties to the smallest ids. Words, pair counts and the index from
-    pairs to words stay distributed (see `_PairIndex`); a round rewrites only words that hold one of
+    Next is the most frequent pair, ties to the smallest ids. Words stay distributed. Up to _SQUARE
+    entries `_train_by_proposals` finds the merges in a few passes over the words. For more, pair
+    counts and an index from
+    pairs to words stay distributed, too (see `_PairIndex`); a round rewrites only words that hold one of
     its pairs and brings only the leading pairs to the driver. It merges as many leading pairs as do
     not take occurrences from each other, then looks whether a pair that came up meanwhile was
     due before one of them; if so that round is done again up to there. The counts must hold no
@@ -283,7 +465,11 @@ def train_bpe(counts, vocab_size=VOCAB_SIZE, min_frequency=MIN_FREQUENCY, all_by
     alphabet = set(BYTE_ALPHABET) if all_bytes else set()
     tokens = SPECIAL_TOKENS + sorted(alphabet | {r[0] for r in letters if r[0]})
     ids = {t: i for i, t in enumerate(tokens)}
-    by_point = F.array(*[F.lit(ids.get(chr(c), UNK)) for c in range(512)])
+    points = [ids.get(chr(c), UNK) for c in range(512)]
+    if vocab_size <= _SQUARE and len(tokens) < vocab_size and counts.count() <= _PASSED * _SMALL:
+        merges = _train_by_proposals(counts, tokens, vocab_size, min_frequency, points)
+        return BpeModel(tokens, merges)
+    by_point = F.array(*[F.lit(i) for i in points])
     as_ids = F.transform(F.split("word", ""), lambda c: F.concat(
         F.lit(" "), F.get(by_point, F.ascii(c)).cast("string"), F.lit(" ")))
     # The id has to be the same whenever a lost partition is worked out again.
@@ -407,8 +593,6 @@ def _encode_udf(spark, model):
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(lists):
-        import numpy as np
-        import pyarrow as pa
         if not task:
             task["encoder"] = _Encoder(*shared.value)
         words = lists.flatten().dictionary_encode()
@@ -448,8 +632,6 @@ def bpe_decode(spark, ids, model, mode="joined"):
 
     @F.arrow_udf(T.StringType())
     def decode(lists):
-        import numpy as np
-        import pyarrow as pa
         import pyarrow.compute as pc
         pieces = pa.array([*shared.value, None], pa.binary())
         flat = lists.flatten()

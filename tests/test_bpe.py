@@ -1,5 +1,8 @@
 """Parity with the public `tokenizers` library, and rules it rarely meets."""
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +94,46 @@ def test_pair_index_gives_the_same(spark, monkeypatch):
     assert bpe.train_bpe(counts, 45).tokens == by_id(library(texts, 45))
 
 
+def _one_at_a_time(counts, size):
+    """Plain training: the most frequent pair, ties to the smallest ids."""
+    tokens = SPECIAL_TOKENS + sorted({c for w, _ in counts for c in w})
+    words, merges = [([tokens.index(c) for c in w], n) for w, n in counts], []
+    while len(tokens) < size:
+        pairs = Counter()
+        for w, n in words:
+            for pair in zip(w, w[1:]):
+                pairs[pair] += n
+        best = min(pairs, key=lambda p: (-pairs[p], p), default=None)
+        if best is None or pairs[best] < 2:
+            break
+        name = tokens[best[0]] + tokens[best[1]]
+        if name not in tokens:
+            tokens.append(name)
+        merges.append((*best, tokens.index(name)))
+        for w, _ in words:
+            at = 0
+            while at < len(w) - 1:
+                if (w[at], w[at + 1]) == best:
+                    w[at:at + 2] = [merges[-1][2]]
+                at += 1
+    return tokens, merges
+
+
+@pytest.mark.parametrize("known", [0, 3, 1 << 15])
+def test_passes_are_few_and_exact(spark, monkeypatch, known):
+    """Proposals from few words, or none, may be wrong; the merges never are. Each pass over the words
+    takes many of them: before, there was about one for eight."""
+    made = random.Random(5)
+    counts = {"".join(made.choices("abcdé", [9, 7, 5, 2, 1], k=made.randint(1, 9))): made.randint(1, 60)
+              for _ in range(400)} | {"a" * 301: 3}
+    passes, changes = [], bpe._changes
+    monkeypatch.setattr(bpe, "_KNOWN", known)
+    monkeypatch.setattr(bpe, "_changes", lambda *a: passes.append(a) or changes(*a))
+    model = bpe.train_bpe(spark.createDataFrame(list(counts.items()), "word string, n long"), 150)
+    assert (model.tokens, model.merges) == _one_at_a_time(counts.items(), 150)
+    assert 2 <= len(passes) <= 3 + (20 if known < len(counts) else 0)
+
+
 def test_skipped_pairs():
     # (8, 9) loses to (7, 8) and is passed over; (9, 4) would take from it in turn.
     leaders = [(7, 8, 50), (8, 9, 40), (5, 6, 30), (9, 4, 20), (1, 2, 10)]
