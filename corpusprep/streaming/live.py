@@ -5,6 +5,7 @@ exchange, a run one number. Rows of a micro-batch are put in order inside their
 of a micro-batch (`maxFilesPerTrigger`, `maxBytesPerTrigger`) bounds what a task holds.
 """
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,32 +79,32 @@ class SessionContext(StatefulProcessor):
         pass
 
 
-class CurriculumGate(StatefulProcessor):
+def _gate(thresholds):
     """Places each attempt in its stage; the state is the stage a run has reached."""
-
-    def __init__(self, thresholds):
-        self.thresholds = thresholds
-
-    def init(self, handle):
-        self.stage = handle.getValueState("stage", T.StructType([
-            T.StructField("stage", T.IntegerType())]))
-
-    def handleInputRows(self, key, rows, timerValues):
-        ordered = _in_order(rows, "attempt")
-        if ordered is None:
-            return
-        stage, out = (self.stage.get()[0] if self.stage.exists() else 1), []
-        for attempt, ppl in zip(ordered["attempt"], ordered["ppl"]):
-            if stage > len(self.thresholds):
-                break
-            passed = bool(ppl <= self.thresholds[stage - 1])
-            out.append((key[0], int(attempt), float(ppl), stage, passed))
-            stage += passed
-        self.stage.update((stage,))
-        yield pd.DataFrame(out, columns=GATED.fieldNames())
-
-    def close(self):
-        pass
+    def run(key, frames, state):
+        stage, parts = state.get[0] if state.exists else 1, []
+        # A frame costs more to make than most runs have rows, so sorting is done on arrays.
+        frames = [f for f in frames if len(f)]
+        attempt = np.concatenate([f["attempt"].to_numpy() for f in frames])
+        ppl = np.concatenate([f["ppl"].to_numpy(dtype="float64") for f in frames])
+        order = np.argsort(attempt)
+        attempt, ppl, at = attempt[order], ppl[order], 0
+        while stage <= len(thresholds) and at < len(ppl):
+            good = ppl[at:] <= thresholds[stage - 1]
+            end = at + int(good.argmax()) + 1 if good.any() else len(ppl)
+            passed = np.zeros(end - at, dtype=bool)
+            passed[-1] = good[end - at - 1]
+            parts.append((attempt[at:end], ppl[at:end], stage, passed))
+            stage += int(passed[-1])
+            at = end
+        state.update((stage,))
+        if parts:
+            attempts, values, stages, passed = zip(*parts)
+            yield pd.DataFrame({
+                "run": [key[0]] * at, "attempt": np.concatenate(attempts).astype("int64"),
+                "ppl": np.concatenate(values), "stage": np.repeat(stages, [len(p) for p in passed]),
+                "passed": np.concatenate(passed)})
+    return run
 
 
 def _need_keyed_state(spark):
@@ -127,8 +128,10 @@ def stream_curriculum_gate(attempts, stages=None):
     """ST2 over `(run, attempt, ppl)`."""
     _need_keyed_state(attempts.sparkSession)
     thresholds = [float(s[2]) for s in (stages or STAGES)]
-    return attempts.groupBy("run").transformWithStateInPandas(
-        CurriculumGate(thresholds), GATED, "Append", "None")
+    # The state travels with the rows, many runs to an Arrow batch; a StatefulProcessor asks for
+    # each run's over a socket.
+    return attempts.select("run", "attempt", "ppl").groupBy("run").applyInPandasWithState(
+        _gate(thresholds), GATED, "stage int", "append", "NoTimeout")
 
 
 def stream_perplexity(log, window="1 hour", delay="10 minutes"):

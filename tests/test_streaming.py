@@ -54,6 +54,23 @@ def test_gate(spark, tmp_path):
     assert rows(run()) == rows(curriculum_gate(attempts(events)))
 
 
+def test_gate_states_travel_with_rows(spark, tmp_path):
+    """A run's state comes in the batch of its rows: one stateful step without a server for state
+    calls, which took most of the time where runs are many. Stages go on across batches."""
+    src, out, state = (str(tmp_path / n) for n in ("src", "out", "state"))
+    schema = "run long, attempt long, ppl double"
+    first = [(r, a, 60.0 if a else 40.0) for r in range(300) for a in range(3)]
+    later = [(r, a, p) for r in range(300) for a, p in ((3, 24.0), (4, 99.0), (5, 14.0), (6, 1.0))]
+    for part in (first, later):
+        given = spark.createDataFrame(part, schema)
+        given.coalesce(1).write.mode("append").parquet(src)
+        gated = live.stream_curriculum_gate(feed(spark, given.schema, src))
+        plan = gated._jdf.queryExecution().analyzed().toString()
+        assert "FlatMapGroupsInPandasWithState" in plan and "TransformWithState" not in plan
+        got = live.run_to_completion(gated, out, state)
+    assert rows(got) == rows(curriculum_gate(spark.createDataFrame(first + later, schema)))
+
+
 def test_windows(spark, tmp_path):
     events = spark.read.parquet(f"{SF}/events.parquet")
     log = loss_log(events)
