@@ -176,9 +176,9 @@ def _word_signatures(lines, percent):
         ((F.col("shorter") == 0) & (F.col("shift") == 0)).alias("own"))
 
 
-def within_edits(ca, cb, edits):
+def within_edits(ca, cb, edits, most=None):
     """Whether two arrays of characters are within `edits` edits (up to 4) of each other, by a
-    banded bit-parallel automaton.
+    banded bit-parallel automaton; with `most`, a Column, within that many (from 1) of them.
 
     Field e of a word has one bit per diagonal that e errors can reach. A character keeps the
     diagonals where it matches; an error moves to the next field, on the same diagonal
@@ -211,13 +211,17 @@ def within_edits(ca, cb, edits):
     start = 1 << edits
     for k in range(1, edits + 1):
         start |= (1 << edits << (k * (width + 1))) & mask(k)
-    # Alive on the last diagonal after any number of errors.
-    goal = F.element_at(F.array(*[
-        F.lit(ones << (g + edits)).cast("long") for g in range(-edits, edits + 1)]),
-        F.greatest(F.least(gap, F.lit(edits)), F.lit(-edits)) + edits + 1)
+    # Alive on the last diagonal after any number of errors, or up to `most`.
+    goals = [sum(1 << (e * width) for e in range(k + 1)) << (g + edits)
+             for k in (range(1, fields) if most is not None else [edits])
+             for g in range(-edits, edits + 1)]
+    place = F.greatest(F.least(gap, F.lit(edits)), F.lit(-edits)) + edits + 1
+    if most is not None:
+        place = place + (most - 1) * (2 * edits + 1)
+    goal = F.element_at(F.array(*[F.lit(g).cast("long") for g in goals]), place)
     steps = F.when(F.size(ca) > 0, F.sequence(F.lit(0), F.size(ca) - 1)).otherwise(
         F.array().cast("array<int>"))
-    return (F.abs(gap) <= edits) & F.aggregate(
+    return (F.abs(gap) <= (edits if most is None else most)) & F.aggregate(
         steps, F.lit(start).cast("long"), step, lambda word: word.bitwiseAND(goal) != 0)
 
 
@@ -260,7 +264,7 @@ def _bag(line):
 
 
 # Letters that stand for groups of words.
-_GROUPS = "abcdefghijklmnop"
+_GROUPS = "".join(map(chr, range(48, 112)))
 
 
 def _coded(words):
@@ -323,9 +327,8 @@ def line_classes(docs, edits=2, exact_chars=10, near_chars=24, percent=0, word_p
         named = _named(pairs, ["a", "b"], wa=words_of(F.col("ta")), wb=words_of(F.col("tb")))
         named = named.withColumn("most", _word_bound(word_percent, F.size("wa"), F.size("wb"))).filter(
             F.abs(F.size("wa") - F.size("wb")) <= F.col("most"))
-        found = [named.filter(F.col("most") == k).filter(within_edits(
-            F.col("wa"), F.col("wb"), k)).select("a", "b") for k in range(1, MOST_WORDS + 1)]
-        return reduce(lambda x, y: x.union(y), found)
+        return named.filter(F.col("most") > 0).filter(within_edits(
+            F.col("wa"), F.col("wb"), MOST_WORDS, F.col("most"))).select("a", "b")
 
     def linked(pairs):
         both = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("ta")), "a").join(
@@ -347,12 +350,7 @@ def line_classes(docs, edits=2, exact_chars=10, near_chars=24, percent=0, word_p
         discard(both)
         return found
 
-    # First every line with one publisher of its signature, so that groups of near copies grow
-    # together by as many pairs as they have lines.
-    hubs = met.filter("own").groupBy("signature").agg(F.min("node").alias("b"))
-    edges = linked(stored(met.join(hubs, "signature").filter("node <> b").select(
-        F.col("node").alias("a"), "b").distinct(), "line-pairs"))
-    # Then all pairs that are not in one component and whose letters, or words, agree well enough.
+    # Pairs whose letters, or words, differ too much are left out before their texts are looked up.
     facts = texts.select("node", F.length("line").alias("chars"), _bag(F.col("line")).alias("bag"))
     if word_percent:
         coded = _named(texts.select("node", "line", words_of(F.col("line")).alias("w")), [
@@ -361,12 +359,8 @@ def line_classes(docs, edits=2, exact_chars=10, near_chars=24, percent=0, word_p
         facts = stored(coded.select(
             "node", F.length("line").alias("chars"), _bag(F.col("line")).alias("bag"),
             F.size("w").alias("words"), _word_bag(F.col("coded")).alias("word_bag")), "line-facts")
-    open_ = met.join(components(edges), "node", "left").withColumn(
-        "component", F.coalesce("component", "node")).join(
-        facts, "node")
-    other = open_.select(*[F.col(c).alias(c + "2") for c in (
-        "signature", "node", "own", "component", *facts.columns[1:])])
     most = bound(F.col("chars"), F.col("chars2"))
+
     def apart(bag):
         return F.expr(f"aggregate(zip_with({bag}, {bag}2, (x, y) -> abs(x - y)), 0, (s, x) -> s + x)")
 
@@ -375,6 +369,22 @@ def line_classes(docs, edits=2, exact_chars=10, near_chars=24, percent=0, word_p
         most_words = _word_bound(word_percent, F.col("words"), F.col("words2"))
         may = may | (most_words > 0) & (F.abs(F.col("words") - F.col("words2")) <= most_words) & (
             apart("word_bag") <= 2 * most_words)
+    second = facts.select(*[F.col(c).alias(c + "2") for c in facts.columns])
+    # First every line with one publisher of its signature, so that groups of near copies grow
+    # together by as many pairs as they have lines.
+    hubs = met.filter("own").groupBy("signature").agg(F.min("node").alias("b"))
+    hubbed = met.join(hubs, "signature").filter("node <> b").select(
+        F.col("node").alias("a"), "b").distinct()
+    if word_percent:
+        hubbed = hubbed.join(facts, F.col("a") == F.col("node")).join(
+            second, F.col("b") == F.col("node2")).filter(may).select("a", "b")
+    edges = linked(stored(hubbed, "line-pairs"))
+    # Then all pairs that are not in one component.
+    open_ = met.join(components(edges), "node", "left").withColumn(
+        "component", F.coalesce("component", "node")).join(
+        facts, "node")
+    other = open_.select(*[F.col(c).alias(c + "2") for c in (
+        "signature", "node", "own", "component", *facts.columns[1:])])
     pairs = open_.join(other, F.expr("""signature = signature2 and own and component <> component2
         and (not own2 or node < node2)""") & may).select(
         F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()

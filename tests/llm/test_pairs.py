@@ -265,3 +265,50 @@ def test_join_through_rows_without_an_id(spark):
     # 5 and 2 are linked through a row without an id only.
     assert by == {5: 2, 2: 2, 9: 9}
     assert sorted(str(r.component_id) for r in got if r.doc_id is None) == ["2", "None", "None", "None"]
+
+
+def test_one_automaton_for_all_word_bounds(spark):
+    """`most` may differ from row to row; the result is that of the plain distance."""
+    made = random.Random(11)
+    rows = []
+    for _ in range(400):
+        a = made.choices("abc", k=made.randint(0, 9))
+        b = [x for w in a for x in (made.choice([[w], [w], [w], [], ["d"], [w, "e"]]))]
+        rows.append((a, b, made.randint(1, 4)))
+
+    def distance(a, b):
+        last = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            now = [i]
+            for j, y in enumerate(b, 1):
+                now.append(min(last[j] + 1, now[-1] + 1, last[j - 1] + (x != y)))
+            last = now
+        return last[-1]
+
+    df = spark.createDataFrame(rows, "a array<string>, b array<string>, most int")
+    got = df.select("a", "b", "most", line_dedup.within_edits(
+        F.col("a"), F.col("b"), 4, F.col("most")).alias("near")).collect()
+    assert [r.near for r in got] == [distance(r.a, r.b) <= r.most for r in got]
+    assert len({r.near for r in got}) == 2
+
+
+def test_unlike_lines_of_a_group_do_not_leave_the_join(spark, monkeypatch):
+    """Lines that share half of their words meet in a signature, but their word groups tell that they
+    are too far apart; before, each was compared with a line of the group, by four branches."""
+    made = random.Random(3)
+    common = [f"same{i}" for i in range(30)]
+    lines = [" ".join(common + [f"own{made.randint(0, 9999)}" for _ in range(30)]) for _ in range(80)]
+    lines.append(lines[0].replace("same3 ", "other "))
+    compared, stored = [], line_dedup.stored
+
+    def watched(df, label, *rest):
+        out = stored(df, label, *rest)
+        if label == "line-compared":
+            compared.append((out.count(), df))
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", watched)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = line_dedup.line_classes(docs, word_percent=5).collect()
+    assert [r.doc_id for r in got if not r.kept] == [80]
+    assert sum(n for n, _ in compared) < 20
