@@ -4,6 +4,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusprep.llm import line_dedup, ngram_join
 from corpusprep.llm.common import components
@@ -297,7 +298,8 @@ def test_unlike_lines_of_a_group_do_not_leave_the_join(spark, monkeypatch):
     are too far apart; before, each was compared with a line of the group, by four branches."""
     made = random.Random(3)
     common = [f"same{i}" for i in range(30)]
-    lines = [" ".join(common + [f"own{made.randint(0, 9999)}" for _ in range(30)]) for _ in range(80)]
+    lines = [" ".join(common + ["".join(made.choices("etaoinsrhldu", k=made.randint(2, 8)))
+                              for _ in range(30)]) for _ in range(80)]
     lines.append(lines[0].replace("same3 ", "other "))
     compared, stored = [], line_dedup.stored
 
