@@ -180,3 +180,33 @@ def test_words_are_forgotten_and_learnt_again(monkeypatch):
     texts += ["a" * 100, "bc d " * 80, None, "", "\n", "x  日本 y", "soft\xadhyphen \xad \xad a"]
     assert list(made.encode_all(texts)) == [library(t or "") for t in texts]
     assert [made.encode(t) for t in texts] == [library(t or "") for t in texts]
+
+
+def test_signs_after_letters_are_not_new_words(monkeypatch):
+    from corpusprep.llm import token_ids
+    made = token_ids.WordIds(PATH)
+    texts = ["Tree tree. tree, tree?! it's it's. 'tree' 12. a1. tree'", "tree… tree; _tree_ x"]
+    assert list(made.encode_all(texts)) == list(map(library, texts))
+    assert {"tree", ".", ",", "?!", "it's"} <= set(made)
+    assert not {"tree.", "tree,", "tree?!", "tree'", "tree…"} & set(made)
+
+
+def test_long_text_after_another(monkeypatch):
+    from corpusprep.llm import token_ids
+    monkeypatch.setattr(token_ids, "CHARACTERS", 40)
+    texts = ["short one", "a long text of many words, " * 20, None, "日 x", "end. of it"]
+    assert list(token_ids.WordIds(PATH).encode_all(texts)) == [library(t or "") for t in texts]
+
+
+def test_plain_characters_split_and_lower_as_in_python():
+    import re
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from corpusprep.llm import token_ids
+    plain = [c for c in map(chr, range(0xd800)) if not re.search(token_ids._WHOLE, c)]
+    assert len(plain) > 300
+    assert pc.utf8_lower(pa.array(plain)).to_pylist() == [c.lower() for c in plain]
+    assert pc.utf8_is_alpha(pa.array(plain)).to_pylist() == [c.isalpha() for c in plain]
+    apart = [f"a{c}b" for c in plain]
+    assert pc.utf8_split_whitespace(pa.array(apart)).to_pylist() == [t.split() for t in apart]
