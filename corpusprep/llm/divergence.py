@@ -16,7 +16,6 @@ first; only terms that both have are paired.
 """
 
 import heapq
-import re
 import zlib
 from collections import Counter
 
@@ -33,8 +32,8 @@ CHUNK = 512
 PIECE = 1 << 21
 SCALE = 1_000_000_000
 SMOOTH = 5
-#: Runs of ASCII letters and of everything beyond ASCII, on UTF-8 bytes.
-_TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
+#: UTF-8 bytes with A to Z lower-cased, and a space for every ASCII byte that is no letter.
+_LETTERS = bytes(b if b >= 0x80 or chr(b).isalpha() else 32 for b in bytes(range(256)).lower())
 RUNS = ("shard int, lang string, first binary, terms array<binary>, docs array<long>, "
         "ends array<int>, sources array<string>, counts array<long>")
 FREQUENCIES = "lang string, term string, source string, count long"
@@ -42,17 +41,15 @@ FREQUENCIES = "lang string, term string, source string, count long"
 
 def _terms(text):
     """Terms of a text, a piece at a time; only A to Z are lower-cased."""
-    data = text.encode().lower()
+    data = text.encode().translate(_LETTERS)
     at = 0
     while at < len(data):
         end = min(at + PIECE, len(data))
         if end < len(data):
             # Back to where no term is cut, or on to the end of one that fills the piece.
-            edge = max((m.end() for m in re.finditer(rb"[^A-Za-z\x80-\xff]", data[at:end])),
-                       default=0)
-            after = re.compile(rb"[^A-Za-z\x80-\xff]").search(data, end) if not edge else None
-            end = at + edge if edge else after.end() if after else len(data)
-        yield _TERM.findall(data, at, end)
+            edge = data.rfind(b" ", at, end) + 1 or data.find(b" ", end) + 1
+            end = edge or len(data)
+        yield data[at:end].split()
         at = end
 
 
@@ -77,15 +74,21 @@ class Block:
         """Chunks `(shard, lang, [(term, documents, [(source, occurrences)])])`, sorted by term
         inside a language and shard."""
         for lang, documents in self.documents.items():
-            groups = [(s, c) for (at, s), c in self.occurrences.items() if at == lang]
+            posts = {}
+            for (at, source), counts in self.occurrences.items():
+                if at == lang:
+                    for term, n in counts.items():
+                        held = posts.get(term)
+                        if held is None:
+                            posts[term] = [(source, n)]
+                        else:
+                            held.append((source, n))
             by_shard = {}
             for term in sorted(documents):
                 by_shard.setdefault(zlib.crc32(term) % shards, []).append(term)
             for shard, terms in by_shard.items():
                 for at in range(0, len(terms), chunk):
-                    yield shard, lang, [
-                        (t, documents[t], [(s, c[t]) for s, c in groups if t in c])
-                        for t in terms[at:at + chunk]]
+                    yield shard, lang, [(t, documents[t], posts[t]) for t in terms[at:at + chunk]]
 
 
 def _row(shard, lang, entries):
@@ -160,12 +163,12 @@ def merged(chunks):
             key = heap[0][:2]
             coming = next(chunks, None)
         lang, term = heap[0][:2]
-        documents, posts = 0, Counter()
+        documents, posts = 0, {}
         while heap and heap[0][:2] == (lang, term):
             _, _, at, (_, n, sources, counts), entries = heap[0]
             documents += n
             for s, c in zip(sources, counts):
-                posts[s] += c
+                posts[s] = posts.get(s, 0) + c
             following = next(entries, None)
             if following:
                 heapq.heapreplace(heap, (lang, following[0], at, following, entries))
@@ -174,6 +177,19 @@ def merged(chunks):
         yield lang, term, documents, posts
 
 
+def _rows(batch):
+    """Rows of a batch as lists; the values of a list column are made in one go."""
+    def listed(column):
+        if not pa.types.is_list(column.type):
+            return column.to_pylist()
+        ends = column.offsets.to_pylist()
+        # What the offsets count from; a slice does not begin at its values' first.
+        values = column.values.slice(ends[0], ends[-1] - ends[0]).to_numpy(
+            zero_copy_only=False).tolist()
+        return [values[a - ends[0]:b - ends[0]] for a, b in zip(ends, ends[1:])]
+    return zip(*map(listed, batch.columns))
+
+
 def _frequencies(least, rows_out=1 << 15):
     names, types = zip(*[("lang", pa.string()), ("term", pa.string()), ("source", pa.string()),
                          ("count", pa.int64())])
@@ -181,8 +197,7 @@ def _frequencies(least, rows_out=1 << 15):
     def run(batches):
         def rows():
             for batch in batches:
-                for row in zip(*(c.to_pylist() for c in batch.columns)):
-                    yield row
+                yield from _rows(batch)
 
         def by_shard(given):
             # Shards of one task come one after another, each sorted by language and term.

@@ -92,3 +92,24 @@ def test_long_texts_in_pieces(monkeypatch):
     text = "short words é日本語日本語日本語 and" + "x" * 60 + " 12345678901234567890 End"
     whole = re.findall(rb"[A-Za-z\x80-\xff]+", text.encode().lower())
     assert [t for part in divergence._terms(text) for t in part] == whole
+
+
+def test_rows_of_a_batch_and_of_its_slices():
+    import pyarrow as pa
+    rows = [(k, "de", b"a%d" % k, [b"x"] * k, list(range(k)), [k], ["s", "t"][:k], []) for k in range(5)]
+    batch = divergence._batch(rows, divergence._RUN_TYPES, divergence._RUN_NAMES)
+    assert list(divergence._rows(batch)) == rows
+    assert list(divergence._rows(batch.slice(2, 2))) == rows[2:4]
+    assert list(divergence._rows(batch.slice(5))) == []
+    assert pa.RecordBatch.from_arrays(batch.columns, batch.schema.names).equals(batch)
+
+
+def test_block_keeps_each_term_s_postings_together():
+    block = divergence.Block()
+    for source, text in (("s", "B a; B\x00é"), ("t", "b É"), ("s", "A")):
+        block.add("de", source, text)
+    block.add("en", "s", "b")
+    found = {(lang, e[0]): e[1:] for _, lang, entries in block.run(3) for e in entries}
+    assert found == {("de", b"a"): (2, [("s", 2)]), ("de", b"b"): (2, [("s", 2), ("t", 1)]),
+                     ("de", "é".encode()): (1, [("s", 1)]), ("de", "É".encode()): (1, [("t", 1)]),
+                     ("en", b"b"): (1, [("s", 1)])}
