@@ -2,6 +2,8 @@
 
 import os
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +36,19 @@ def attach(rows, small, keys, how="inner", rows_of_small=None):
     return rows.join(F.broadcast(small) if n <= BROADCAST_ROWS else small, keys, how)
 
 
+def parts(texts, limit=1 << 20):
+    """Runs `(first, rows)` of an Arrow text column of about `limit` bytes each, one row at least, so
+    that a task makes Python's strings of a part of a batch at a time."""
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(size, dtype=np.int64)
+    first = 0
+    while first < len(size):
+        before = ends[first - 1] if first else 0
+        end = min(int(np.searchsorted(ends, before + limit)) + 1, len(size))
+        yield first, end - first
+        first = end
+
+
 def text_of(column="text"):
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import attach, stored
+from corpusprep.llm.common import attach, parts, stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: Disclosed shares from which a term is generalised and removed.
@@ -86,6 +86,14 @@ def entities(text, spans):
     return found
 
 
+def _texts(batches):
+    """The texts of a first column, null as empty, a part of a batch at a time."""
+    for batch in batches:
+        for first, many in parts(batch.column(0)):
+            for text in batch.column(0).slice(first, many).to_pylist():
+                yield text or ""
+
+
 def _counts(batches):
     """Partial document frequencies `(term, n, email, ip, card, phone)`; the null term counts
     documents, and terms with a colon are values."""
@@ -100,42 +108,41 @@ def _counts(batches):
         held.clear()
         return batch
 
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            text = text or ""
-            spans = base_spans(text)
-            has = [k + 1 for k, kind in enumerate(KINDS) if spans[kind]]
-            terms = set(_TERM.findall(text.lower()))
-            terms.add(None)
-            if has:
-                terms |= entities(text, spans).difference(KINDS)
-            for t in terms:
-                row = held.get(t)
-                if row is None:
-                    row = held[t] = [0] * 5
-                row[0] += 1
-                for k in has:
-                    row[k] += 1
-            if len(held) >= HELD:
-                yield handed()
+    for text in _texts(batches):
+        spans = base_spans(text)
+        has = [k + 1 for k, kind in enumerate(KINDS) if spans[kind]]
+        terms = set(_TERM.findall(text.lower()))
+        terms.add(None)
+        if has:
+            terms |= entities(text, spans).difference(KINDS)
+        for t in terms:
+            row = held.get(t)
+            if row is None:
+                row = held[t] = [0] * 5
+            row[0] += 1
+            for k in has:
+                row[k] += 1
+        if len(held) >= HELD:
+            yield handed()
     if held:
         yield handed()
 
 
 def _entity_terms(batches):
     """`(kind, terms, key)` for each kind and value of a text, `key` naming the text."""
+    kinds = [pa.string(), pa.list_(pa.string()), pa.string()]
     for batch in batches:
-        rows = []
-        for text in batch.column(0).to_pylist():
-            spans = base_spans(text or "")
-            if any(spans.values()):
-                terms = list(set(_TERM.findall(text.lower())))
-                key = hashlib.sha256(text.encode()).hexdigest()
-                rows += [(e, terms, key) for e in entities(text, spans)]
-        kinds = [pa.string(), pa.list_(pa.string()), pa.string()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * 3, kinds)],
-            ["kind", "terms", "key"])
+        for first, many in parts(batch.column(0)):
+            rows = []
+            for text in batch.column(0).slice(first, many).to_pylist():
+                spans = base_spans(text or "")
+                if any(spans.values()):
+                    terms = list(set(_TERM.findall(text.lower())))
+                    key = hashlib.sha256(text.encode()).hexdigest()
+                    rows += [(e, terms, key) for e in entities(text, spans)]
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["kind", "terms", "key"])
 
 
 def entity_terms(docs):
@@ -238,21 +245,23 @@ def find_personal_data(docs):
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     rows, shares = _with_terms(rows)
 
+    kinds = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.int64()]
+    names = [f.split()[0] for f in FOUND.split(", ")]
+
     def run(batches):
         for batch in batches:
-            out = []
-            for doc, text, row in zip(*[batch.column(k).to_pylist() for k in range(3)]):
-                text = text or ""
-                spans = base_spans(text)
-                base = _mark(spans)
-                terms = [s[:2] for s in term_spans(text, spans, shares(text, spans, row))]
-                out.append((doc, *[len(spans[k]) for k in KINDS],
-                            hashlib.sha256(base.encode()).hexdigest(),
-                            _mark(spans | {"term": terms}), len(terms)))
-            kinds = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.int64()]
-            columns = list(zip(*out)) or [[]] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             [f.split()[0] for f in FOUND.split(", ")])
+            for first, many in parts(batch.column(1)):
+                out = []
+                for doc, text, row in zip(*(c.to_pylist() for c in batch.slice(first, many).columns)):
+                    text = text or ""
+                    spans = base_spans(text)
+                    base = _mark(spans)
+                    terms = [s[:2] for s in term_spans(text, spans, shares(text, spans, row))]
+                    out.append((doc, *[len(spans[k]) for k in KINDS],
+                                hashlib.sha256(base.encode()).hexdigest(),
+                                _mark(spans | {"term": terms}), len(terms)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
     return rows.mapInArrow(run, FOUND)
 
 
@@ -279,10 +288,12 @@ def sanitise(docs):
     at = docs.columns.index("text")
 
     def run(batches):
-        for batch in batches:
-            text = pa.array([None if t is None else cleaned(t, shares, row) for t, row in zip(
-                batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())],
-                pa.string())
-            yield batch.set_column(at, batch.schema.names[at], text).select(
-                batch.schema.names[:-1])
+        for whole in batches:
+            for first, many in parts(whole.column(at)):
+                batch = whole.slice(first, many)
+                text = pa.array([None if t is None else cleaned(t, shares, row) for t, row in zip(
+                    batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())],
+                    pa.string())
+                yield batch.set_column(at, batch.schema.names[at], text).select(
+                    batch.schema.names[:-1])
     return rows.mapInArrow(run, docs.schema)

@@ -15,10 +15,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.llm.common import stored
+from corpusprep.llm.common import parts, stored
 from corpusprep.llm.words import mix
 
 #: Toxic and clean texts that the model is fitted on at most, by smallest hash of their id.
@@ -35,6 +36,8 @@ SHORTEST, LONGEST = 3, 5
 #: At least so many passes over the sample, and so many steps of small batches.
 EPOCHS, STEPS, BATCH = 8, 800, 64
 REMEMBERED = 500_000
+#: Words whose n-grams are made together; it bounds a worker's memory.
+TOGETHER = 1 << 14
 _WORD = re.compile(r"\w+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -48,6 +51,15 @@ def subwords(words, buckets=BUCKETS):
 
     N-grams are taken inside `<word>`; a word shorter than the shortest n-gram is one n-gram.
     """
+    rows, size = [], [np.zeros(1, np.int64)]
+    for at in range(0, len(words), TOGETHER):
+        found, many = _subwords(words[at:at + TOGETHER], buckets)
+        rows.append(found)
+        size.append(many)
+    return np.concatenate(rows or [np.zeros(0, np.int32)]), np.cumsum(np.concatenate(size))
+
+
+def _subwords(words, buckets):
     marked = [f"<{w}>" for w in words]
     chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(
         np.uint64)
@@ -64,8 +76,7 @@ def subwords(words, buckets=BUCKETS):
             found.append((value[fits] % np.uint64(buckets)).astype(np.int32))
             owners.append(word[fits])
     rows, owners = np.concatenate(found), np.concatenate(owners)
-    order = np.argsort(owners, kind="stable")
-    return rows[order], np.searchsorted(owners[order], np.arange(len(words) + 1))
+    return rows[np.argsort(owners, kind="stable")], np.bincount(owners, minlength=len(words))
 
 
 def _bag(words, rows, heads):
@@ -161,18 +172,6 @@ class Scorer(dict):
             [len(b) for b in bags], dtype=np.int64)
 
 
-def _chunks(texts, limit=1 << 22):
-    """Runs of texts of about `limit` characters, so that a batch's word lists stay small."""
-    start, size = 0, 0
-    for k, t in enumerate(texts):
-        size += len(t or "")
-        if size >= limit:
-            yield texts[start:k + 1]
-            start, size = k + 1, 0
-    if start < len(texts):
-        yield texts[start:]
-
-
 def train(docs, labels, sample=SAMPLE, limit=SAMPLE_BYTES):
     """Model from `docs(doc_id, text)` and `labels(doc_id, toxic)`: `(table, intercept)`.
 
@@ -236,17 +235,18 @@ def score(docs, model):
     def run(batches):
         if "scorer" not in made:
             made["scorer"] = Scorer(*shared.value)
+        # A batch is scored and handed on in parts: only a part's texts are Python's.
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            found = [made["scorer"].scores(part) for part in _chunks(texts)]
-            scores = np.concatenate([f[0] for f in found]) if found else np.zeros(0)
-            words = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores), pa.array(words)], ["row", "score", "words"])
+            column = pc.struct_field(batch.column(0), "text")
+            for first, rows in parts(column):
+                scores, words = made["scorer"].scores(column.slice(first, rows).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, rows), pa.array(scores), pa.array(words)],
+                    ["row", "score", "words"])
 
     kinds = T.StructType([T.StructField("row", docs.schema), T.StructField(
         "score", T.DoubleType()), T.StructField("words", T.LongType())])
-    return docs.select(F.struct(*docs.columns).alias("row"), "text").mapInArrow(run, kinds)
+    return docs.select(F.struct(*docs.columns).alias("row")).mapInArrow(run, kinds)
 
 
 def held_out(doc_id):

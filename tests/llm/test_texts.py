@@ -306,3 +306,30 @@ def test_terms_of_a_single_value(spark):
     assert found["email:jane.roe@site.org", "quillon"] == pytest.approx(np.log(50) / np.log(100))
     got = {r.doc_id: r.n_term for r in sanitise.find_personal_data(df).collect()}
     assert got[2] == 1 and got[1] == got[30] == 0
+
+
+def test_subwords_take_bounded_memory():
+    import tracemalloc
+    words = [f"{k:07d}word" for k in range(120_000)]
+    whole = [toxicity.subwords(words[at:at + 1000]) for at in range(0, len(words), 1000)]
+    tracemalloc.start()
+    rows, heads = toxicity.subwords(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (rows == np.concatenate([r for r, _ in whole])).all()
+    assert (np.diff(heads) == np.concatenate([np.diff(h) for _, h in whole])).all()
+    # The rows twice while they are joined, and what one run of words needs.
+    assert peak < 3 * rows.nbytes + (60 << 20)
+    assert [len(a) for a in toxicity.subwords([])] == [0, 1]
+
+
+def test_batches_are_worked_on_in_parts(spark):
+    import pyarrow as pa
+    from corpusprep.llm.common import parts
+    column = pa.array(["ab", None, "", "abcdef", "é", "x"])
+    assert list(parts(column, 1)) == [(0, 1), (1, 3), (4, 1), (5, 1)]
+    assert list(parts(column, 4)) == [(0, 4), (4, 2)]
+    assert list(parts(column.slice(3), 100)) == [(0, 3)] and list(parts(column.slice(6))) == []
+    big = "write to a.b@c.de " + "filler " * 90_000
+    batch = pa.RecordBatch.from_arrays([pa.array([big, None, big, big])], ["text"])
+    assert [b.num_rows for b in sanitise._entity_terms([batch])] == [4, 2]
