@@ -24,7 +24,7 @@ from corpusprep.llm.words import hashed_words, mix, shingles, slices, texts
 SKETCH_BITS = 22
 SKETCH_BLOCK = 1 << 16
 FRAGMENTS = 8
-KEYS = "block long, counts binary, doc_id long, n_shingles long, node long"
+KEYS = "block long, places binary, counts binary, doc_id long, n_shingles long, node long"
 PREFIX = "token long, node long, n int, pos int"
 PARTS = "node long, n int, fragment int, tokens array<long>"
 
@@ -41,9 +41,20 @@ def _sets(batch, n):
     return value, heads, node.view(np.int64)
 
 
+def _packed(part):
+    """`(places, counts)` of a block as bytes: counts of the places above zero, or of all places
+    (places None) where that is shorter, in as few bytes a count as the largest needs."""
+    kind = next(k for k in ("<u1", "<u2", "<u4") if part.max() <= np.iinfo(k).max)
+    places = np.flatnonzero(part)
+    width = np.dtype(kind).itemsize
+    if len(places) * (2 + width) >= len(part) * width:
+        return None, part.astype(kind).tobytes()
+    return places.astype("<u2").tobytes(), part[places].astype(kind).tobytes()
+
+
 def _keyed(n, bits):
-    schema = pa.schema([("block", pa.int64()), ("counts", pa.binary()), ("doc_id", pa.int64()),
-                        ("n_shingles", pa.int64()), ("node", pa.int64())])
+    schema = pa.schema([("block", pa.int64()), ("places", pa.binary()), ("counts", pa.binary()),
+                        ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64())])
 
     def run(batches):
         sketch = np.zeros(1 << bits, dtype=np.uint32)
@@ -53,35 +64,48 @@ def _keyed(n, bits):
                 np.add.at(sketch, (value & np.uint64((1 << bits) - 1)).astype(np.int64), 1)
                 none = pa.nulls(piece.num_rows)
                 yield pa.RecordBatch.from_arrays(
-                    [none.cast(pa.int64()), none.cast(pa.binary()), piece.column(0),
-                     pa.array(np.diff(heads)), pa.array(node)], schema=schema)
+                    [none.cast(pa.int64()), none.cast(pa.binary()), none.cast(pa.binary()),
+                     piece.column(0), pa.array(np.diff(heads)), pa.array(node)], schema=schema)
         for block in range(0, 1 << bits, SKETCH_BLOCK):
             part = sketch[block:block + SKETCH_BLOCK]
             if part.any():
                 one = pa.nulls(1, pa.int64())
+                places, counts = _packed(part)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block]), pa.array([part.astype("<u4").tobytes()], pa.binary()),
-                     one, one, one], schema=schema)
+                    [pa.array([block]), pa.array([places], pa.binary()),
+                     pa.array([counts], pa.binary()), one, one, one], schema=schema)
     return run
 
 
-def _summed(batches):
-    total = {}
-    for batch in batches:
-        for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            part = np.frombuffer(counts, "<u4")
-            total[block] = total[block] + part if block in total else part.astype(np.uint64)
-    limit = np.uint64(2**32 - 1)
-    rows = [(b, np.minimum(c, limit).astype("<u4").tobytes()) for b, c in total.items()]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([b for b, _ in rows], pa.int64()), pa.array([c for _, c in rows], pa.binary())],
-        ["block", "counts"])
+def _summed(bits):
+    size = min(1 << bits, SKETCH_BLOCK)
+
+    def run(batches):
+        total = {}
+        for batch in batches:
+            # Blocks are read in place, one at a time.
+            for block, places, counts in zip(batch.column(0).to_pylist(), batch.column(1),
+                                             batch.column(2)):
+                at = np.frombuffer(places.as_buffer(), "<u2") if places.is_valid else slice(None)
+                counts = counts.as_buffer()
+                width = counts.size // (len(at) if places.is_valid else size)
+                if block not in total:
+                    total[block] = np.zeros(size, dtype=np.uint64)
+                total[block][at] += np.frombuffer(counts, f"<u{width}")
+        limit = np.uint64(2**32 - 1)
+        for block, counts in total.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), pa.array(
+                    [np.minimum(counts, limit).astype("<u4").tobytes()], pa.binary())],
+                ["block", "counts"])
+    return run
 
 
 def _sketch(keys, bits):
     """The whole sketch; at most 2**bits counters reach the driver, however many documents."""
-    blocks = keys.filter("block is not null").select("block", "counts")
-    found = blocks.repartition("block").mapInArrow(_summed, "block long, counts binary").collect()
+    blocks = keys.filter("block is not null").select("block", "places", "counts")
+    found = blocks.repartition("block").mapInArrow(
+        _summed(bits), "block long, counts binary").collect()
     sketch = np.zeros(1 << bits, dtype=np.uint32)
     for r in found:
         sketch[r["block"]:r["block"] + SKETCH_BLOCK] = np.frombuffer(r["counts"], "<u4")

@@ -162,10 +162,11 @@ class Scorer(dict):
         if len(self) + len(new) > REMEMBERED:
             self.clear()
             new = list({w for b in bags for w in b})
-        if new:
-            rows, heads = subwords(new, len(self.table))
-            self.update(zip(new, (np.add.reduceat(self.table[rows].astype(np.float64), heads[:-1])
-                                  / np.diff(heads)).tolist()))
+        for at in range(0, len(new), TOGETHER):
+            some = new[at:at + TOGETHER]
+            rows, heads = subwords(some, len(self.table))
+            self.update(zip(some, (np.add.reduceat(self.table[rows].astype(np.float64), heads[:-1])
+                                   / np.diff(heads)).tolist()))
         get = self.__getitem__
         logit = np.array([sum(map(get, b)) / (len(b) + BLANK) for b in bags]) + self.intercept
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500))), np.array(

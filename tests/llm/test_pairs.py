@@ -3,6 +3,8 @@
 import itertools
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -240,6 +242,32 @@ def test_join_does_not_depend_on_the_sketch(spark):
     assert {c for _, _, c in found[0]} == set(range(0, 30, 3))
 
 
+def test_sketch_of_a_task_is_as_large_as_its_shingles():
+    bits, tasks = 18, []
+    for k, (words, copies) in enumerate(((40, 1), (40, 300), (3, 70_000), (150_000, 1))):
+        text = " ".join(f"w{i}" for i in range(words))
+        batch = pa.RecordBatch.from_arrays([pa.array(range(copies)), pa.array([text] * copies)],
+                                           ["doc_id", "text"])
+        blocks = [b for b in ngram_join._keyed(3, bits)([batch]) if b.column(0).null_count == 0]
+        if k < 3:
+            # A place and its count, however many counters the sketch has.
+            assert sum(len(v) for b in blocks for column in b.columns
+                       if pa.types.is_binary(column.type) for v in column.to_pylist() if v
+                       ) <= 6 * words
+        tasks.append([b.select(["block", "places", "counts"]) for b in blocks])
+    assert {b.column(1).null_count for task in tasks for b in task} == {0, 1}
+    brute = np.zeros(1 << bits, np.int64)
+    for words, copies in ((40, 1), (40, 300), (3, 70_000), (150_000, 1)):
+        value, _ = ngram_join.shingles(*ngram_join.hashed_words(*ngram_join.texts(
+            pa.array([" ".join(f"w{i}" for i in range(words))]))), 3)
+        np.add.at(brute, (value & np.uint64((1 << bits) - 1)).astype(np.int64), copies)
+    got = np.zeros(1 << bits, np.int64)
+    for b in ngram_join._summed(bits)([b for task in tasks for b in task]):
+        counts = np.frombuffer(b.column(1)[0].as_py(), "<u4")
+        got[b.column(0)[0].as_py():][:len(counts)] = counts
+    assert (got == brute).all()
+
+
 def test_join_edges(spark):
     assert ngram_join.ngram_join(docs(spark, [])).count() == 0
     rows = [(None, "a b c d"), (4, "a b c d"), (4, "a b c d"), (2, "z z z z z"), (None, None)]

@@ -323,6 +323,21 @@ def test_subwords_take_bounded_memory():
     assert [len(a) for a in toxicity.subwords([])] == [0, 1]
 
 
+def test_new_words_are_scored_in_bounded_memory():
+    import tracemalloc
+    table = np.random.default_rng(1).normal(size=toxicity.BUCKETS).astype(np.float32)
+    texts = [" ".join(f"{k:07d}word" for k in range(at, at + 1000)) for at in range(0, 120_000, 1000)]
+    scorer = toxicity.Scorer(table, -0.5)
+    tracemalloc.start()
+    scores, words = scorer.scores(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (words == 1000).all()
+    assert (scores == [toxicity.Scorer(table, -0.5).scores([t])[0][0] for t in texts]).all()
+    # Words and their numbers, and the n-grams of one run of words.
+    assert peak < 50 << 20
+
+
 def test_batches_are_worked_on_in_parts(spark):
     import pyarrow as pa
     from corpusprep.llm.common import parts
