@@ -38,7 +38,8 @@ def _packed(bits):
     pad = -bits.shape[-1] % 64
     if pad:
         bits = np.concatenate([bits, np.zeros((*bits.shape[:-1], pad), dtype=bool)], axis=-1)
-    return np.packbits(bits, axis=-1, bitorder="little").view("<u8")
+    # Of a transposed matrix the packed rows would not lie in one piece.
+    return np.packbits(np.ascontiguousarray(bits), axis=-1, bitorder="little").view("<u8")
 
 
 def _ones(word):

@@ -50,3 +50,10 @@ def test_queries_in_groups(spark, monkeypatch):
     rng = np.random.default_rng(8)
     rows = [(50 * i, [float(x) for x in rng.normal(0, 1, 5)], 1) for i in range(40)]
     assert searched(spark, rows, k=4) == brute(rows, 4)
+
+
+@pytest.mark.parametrize("n", [64, 65, 128, 192])
+def test_blocks_of_whole_words(spark, n):
+    rng = np.random.default_rng(9)
+    rows = [(25 * i, [float(x) for x in rng.normal(0, 0.12, 6)], 1) for i in range(n)]
+    assert searched(spark, rows) == brute(rows, 10)
