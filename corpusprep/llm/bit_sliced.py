@@ -55,17 +55,22 @@ class Block:
         kept = self.x >> dropped
         self.low = kept.min(axis=0) if kept.size else np.zeros(x.shape[1], np.int64)
         above = kept - self.low
-        width = int(above.max()).bit_length() if above.size else 0
-        self.slices = np.stack([_packed(((above >> j) & 1).astype(bool).T) for j in range(width)],
-                               axis=1) if width else np.zeros((x.shape[1], 0, 0), "<u8")
+        self.width = int(above.max()).bit_length() if above.size else 0
         self.rows = _packed(np.ones(len(ids), dtype=bool))
+        # Slice j of attribute d is in row d * width + j, its complement in the second half.
+        slices = np.stack([_packed(((above >> j) & 1).astype(bool).T) for j in range(self.width)],
+                          axis=1).reshape(-1, len(self.rows)) if self.width else np.zeros(
+                              (0, len(self.rows)), "<u8")
+        self.slices = np.concatenate([slices, ~slices])
+        # Where parts of one weight and carries to the next are added, kept from query to query.
+        self.room = np.empty((2, 0, len(self.rows)), "<u8")
         # Inner products in double are exact while no sum passes 2**53.
         self.most = int(np.abs(self.x).max(initial=0))
 
     def _sum(self, q):
         """Slices of sum(q * kept), least significant first, and what to add to their value."""
-        weights, offset = {}, int(np.dot(q.astype(object), self.low.astype(object))) if len(q) else 0
-        full = ~np.zeros_like(self.rows)
+        offset = int(np.dot(q.astype(object), self.low.astype(object))) if len(q) else 0
+        digits = []
         for d, value in enumerate(q.tolist()):
             # Non-adjacent form: few bits, each plus or minus.
             bit = 0
@@ -73,31 +78,46 @@ class Block:
                 if value & 1:
                     digit = 2 - (value & 3)
                     value -= digit
-                    for j, part in enumerate(self.slices[d]):
-                        if digit < 0:
-                            part = full ^ part
-                            offset -= 1 << (bit + j)
-                        weights.setdefault(bit + j, []).append(part)
+                    digits.append((d, bit, digit < 0))
+                    if digit < 0:
+                        offset -= ((1 << self.width) - 1) << bit
                 value >>= 1
                 bit += 1
-        found, weight = [], 0
-        while weights:
-            parts = weights.pop(weight, [])
-            parts = np.stack(parts) if parts else np.zeros((0, len(self.rows)), "<u8")
-            carries = []
-            while len(parts) > 2:
-                n = len(parts) // 3
-                a, b, c = parts[:n], parts[n:2 * n], parts[2 * n:3 * n]
-                half = a ^ b
-                carries += [(a & b) | (half & c)]
-                parts = np.concatenate([half ^ c, parts[3 * n:]])
-            if len(parts) == 2:
-                carries += [(parts[0] & parts[1])[None]]
-                parts = (parts[0] ^ parts[1])[None]
-            found.append(parts[0] if len(parts) else np.zeros_like(self.rows))
-            for c in carries:
-                weights.setdefault(weight + 1, []).extend(c)
-            weight += 1
+        d, bit, minus = np.array(digits, dtype=np.int64).reshape(-1, 3).T[:, :, None]
+        j = np.arange(self.width)
+        weights = (bit + j).ravel()
+        parts = (d * self.width + minus * (len(self.slices) // 2) + j).ravel()[
+            np.argsort(weights, kind="stable")]
+        # Every two parts of a weight leave one carry to the next.
+        taken, added = np.bincount(weights).tolist(), []
+        while len(added) < len(taken) or added and added[-1] > 1:
+            own = taken[len(added)] if len(added) < len(taken) else 0
+            added.append(own + (added[-1] // 2 if added else 0))
+        if self.room.shape[1] < max(added, default=0):
+            self.room = np.empty((2, max(added), len(self.rows)), "<u8")
+        found = np.zeros((len(added), len(self.rows)), "<u8")
+        first = carried = 0
+        for weight, n in enumerate(added):
+            now, following = self.room[weight & 1, :n], self.room[1 - (weight & 1)]
+            last = first + n - carried
+            np.take(self.slices, parts[first:last], axis=0, out=now[carried:], mode="clip")
+            first, carried = last, 0
+            while len(now) > 2:
+                n = len(now) // 3
+                a, b, c, carry = now[:n], now[n:2 * n], now[2 * n:3 * n], following[carried:carried + n]
+                # In place: a is free once b holds a ^ b; the sums a ^ b ^ c take the place of c.
+                np.bitwise_and(a, b, out=carry)
+                np.bitwise_xor(a, b, out=b)
+                np.bitwise_and(b, c, out=a)
+                np.bitwise_or(carry, a, out=carry)
+                np.bitwise_xor(b, c, out=c)
+                now, carried = now[2 * n:], carried + n
+            if len(now) == 2:
+                np.bitwise_and(now[0], now[1], out=following[carried])
+                carried += 1
+                np.bitwise_xor(now[0], now[1], out=found[weight])
+            elif len(now):
+                found[weight] = now[0]
         return found, offset
 
     def top(self, query_id, q, k):
@@ -162,19 +182,20 @@ def top_k(vectors, is_query, k=10, scale=1024, dropped=DROPPED, block_rows=BLOCK
     go in bounded groups, each against all blocks of rows, so no step holds all of either.
     """
     spark = vectors.sparkSession
-    rows = stored(integers(vectors).filter("vec_id is not null"), "sliced-rows")
+    # Numbered, as many rows may have one vec_id: they go to different blocks and groups.
+    rows = stored(integers(vectors).filter("vec_id is not null").withColumn(
+        "row", F.monotonically_increasing_id()), "sliced-rows")
     n = rows.count()
-    blocks = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-n // block_rows))))
-    dealt = rows.withColumns({"block": blocks, "width": F.size("v")})
+    blocks = F.pmod(F.xxhash64("row"), F.lit(max(1, -(-n // block_rows))))
+    dealt = rows.select("vec_id", "v", blocks.alias("block"), F.size("v").alias("width"))
     queries = stored(rows.filter(is_query), "sliced-queries")
     groups = max(1, -(-queries.count() // QUERIES_AT_ONCE))
     found = None
     for group in range(groups):
         # About QUERIES_AT_ONCE rows, however many queries there are.
-        part = queries.filter(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(groups)) == group).orderBy(
-            "vec_id").collect()
+        part = queries.filter(F.pmod(F.xxhash64("row", F.lit(1)), F.lit(groups)) == group).collect()
         shared = spark.sparkContext.broadcast(
-            [(i, r["vec_id"], np.array(r["v"], dtype=np.int64)) for i, r in enumerate(part)])
+            [(r["row"], r["vec_id"], np.array(r["v"], dtype=np.int64)) for r in part])
         best = stored(dealt.groupBy("block", "width").applyInArrow(
             _searched(shared, k, dropped), "query_id long, number long, vec_id long, score long"),
             "sliced-best")

@@ -57,3 +57,20 @@ def test_blocks_of_whole_words(spark, n):
     rng = np.random.default_rng(9)
     rows = [(25 * i, [float(x) for x in rng.normal(0, 0.12, 6)], 1) for i in range(n)]
     assert searched(spark, rows) == brute(rows, 10)
+
+
+def test_one_id_of_many_rows(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(bit_sliced, "QUERIES_AT_ONCE", 8)
+    sizes = tmp_path / "sizes"
+    first = bit_sliced.Block.__init__
+
+    def noted(block, ids, *rest):
+        with open(sizes, "a") as out:
+            out.write(f"{len(ids)}\n")
+        first(block, ids, *rest)
+
+    monkeypatch.setattr(bit_sliced.Block, "__init__", noted)
+    rng = np.random.default_rng(10)
+    rows = [(i % 2 * 100, [float(x) for x in rng.normal(0, 1, 5)], 1) for i in range(80)]
+    assert searched(spark, rows, k=4, block_rows=16) == brute(rows, 4)
+    assert max(map(int, sizes.read_text().split())) < 40
